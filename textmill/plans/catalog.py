@@ -207,3 +207,73 @@ def q_category_topk(spark, sf):
     s = _vocab_scored(spark, sf)
     return s.select(_long("doc_id").alias("document_id"),
                     F.array_join(tagging.category_topk(3), ",").alias("categories"))
+
+# ---------------------------------------------------------------- M4 front matter
+from textmill.functions.frontmatter import is_front_matter  # noqa: E402
+from textmill.operators.frontmatter import (exclude_elements as _exclude,  # noqa: E402
+                                            preview as _preview, resolved_fields,
+                                            skip_front_matter)
+
+FOREIGN_SQL = ("(SELECT conv_id * 1000 + turn AS id, conv_id AS document_id, turn AS pos, "
+               + ", ".join(f"{v} AS {k}" for k, v in FX.FOREIGN_SQL.items()) + " FROM conversations)")
+FRONT_SQL = ("(SELECT conv_id AS document_id, turn AS pos, role, CASE WHEN conv_id % 5 = 0 OR "
+             "(conv_id % 3 = 0 AND turn < 2) THEN concat('List of Effective Pages ', text) "
+             "ELSE text END AS content FROM conversations)")
+_TXT = S.first_nonempty("content", "text", "''")
+_PAGE = S.first_nonempty("page_number", "page", "page_index", zero=True)
+_TITLE = S.first_nonempty("section_title", "title", "section")
+_TYPE = S.first_nonempty("element_type", "type")
+
+
+@register("field_fallback", f"""
+SELECT CAST(id AS BIGINT) AS id, {S.strip(_TXT)} AS text, CAST({_PAGE} AS BIGINT) AS page,
+       {_TITLE} AS title, {_TYPE} AS type FROM {FOREIGN_SQL}""")
+def q_field_fallback(spark, sf):
+    r = resolved_fields(FX.foreign_chunks(spark, sf))
+    return r.select(_long("id").alias("id"), F.col("_text").alias("text"), _long("_page").alias("page"),
+                    F.col("_title").alias("title"), F.col("_type").alias("type"))
+
+
+@register("front_matter_flag", f"""
+SELECT CAST(document_id AS BIGINT) AS document_id, CAST(pos AS BIGINT) AS pos,
+       {S.front_matter('content')} AS flag FROM {FRONT_SQL}""")
+def q_front_matter_flag(spark, sf):
+    c = FX.front_chunks(spark, sf)
+    return c.select(_long("document_id").alias("document_id"), _long("pos").alias("pos"),
+                    is_front_matter("content").alias("flag"))
+
+
+@register("front_matter_skip", f"""
+WITH c AS {FRONT_SQL},
+s AS (SELECT document_id, coalesce(min(CASE WHEN {S.starts_content('content')} THEN pos END), min(pos)) AS start
+      FROM c GROUP BY document_id)
+SELECT CAST(c.document_id AS BIGINT) AS document_id, CAST(pos AS BIGINT) AS pos, CAST(start AS BIGINT) AS start
+FROM c JOIN s ON c.document_id = s.document_id WHERE pos >= start""")
+def q_front_matter_skip(spark, sf):
+    k = skip_front_matter(FX.front_chunks(spark, sf))
+    return k.select(_long("document_id").alias("document_id"), _long("pos").alias("pos"),
+                    _long("start").alias("start"))
+
+
+@register("chunk_preview", f"""
+WITH c AS {FOREIGN_SQL},
+s AS (SELECT document_id, coalesce(min(CASE WHEN {S.starts_content(_TXT)} THEN pos END), min(pos)) AS start
+      FROM c GROUP BY document_id),
+v AS (SELECT c.*, row_number() OVER (PARTITION BY c.document_id ORDER BY pos) AS rn
+      FROM c JOIN s ON c.document_id = s.document_id WHERE pos >= start),
+p AS (SELECT *, substring({S.collapse_all(S.strip(_TXT))}, 1, 800) AS pv FROM v WHERE rn <= 6)
+SELECT CAST(document_id AS BIGINT) AS document_id, CAST(pos AS BIGINT) AS pos,
+       CAST({_PAGE} AS BIGINT) AS page, {_TITLE} AS title, {_TYPE} AS type,
+       CASE WHEN pv = '' THEN '(empty)' ELSE pv END AS preview FROM p""")
+def q_chunk_preview(spark, sf):
+    p = _preview(FX.foreign_chunks(spark, sf), n=6, width=800, skip=True)
+    return p.select(_long("document_id").alias("document_id"), _long("pos").alias("pos"),
+                    _long("page").alias("page"), "title", "type", "preview")
+
+
+@register("exclude_elements", f"""
+SELECT CAST(id AS BIGINT) AS id, element_type FROM {FOREIGN_SQL}
+WHERE element_type IS NULL OR element_type NOT IN ('Header', 'Footer')""")
+def q_exclude_elements(spark, sf):
+    e = _exclude(FX.foreign_chunks(spark, sf), "Header, Footer,")
+    return e.select(_long("id").alias("id"), "element_type")

@@ -97,3 +97,25 @@ def chunks_cte(size: int = 600, overlap: int = 50, tagged: bool = True) -> str:
              CAST(len(list_slice(t, s + 1, s + {size})) AS BIGINT) AS token_count
       FROM wins
     ){tag}"""
+
+
+def front_matter(x: str) -> str:
+    from textmill.functions.frontmatter import FRONT_MATTER_RE, SHORT_FRONT_RE, SHORT_LEN
+    t = strip(f"coalesce({x}, '')")
+    return (f"({t} = '' OR regexp_matches({t}, {q('(?i)' + FRONT_MATTER_RE)}) OR "
+            f"(length({t}) < {SHORT_LEN} AND regexp_matches({t}, {q('(?i)' + SHORT_FRONT_RE)})))")
+
+
+def starts_content(x: str) -> str:
+    from textmill.functions.frontmatter import CONTENT_MIN_LEN, CONTENT_START_PHRASES
+    low = f"lower(coalesce({x}, ''))"
+    ph = " OR ".join(f"contains({low}, {q(p)})" for p in CONTENT_START_PHRASES)
+    return f"(NOT {front_matter(x)} AND ({ph} OR length({low}) > {CONTENT_MIN_LEN}))"
+
+
+def first_nonempty(*cols: str, zero: bool = False) -> str:
+    out = cols[-1]
+    for c in reversed(cols[:-1]):
+        falsy = f"{c} IS NULL OR {c} = 0" if zero else f"{c} IS NULL OR CAST({c} AS VARCHAR) = ''"
+        out = f"CASE WHEN {falsy} THEN {out} ELSE {c} END"
+    return out
