@@ -277,3 +277,185 @@ WHERE element_type IS NULL OR element_type NOT IN ('Header', 'Footer')""")
 def q_exclude_elements(spark, sf):
     e = _exclude(FX.foreign_chunks(spark, sf), "Header, Footer,")
     return e.select(_long("id").alias("id"), "element_type")
+
+# ---------------------------------------------------------------- M5 records, files, names
+from textmill.functions.records import iso_or_null, iso_timestamp, null_if_na  # noqa: E402
+from textmill.functions.text import output_name, path_slug, slug  # noqa: E402
+from textmill.operators.records import cluster_input, map_records  # noqa: E402
+from textmill.session import scratch_path  # noqa: E402
+from textmill.sources.files import read_chunks_json, read_records_csv  # noqa: E402
+
+_FT = FX.ftime_sql("event_id")
+
+
+def _sql_iso(raw: str) -> str:
+    t = f"trim({raw})"
+    parsed = (f"coalesce(try_strptime({t}, '%m/%d/%y %H:%M'), try_strptime({t}, '%m/%d/%Y %H:%M'), "
+              f"try_strptime({t}, '%m/%d/%y %H:%M:%S'))")
+    return (f"CASE WHEN {raw} IS NULL OR {raw} = '' OR lower({t}) IN ('n/a', 'na') THEN NULL "
+            f"ELSE strftime({parsed}, '%Y-%m-%dT%H:%M:%S') END")
+
+
+@register("null_sentinel", f"""
+SELECT CAST(event_id AS BIGINT) AS event_id,
+       CASE WHEN raw IS NULL OR raw = '' OR lower(trim(raw)) IN ('n/a', 'na') THEN NULL ELSE raw END AS value
+FROM (SELECT event_id, {_FT} AS raw FROM events)""")
+def q_null_sentinel(spark, sf):
+    t = FX.time_strings(spark, sf)
+    return t.select(_long("event_id").alias("event_id"), null_if_na("raw").alias("value"))
+
+
+@register("timestamp_parse", f"""
+SELECT CAST(event_id AS BIGINT) AS event_id, {_sql_iso('raw')} AS iso
+FROM (SELECT event_id, {_FT} AS raw FROM events)""")
+def q_timestamp_parse(spark, sf):
+    t = FX.time_strings(spark, sf)
+    return t.select(_long("event_id").alias("event_id"), iso_timestamp(iso_or_null("raw")).alias("iso"))
+
+
+_CSV = FX.csv_columns("duckdb")
+RECORD_COLS = ["discrepancy_id", "org", "tail_number", "aircraft_type", "aircraft", "aircraft_serial",
+               "logged_on", "issue", "corrective_action", "status", "mel_category", "mel_location",
+               "mel_company", "signoff_by", "signoff_on", "signoff_license", "work_completed_on"]
+
+
+@register("csv_records", f"""
+WITH r AS (SELECT {', '.join(f'{v} AS "{k}"' for k, v in _CSV.items())} FROM events)
+SELECT "Discrepancy ID" AS discrepancy_id, 'squawk' AS org, "Aircraft" AS tail_number,
+       "Aircraft Serial" AS aircraft_type, "Aircraft" AS aircraft, "Aircraft Serial" AS aircraft_serial,
+       {_sql_iso('"Logged on"')} AS logged_on, {S.strip('"Issue"')} AS issue,
+       {S.strip('"Corrective action"')} AS corrective_action, "Status" AS status,
+       "MEL category" AS mel_category, "MEL location" AS mel_location, "MEL company" AS mel_company,
+       "Sign-off by" AS signoff_by, {_sql_iso('"Sign-off on"')} AS signoff_on,
+       "Sign-off license" AS signoff_license, {_sql_iso('"Work completed on"')} AS work_completed_on
+FROM r""")
+def q_csv_records(spark, sf):
+    path = FX.write_records_csv(spark, sf, scratch_path(spark, "records-csv"))
+    rec = map_records(read_records_csv(spark, path))
+    return rec.select(*[iso_timestamp(c).alias(c) if c in ("logged_on", "signoff_on", "work_completed_on")
+                        else F.col(c) for c in RECORD_COLS])
+
+
+@register("json_roundtrip", f"""
+WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)}
+SELECT CAST(document_id AS BIGINT) AS document_id, CAST(page_number AS BIGINT) AS page_number,
+       chunk_index, token_count, md5(content) AS md5 FROM chunks""")
+def q_json_roundtrip(spark, sf):
+    pages = scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF)
+    c = chunk_pages(pages, tag=False)
+    from textmill.operators.sinks import write_json
+    path = write_json(c, scratch_path(spark, "chunks-json"))
+    back = read_chunks_json(spark, path, layout="lines")
+    return back.select(_long("document_id").alias("document_id"), _long("page_number").alias("page_number"),
+                       _long("chunk_index").alias("chunk_index"), _long("token_count").alias("token_count"),
+                       F.md5("content").alias("md5"))
+
+
+def q_json_by_document(spark, sf):
+    """One JSON output folder per document; read back and count rows."""
+    pages = scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF)
+    c = chunk_pages(pages, tag=False)
+    from textmill.operators.sinks import write_json
+    path = write_json(c, scratch_path(spark, "chunks-by-doc"), by="document_id")
+    back = spark.read.json(path)
+    return back.groupBy(_long("document_id").alias("document_id")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+register("json_by_document")(q_json_by_document)
+
+_MODEL_SQL = "concat(source, '/', lang, '-base-v1.5')"
+_PATH_SQL = "concat(source, '/manual.', doc_id, '.v2.PDF')"
+
+
+@register("name_slugs", f"""
+SELECT CAST(doc_id AS BIGINT) AS document_id, {_MODEL_SQL} AS input,
+       lower(translate({_MODEL_SQL}, '/-.', '___')) AS slug, replace({_MODEL_SQL}, '/', '_') AS path_slug,
+       concat(regexp_replace(regexp_extract({_PATH_SQL}, '[^/]*$'), '(.)\\.[^.]*$', '\\1'), '.chunks.json') AS file_name
+FROM documents""")
+def q_name_slugs(spark, sf):
+    d = FX.documents(spark, sf).select("doc_id", F.expr(_MODEL_SQL).alias("input"),
+                                       F.expr(_PATH_SQL).alias("path"))
+    return d.select(_long("doc_id").alias("document_id"), "input", slug("input").alias("slug"),
+                    path_slug("input").alias("path_slug"), output_name("path").alias("file_name"))
+
+
+# ---------------------------------------------------------------- M6 vectors
+from textmill.functions.vectors import cosine, inner_product, l2_norm, l2_normalize  # noqa: E402
+from textmill.operators.embed import embed, embedding_dims, vector_rows  # noqa: E402
+
+_SCALE = "transform(embedding, x -> x * CASE WHEN vec_id % 50 = 0 THEN 0 ELSE 1 + vec_id % 7 END)"
+_SCALE_SQL = "list_transform(embedding, lambda x: x * CASE WHEN vec_id % 50 = 0 THEN 0 ELSE 1 + vec_id % 7 END)"
+_NORM_SQL = "sqrt(list_sum(list_transform({v}, lambda x: CAST(x AS DOUBLE) * x)))"
+
+
+@register("l2_normalize", f"""
+WITH s AS (SELECT vec_id, {_SCALE_SQL} AS v FROM embeddings),
+n AS (SELECT vec_id, v, {_NORM_SQL.format(v='v')} AS nv FROM s),
+u AS (SELECT vec_id, CASE WHEN nv > 0 THEN list_transform(v, lambda x: CAST(CAST(x AS DOUBLE) / nv AS FLOAT)) ELSE v END AS u FROM n)
+SELECT CAST(vec_id AS BIGINT) AS vec_id, round({_NORM_SQL.format(v='u')}, 4) + 0.0 AS norm,
+       round(CAST(u[1] AS DOUBLE), 4) + 0.0 AS first FROM u""")
+def q_l2_normalize(spark, sf):
+    e = FX.read_table(spark, sf, "embeddings").select("vec_id", F.expr(_SCALE).alias("v"))
+    u = e.select("vec_id", l2_normalize("v").alias("u"))
+    return u.select(_long("vec_id").alias("vec_id"), (F.round(l2_norm("u"), 4) + 0.0).alias("norm"),
+                    (F.round(F.col("u")[0].cast("double"), 4) + 0.0).alias("first"))
+
+
+@register("cosine_equals_ip", f"""
+WITH s AS (SELECT vec_id, {_SCALE_SQL} AS v FROM embeddings WHERE vec_id % 50 <> 0),
+n AS (SELECT vec_id, v, list_transform(v, lambda x: CAST(CAST(x AS DOUBLE) / {_NORM_SQL.format(v='v')} AS FLOAT)) AS u FROM s),
+p AS (SELECT a.vec_id, list_cosine_similarity(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS cs,
+             list_inner_product(CAST(a.u AS DOUBLE[]), CAST(b.u AS DOUBLE[])) AS ip
+      FROM n a JOIN n b ON b.vec_id = a.vec_id + 1)
+SELECT CAST(count(*) AS BIGINT) AS pairs, max(abs(cs - ip)) < 1e-5 AS equal FROM p""")
+def q_cosine_equals_ip(spark, sf):
+    e = (FX.read_table(spark, sf, "embeddings").filter("vec_id % 50 <> 0")
+         .select("vec_id", F.expr(_SCALE).alias("v")))
+    n = e.select("vec_id", "v", l2_normalize("v").alias("u"))
+    a, b = n.alias("a"), n.alias("b")
+    p = a.join(b, F.col("b.vec_id") == F.col("a.vec_id") + 1).select(
+        cosine("a.v", "b.v").alias("cs"), inner_product("a.u", "b.u").alias("ip"))
+    return p.agg(F.count(F.lit(1)).alias("pairs"),
+                 (F.max(F.abs(F.col("cs") - F.col("ip"))) < 1e-5).alias("equal"))
+
+
+@register("embedding_dims", """
+SELECT CAST(len(embedding) AS BIGINT) AS dimension, count(*) AS rows FROM embeddings GROUP BY 1""")
+def q_embedding_dims(spark, sf):
+    e = embedding_dims(FX.read_table(spark, sf, "embeddings"))
+    return e.select(_long("dimension").alias("dimension"), "rows")
+
+
+def q_hash_embed(spark, sf):
+    """Offline provider over every document: dimension and norm per row."""
+    ok, _rej = embed(_docs(spark, sf), text_col="text", provider="hashing", prefix="passage: ")
+    return ok.select(_long("doc_id").alias("document_id"), _long(F.size("embedding")).alias("dimension"),
+                     F.round(l2_norm("embedding"), 4).alias("norm"))
+
+
+register("hash_embed")(q_hash_embed)
+
+
+@register("vector_rows", f"""
+WITH {S.pages_cte(VOCAB_SQL, 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=True)}
+SELECT CAST(document_id AS BIGINT) AS document_id, CAST(page_number AS BIGINT) AS page_number,
+       token_count, 'AFM' AS document_type, system_category, md5(content) AS md5 FROM tagged""")
+def q_vector_rows(spark, sf):
+    pages = scan_pages(FX.vocab_documents(spark, sf), "doc_id", "text", delimiter=FF)
+    c = chunk_pages(pages, tag=True, constants={"aircraft_model": "DA42"})
+    ok, _rej = embed(c, "content", provider="hashing")
+    v = vector_rows(ok, "AFM")
+    return v.select(_long("document_id").alias("document_id"), _long("page_number").alias("page_number"),
+                    _long("metadata.token_count").alias("token_count"), "document_type",
+                    "system_category", F.md5("content").alias("md5"))
+
+
+@register("cluster_adapter", f"""
+SELECT CAST(event_id AS VARCHAR) AS id, {S.strip("concat('  ', event_type, ' fault  ')")} AS text,
+       CAST(64 AS BIGINT) AS dimension FROM events""")
+def q_cluster_adapter(spark, sf):
+    path = FX.write_records_csv(spark, sf, scratch_path(spark, "records-csv"))
+    rec = map_records(read_records_csv(spark, path))
+    ok, _rej = embed(rec, "issue", provider="hashing", normalize=False)
+    ci = cluster_input(ok.withColumnRenamed("embedding", "issue_embedding_vector"))
+    return ci.select("id", "text", _long(F.size("embedding")).alias("dimension"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.session import read_table
+from textmill.session import read_table  # noqa: F401
 
 # Word substitutions that put category vocabulary into text.
 VOCAB_CASES = [
@@ -71,3 +71,60 @@ def foreign_chunks(spark: SparkSession, sf: str) -> DataFrame:
             F.col("turn").alias("pos")]
     cols += [F.expr(v).alias(k) for k, v in FOREIGN_SQL.items()]
     return c.select(*cols)
+
+
+# F-TIME: raw timestamp text in one of several shapes, chosen by a key.
+def ftime_spark(key: str, ts: str = "ts") -> str:
+    return (f"CASE ({key}) % 7 WHEN 0 THEN date_format({ts}, 'MM/dd/yy HH:mm') "
+            f"WHEN 1 THEN date_format({ts}, 'M/d/yyyy HH:mm') "
+            f"WHEN 2 THEN date_format({ts}, 'MM/dd/yy HH:mm:ss') "
+            f"WHEN 3 THEN 'N/A' WHEN 4 THEN ' na ' WHEN 5 THEN '' "
+            f"ELSE date_format({ts}, 'MM/dd/yyyy HH:mm:ss') END")
+
+
+def ftime_sql(key: str, ts: str = "ts") -> str:
+    return (f"CASE ({key}) % 7 WHEN 0 THEN strftime({ts}, '%m/%d/%y %H:%M') "
+            f"WHEN 1 THEN strftime({ts}, '%-m/%-d/%Y %H:%M') "
+            f"WHEN 2 THEN strftime({ts}, '%m/%d/%y %H:%M:%S') "
+            f"WHEN 3 THEN 'N/A' WHEN 4 THEN ' na ' WHEN 5 THEN '' "
+            f"ELSE strftime({ts}, '%m/%d/%Y %H:%M:%S') END")
+
+
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "events")
+
+
+def time_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).select("event_id", F.expr(ftime_spark("event_id")).alias("raw"))
+
+
+# F-CSV: a write-up file derived from events (the header names are fixed).
+def csv_columns(dialect: str) -> dict[str, str]:
+    ft = ftime_spark if dialect == "spark" else ftime_sql
+    nl = "char(10)" if dialect == "spark" else "chr(10)"
+    return {
+        "Discrepancy ID": "CAST(event_id AS STRING)" if dialect == "spark" else "CAST(event_id AS VARCHAR)",
+        "Aircraft": "concat('N', user_id)",
+        "Aircraft Serial": "CAST(user_id AS STRING)" if dialect == "spark" else "CAST(user_id AS VARCHAR)",
+        "Logged on": ft("event_id"),
+        "Issue": "concat('  ', event_type, ' fault  ')",
+        "Corrective action": f"concat(props, CASE WHEN event_id % 10 = 0 THEN concat({nl}, 'see log') ELSE '' END)",
+        "Status": "event_type",
+        "MEL category": "CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'A' WHEN 2 THEN 'B' ELSE 'C' END",
+        "MEL location": "'cabin'",
+        "MEL company": "'ACME'",
+        "Sign-off by": "CASE WHEN event_id % 3 = 0 THEN NULL ELSE concat('tech ', user_id % 10) END",
+        "Sign-off on": ft("event_id + 1"),
+        "Sign-off license": "'A&P, \"IA\"'",
+        "Work completed on": ft("event_id + 2"),
+    }
+
+
+def write_records_csv(spark: SparkSession, sf: str, path: str) -> str:
+    """Write F-CSV under ``path`` (header, quoted as needed, blanks kept)."""
+    cols = [F.expr(v).alias(k) for k, v in csv_columns("spark").items()]
+    (events(spark, sf).select(*cols).write.mode("overwrite")
+     .option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+    return path
