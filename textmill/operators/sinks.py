@@ -15,3 +15,100 @@ def write_json(df: DataFrame, path: str, by: str | list[str] | None = None,
         w = w.partitionBy(*([by] if isinstance(by, str) else by))
     w.json(path)
     return path
+
+
+def dedupe(df: DataFrame, key: str, order: str = "rank", on_duplicate: str = "first",
+           sum_cols: tuple[str, ...] = ("frequency",)) -> DataFrame:
+    """One row per key.  ``first`` keeps the row lowest in ``order``;
+    ``sum`` keeps that row but adds up ``sum_cols`` over the duplicates.
+    A grouped aggregate (partial on the map side), so a key repeated in
+    every task is reduced before the shuffle."""
+    others = [c for c in df.columns if c != key]
+    agg = [F.min_by(F.struct(*others), F.col(order)).alias("_row")]
+    if on_duplicate == "sum":
+        agg += [F.sum(c).alias(f"_sum_{c}") for c in sum_cols]
+    elif on_duplicate != "first":
+        raise ValueError(f"unknown duplicate policy: {on_duplicate!r}")
+    g = df.groupBy(key).agg(*agg)
+    cols = [F.col(key)]
+    for c in others:
+        if on_duplicate == "sum" and c in sum_cols:
+            cols.append(F.col(f"_sum_{c}").cast(dict(df.dtypes)[c]).alias(c))
+        else:
+            cols.append(F.col(f"_row.{c}").alias(c))
+    return g.select(*cols)
+
+
+def upsert(target: DataFrame, source: DataFrame, key: str, order: str = "rank",
+           on_duplicate: str = "first") -> DataFrame:
+    """Merge ``source`` into ``target`` on ``key``: source rows replace
+    matching target rows, new keys are inserted, other target rows stay
+    (never deleted).  Running it again with the same source changes
+    nothing.  An anti-join plus a union: two shuffles by key, no broadcast
+    of either side unless the planner has measured it small."""
+    src = dedupe(source, key, order, on_duplicate) if order in source.columns else source.dropDuplicates([key])
+    kept = target.join(src.select(key), key, "left_anti")
+    return kept.unionByName(src, allowMissingColumns=True)
+
+
+def write_upsert(spark, target_path: str | None, source: DataFrame, key: str, out_path: str,
+                 order: str = "rank") -> str:
+    """Merge into the table at ``target_path`` by writing the merged table to
+    ``out_path`` (a new folder; the caller swaps the pointer)."""
+    if target_path:
+        merged = upsert(spark.read.parquet(target_path), source, key, order)
+    else:
+        merged = dedupe(source, key, order) if order in source.columns else source.dropDuplicates([key])
+    merged.write.mode("errorifexists").parquet(out_path)
+    return out_path
+
+
+def number_rows(df: DataFrame, order: list[str], out: str = "row_index") -> DataFrame:
+    """Exact global 0-based row numbers in ``order`` without a one-partition
+    window: range-partition and sort, count rows per partition (a table with
+    one row per partition), turn the counts into offsets and add each row's
+    place inside its partition.  ``order`` must be unique per row."""
+    t = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    counts = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    from pyspark.sql import Window
+    offs = counts.withColumn("_off", F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
+    j = t.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return j.withColumn(out, (F.col("_off") + local).cast("long")).drop("_pid", "_mid", "_off")
+
+
+def number_batches(df: DataFrame, order: list[str], size: int = 50) -> DataFrame:
+    """Add ``batch = row_index // size`` (50 for inserts, 500 for upserts)."""
+    n = number_rows(df, order)
+    return n.withColumn("batch", F.floor(F.col("row_index") / size).cast("long"))
+
+
+def batch_report(batched: DataFrame, failed) -> DataFrame:
+    """Per batch: ``rows, ok, failed``.  A batch fails as a whole when any
+    of its rows meets ``failed`` (a boolean Column)."""
+    g = batched.groupBy("batch").agg(F.count(F.lit(1)).alias("rows"),
+                                     F.max(F.when(failed, 1).otherwise(0)).alias("_bad"))
+    return g.select("batch", "rows",
+                    F.when(F.col("_bad") == 0, F.col("rows")).otherwise(0).cast("long").alias("ok"),
+                    F.when(F.col("_bad") == 1, F.col("rows")).otherwise(0).cast("long").alias("failed"))
+
+
+def batch_totals(report: DataFrame) -> DataFrame:
+    return report.agg(F.sum("ok").alias("successful"), F.sum("failed").alias("failed"))
+
+
+def pending(chunks: DataFrame, done: DataFrame,
+            keys=("document_id", "page_number", "chunk_index", "content_hash", "embedding_model")) -> DataFrame:
+    """Rows of ``chunks`` with no finished counterpart in ``done`` (row-level
+    incremental re-run: a changed text changes its hash)."""
+    keys = list(keys)
+    return chunks.join(done.select(*keys), keys, "left_anti")
+
+
+def append(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """Plain append (no key, a re-run appends again)."""
+    df.write.mode("append").format(fmt).save(path)
+    return path

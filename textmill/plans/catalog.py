@@ -459,3 +459,148 @@ def q_cluster_adapter(spark, sf):
     ok, _rej = embed(rec, "issue", provider="hashing", normalize=False)
     ci = cluster_input(ok.withColumnRenamed("embedding", "issue_embedding_vector"))
     return ci.select("id", "text", _long(F.size("embedding")).alias("dimension"))
+
+# ---------------------------------------------------------------- M7 cluster summaries
+from textmill.operators import summary as SM  # noqa: E402
+
+FC = FX.cluster_rows_sql()
+_RANKED_SQL = f"""c AS {FC},
+g AS (SELECT cluster_label, count(*) AS frequency, min(pos) AS first_pos FROM c
+      WHERE cluster_label <> -1 GROUP BY cluster_label),
+r AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY frequency DESC, first_pos) AS rank FROM g)
+      WHERE rank <= 200)"""
+
+
+def _pool_sql(pool: int) -> str:
+    return f"""nb AS (SELECT cluster_label, pos, {S.strip('text')} AS s FROM c
+       WHERE cluster_label IN (SELECT cluster_label FROM r) AND {S.strip('text')} <> ''),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_label ORDER BY pos) AS rn FROM nb)
+      WHERE rn <= {pool})"""
+
+
+def _canon_sql(pool: int = 10, name: str = "canon") -> str:
+    return f"""{_pool_sql(pool).replace('nb AS', f'nb_{name} AS').replace('FROM nb)', f'FROM nb_{name})').replace('p AS (', f'p_{name} AS (')},
+b_{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_label ORDER BY length(s), pos) AS k
+       FROM p_{name}) WHERE k = 1),
+{name} AS (SELECT r.cluster_label, coalesce(substring({S.strip(S.collapse_all('lower(b.s)'))}, 1, 120),
+       'noisy placeholder') AS canonical FROM r LEFT JOIN b_{name} b ON r.cluster_label = b.cluster_label)"""
+
+
+def _cluster_df(spark, sf):
+    return FX.cluster_rows(spark, sf)
+
+
+@register("label_stats", f"""
+SELECT CAST(count(DISTINCT CASE WHEN cluster_label <> -1 THEN cluster_label END) AS BIGINT) AS n_clusters,
+       CAST(sum(CASE WHEN cluster_label = -1 THEN 1 ELSE 0 END) AS BIGINT) AS n_noise FROM {FC}""")
+def q_label_stats(spark, sf):
+    return SM.label_stats(_cluster_df(spark, sf))
+
+
+@register("cluster_rank", f"""
+WITH {_RANKED_SQL}
+SELECT CAST(cluster_label AS BIGINT) AS cluster_label, frequency, CAST(rank AS BIGINT) AS rank FROM r""")
+def q_cluster_rank(spark, sf):
+    r = SM.rank_clusters(_cluster_df(spark, sf))
+    return r.select(_long("cluster_label").alias("cluster_label"), "frequency", _long("rank").alias("rank"))
+
+
+@register("cluster_examples", f"""
+WITH {_RANKED_SQL},
+x AS (SELECT * FROM (SELECT cluster_label, text, row_number() OVER (PARTITION BY cluster_label ORDER BY pos) AS example
+      FROM c WHERE cluster_label IN (SELECT cluster_label FROM r)) WHERE example <= 5)
+SELECT CAST(cluster_label AS BIGINT) AS cluster_label, CAST(example AS BIGINT) AS example, md5(text) AS md5 FROM x""")
+def q_cluster_examples(spark, sf):
+    df = _cluster_df(spark, sf)
+    x = SM.examples(df, SM.rank_clusters(df))
+    return x.select(_long("cluster_label").alias("cluster_label"), _long("example").alias("example"),
+                    F.md5("text").alias("md5"))
+
+
+@register("canonical_text", f"""
+WITH {_RANKED_SQL}, {_canon_sql()}
+SELECT CAST(cluster_label AS BIGINT) AS cluster_label, canonical FROM canon""")
+def q_canonical_text(spark, sf):
+    df = _cluster_df(spark, sf)
+    c = SM.canonical_text(df, SM.rank_clusters(df))
+    return c.select(_long("cluster_label").alias("cluster_label"), "canonical")
+
+
+_HEAD, _TAIL = SM.CANON_PROMPT.split("{s}")
+
+
+@register("canonical_prompt", f"""
+WITH {_RANKED_SQL}, {_pool_sql(10)},
+l AS (SELECT cluster_label, string_agg(s, concat(chr(10), '- ') ORDER BY rn) AS items FROM p GROUP BY cluster_label)
+SELECT CAST(r.cluster_label AS BIGINT) AS cluster_label,
+       md5(concat({S.q(_HEAD)}, chr(10), '- ', coalesce(items, 'Noisy placeholder'), {S.q(_TAIL)})) AS md5
+FROM r LEFT JOIN l ON r.cluster_label = l.cluster_label""")
+def q_canonical_prompt(spark, sf):
+    df = _cluster_df(spark, sf)
+    p = SM.canonical_prompt(df, SM.rank_clusters(df))
+    return p.select(_long("cluster_label").alias("cluster_label"), F.md5("prompt").alias("md5"))
+
+
+@register("common_issues", f"""
+WITH {_RANKED_SQL}, {_canon_sql()}
+SELECT canon.canonical AS canonical, r.frequency AS frequency,
+       CAST(least(r.frequency, 5) AS BIGINT) AS n_examples, CAST(r.rank AS BIGINT) AS rank
+FROM r JOIN canon ON r.cluster_label = canon.cluster_label""")
+def q_common_issues(spark, sf):
+    ci = SM.common_issues(_cluster_df(spark, sf))
+    return ci.select(F.col("canonical_squawk").alias("canonical"), "frequency",
+                     _long(F.size("sample_examples")).alias("n_examples"), _long("rank").alias("rank"))
+
+
+@register("kmeans_k_rule", """
+WITH g AS (SELECT CAST(label AS BIGINT) AS grp, count(*) AS n FROM embeddings GROUP BY label
+           UNION ALL SELECT -1 AS grp, count(*) AS n FROM embeddings),
+k AS (SELECT grp, n, least(300, greatest(2, CASE WHEN n // 30 = 0 THEN 10 ELSE n // 30 END)) AS raw FROM g)
+SELECT grp, CAST(n AS BIGINT) AS n, CAST(raw AS BIGINT) AS raw_k, CAST(least(raw, n) AS BIGINT) AS k FROM k""")
+def q_kmeans_k_rule(spark, sf):
+    e = FX.read_table(spark, sf, "embeddings")
+    g = e.groupBy(_long("label").alias("grp")).agg(F.count(F.lit(1)).alias("n"))
+    g = g.unionByName(e.agg(F.count(F.lit(1)).alias("n")).select(F.lit(-1).cast("long").alias("grp"), "n"))
+    return g.select("grp", _long("n").alias("n"), SM.kmeans_k(F.col("n"), clamp=False).alias("raw_k"),
+                    SM.kmeans_k(F.col("n")).alias("k"))
+
+
+def _context_corpora(spark, sf):
+    d = FX.documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
+    b = FX.read_table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
+    c = (FX.read_table(spark, sf, "conversations").filter(F.col("role") == "user")
+         .select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text"))
+    return {"manuals": d, "overviews": b, "past_squawks": c}
+
+
+def _ctx_sql() -> str:
+    parts = []
+    src = {"manuals": "SELECT doc_id AS id, text FROM documents",
+           "overviews": "SELECT item_id AS id, text FROM benchmark",
+           "past_squawks": "SELECT conv_id * 1000 + turn AS id, text FROM conversations WHERE role = 'user'"}
+    terms = "list_distinct(regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}_]+'))"
+    for name, lim in SM.CONTEXT_LIMITS.items():
+        parts.append(f"""
+SELECT * FROM (
+  SELECT canonical, '{name}' AS corpus, id, hits,
+         row_number() OVER (PARTITION BY canonical ORDER BY hits DESC, id) AS rank
+  FROM (SELECT pt.canonical, ct.id, count(*) AS hits
+        FROM (SELECT CAST(id AS VARCHAR) AS id, unnest({terms.format(x='text')}) AS term FROM ({src[name]})) ct
+        JOIN pt ON ct.term = pt.term GROUP BY pt.canonical, ct.id))
+WHERE rank <= {lim}""")
+    return "\nUNION ALL".join(parts), terms
+
+
+_CTX_UNION, _TERMS = _ctx_sql()
+
+
+@register("research_context", f"""
+WITH {_RANKED_SQL}, {_canon_sql()},
+pt AS (SELECT DISTINCT canonical, unnest({_TERMS.format(x='canonical')}) AS term FROM (SELECT DISTINCT canonical FROM canon)),
+h AS ({_CTX_UNION})
+SELECT canonical, corpus, CAST(rank AS BIGINT) AS rank, id, CAST(hits AS BIGINT) AS hits FROM h""")
+def q_research_context(spark, sf):
+    df = _cluster_df(spark, sf)
+    phrases = SM.canonical_text(df, SM.rank_clusters(df)).select("canonical").distinct()
+    h = SM.context_hits(phrases, _context_corpora(spark, sf), SM.CONTEXT_LIMITS)
+    return h.select("canonical", "corpus", _long("rank").alias("rank"), "id", _long("hits").alias("hits"))

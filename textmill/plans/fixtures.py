@@ -128,3 +128,28 @@ def write_records_csv(spark: SparkSession, sf: str, path: str) -> str:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
     return path
+
+
+# F-CLUSTER: embeddings joined to documents; the given label is the cluster,
+# with noise, blank texts and empty vectors mixed in by fixed rules.
+CLUSTER_COLS = {
+    "pos": "e.vec_id",
+    "cluster_label": "CASE WHEN e.vec_id % 17 = 0 THEN -1 ELSE e.label END",
+    "text": "CASE WHEN e.vec_id % 11 = 0 THEN '' WHEN e.vec_id % 13 = 0 THEN '   ' ELSE d.text END",
+}
+
+
+def cluster_rows(spark: SparkSession, sf: str) -> DataFrame:
+    e = read_table(spark, sf, "embeddings").alias("e")
+    d = read_table(spark, sf, "documents").alias("d")
+    j = e.join(d, F.col("e.vec_id") == F.col("d.doc_id"))
+    return j.select(F.col("e.vec_id").cast("string").alias("id"),
+                    *[F.expr(v).alias(k) for k, v in CLUSTER_COLS.items()],
+                    F.expr("CASE WHEN e.vec_id % 19 = 0 THEN array() ELSE e.embedding END").alias("embedding"))
+
+
+def cluster_rows_sql() -> str:
+    cols = ", ".join(f"{v} AS {k}" for k, v in CLUSTER_COLS.items())
+    return (f"(SELECT CAST(e.vec_id AS VARCHAR) AS id, {cols}, "
+            f"CASE WHEN e.vec_id % 19 = 0 THEN CAST([] AS FLOAT[]) ELSE e.embedding END AS embedding "
+            f"FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id)")
