@@ -604,3 +604,139 @@ def q_research_context(spark, sf):
     phrases = SM.canonical_text(df, SM.rank_clusters(df)).select("canonical").distinct()
     h = SM.context_hits(phrases, _context_corpora(spark, sf), SM.CONTEXT_LIMITS)
     return h.select("canonical", "corpus", _long("rank").alias("rank"), "id", _long("hits").alias("hits"))
+
+# ---------------------------------------------------------------- M9 sinks, batches, incremental
+from textmill.operators.chunking import chunk_hash  # noqa: E402
+from textmill.operators.pages import page_parts as _page_parts  # noqa: E402
+from textmill.operators.sinks import (append as _append, batch_report as _batch_report,  # noqa: E402
+                                      number_batches, pending as _pending, upsert as _upsert)
+from textmill.sources.documents import discover_documents, page_rows  # noqa: E402
+from textmill.sources.files import check_schema  # noqa: E402
+from textmill import schemas  # noqa: E402
+
+
+@register("upsert_merge", f"""
+WITH {_RANKED_SQL}, {_canon_sql(5, 'old')}, {_canon_sql(10, 'new')},
+t AS (SELECT * FROM (SELECT old.canonical AS k, r.frequency, r.rank,
+        row_number() OVER (PARTITION BY old.canonical ORDER BY r.rank) AS d
+      FROM r JOIN old ON r.cluster_label = old.cluster_label) WHERE d = 1),
+s AS (SELECT * FROM (SELECT new.canonical AS k, r.frequency, r.rank,
+        row_number() OVER (PARTITION BY new.canonical ORDER BY r.rank) AS d
+      FROM r JOIN new ON r.cluster_label = new.cluster_label) WHERE d = 1)
+SELECT k AS canonical_squawk, frequency, CAST(rank AS BIGINT) AS rank FROM t WHERE k NOT IN (SELECT k FROM s)
+UNION ALL SELECT k, frequency, CAST(rank AS BIGINT) FROM s""")
+def q_upsert_merge(spark, sf):
+    """Merge this run's common issues (pool of 10 examples) into a table
+    written by a run with a pool of 5; merging twice changes nothing."""
+    df = _cluster_df(spark, sf)
+    old = SM.common_issues(df, pool=5).select("canonical_squawk", "frequency", "rank")
+    new = SM.common_issues(df, pool=10).select("canonical_squawk", "frequency", "rank")
+    from textmill.operators.sinks import dedupe
+    merged = _upsert(dedupe(old, "canonical_squawk"), new, "canonical_squawk")
+    return merged.select("canonical_squawk", "frequency", _long("rank").alias("rank"))
+
+
+_MODEL = "hashing-tf-64"
+
+
+@register("pending_chunks", f"""
+WITH {S.pages_cte(VOCAB_SQL, 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)},
+now AS (SELECT * FROM chunks),
+{S.pages_cte('documents', 'doc_id', 'text', 'chr(12)').replace('raw_pages', 'raw_pages0').replace('pages AS', 'pages0 AS')},
+toks0 AS (SELECT document_id, page_number, {S.word_tokens(S.collapse('text'))} AS t FROM pages0),
+wins0 AS (SELECT document_id, page_number, t, unnest(generate_series(0, len(t) - 1, 550)) AS s FROM toks0 WHERE len(t) > 0),
+done AS (SELECT document_id, page_number, CAST(s // 550 AS BIGINT) AS chunk_index,
+         replace(array_to_string(list_slice(t, s + 1, s + 600), ''), chr(0), '') AS content FROM wins0)
+SELECT CAST(document_id AS BIGINT) AS document_id, CAST(page_number AS BIGINT) AS page_number, chunk_index
+FROM now WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.document_id = now.document_id
+  AND done.page_number = now.page_number AND done.chunk_index = now.chunk_index AND done.content = now.content)""")
+def q_pending_chunks(spark, sf):
+    """Chunks of the current documents not embedded by an earlier run over
+    the previous text (row-level incremental key: position + content hash +
+    model)."""
+    prev = chunk_hash(chunk_pages(scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF), tag=False))
+    done, _ = embed(prev, "content", provider="hashing", model=_MODEL)
+    cur = chunk_hash(chunk_pages(scan_pages(FX.vocab_documents(spark, sf), "doc_id", "text", delimiter=FF),
+                                 tag=False)).withColumn("embedding_model", F.lit(_MODEL))
+    p = _pending(cur, done)
+    return p.select(_long("document_id").alias("document_id"), _long("page_number").alias("page_number"),
+                    _long("chunk_index").alias("chunk_index"))
+
+
+@register("batch_report", f"""
+WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)},
+n AS (SELECT *, (row_number() OVER (ORDER BY document_id, page_number, chunk_index) - 1) // 50 AS batch FROM chunks),
+g AS (SELECT batch, count(*) AS rows, max(CASE WHEN token_count < 20 THEN 1 ELSE 0 END) AS bad FROM n GROUP BY batch)
+SELECT CAST(batch AS BIGINT) AS batch, rows, CAST(CASE WHEN bad = 0 THEN rows ELSE 0 END AS BIGINT) AS ok,
+       CAST(CASE WHEN bad = 1 THEN rows ELSE 0 END AS BIGINT) AS failed FROM g""")
+def q_batch_report(spark, sf):
+    """Insert batches of 50 in chunk order; a batch holding a row the sink
+    rejects (fewer than 20 tokens here) fails whole."""
+    c = chunk_pages(scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF), tag=False)
+    b = number_batches(c, ["document_id", "page_number", "chunk_index"], size=50)
+    return _batch_report(b, F.col("token_count") < 20)
+
+
+@register("page_parts", """
+WITH p AS (SELECT doc_id AS document_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS page_number
+           FROM documents),
+t AS (SELECT document_id, max(page_number) AS total FROM p GROUP BY document_id),
+g AS (SELECT document_id, (page_number - 1) // 100 AS part, count(*) AS pages FROM p GROUP BY 1, 2)
+SELECT CAST(g.document_id AS BIGINT) AS document_id, CAST(part AS BIGINT) AS part,
+       CAST(part * 100 + 1 AS BIGINT) AS start_page, CAST(least(part * 100 + 100, total) AS BIGINT) AS end_page,
+       concat(g.document_id, '_pages_', part * 100 + 1, '-', least(part * 100 + 100, total)) AS part_name,
+       CAST(pages AS BIGINT) AS pages
+FROM g JOIN t ON g.document_id = t.document_id""")
+def q_page_parts(spark, sf):
+    p = page_rows(_docs(spark, sf), "doc_id", "text", delimiter=NL)
+    parts = _page_parts(p)
+    return parts.select(_long("document_id").alias("document_id"), _long("part").alias("part"),
+                        _long("start_page").alias("start_page"), _long("end_page").alias("end_page"),
+                        "part_name", _long("pages").alias("pages"))
+
+
+ROW_CAP = 20000
+
+
+@register("usable_rows", f"""
+SELECT id FROM (SELECT * FROM {FC} ORDER BY pos LIMIT {ROW_CAP})
+WHERE len(embedding) > 0 AND text <> ''""")
+def q_usable_rows(spark, sf):
+    """Clustering input with the development row cap (applied at the source,
+    before the usable-row filter)."""
+    from textmill.sources.tables import read_cluster_rows
+    return read_cluster_rows(_cluster_df(spark, sf), limit=ROW_CAP, order="pos").select("id")
+
+
+def q_discover_documents(spark, sf):
+    """Write the documents as text files, then list them by suffix."""
+    path = scratch_path(spark, "docs-text")
+    _docs(spark, sf).select("text").write.mode("overwrite").text(path)
+    return discover_documents(spark, path, suffix=".txt").select("path", "length")
+
+
+register("discover_documents")(q_discover_documents)
+
+
+def q_append_rows(spark, sf):
+    """Plain appends of the record table: a second run adds the rows again."""
+    path = FX.write_records_csv(spark, sf, scratch_path(spark, "records-csv"))
+    rec = map_records(read_records_csv(spark, path))
+    out = scratch_path(spark, "records-table")
+    _append(rec, out)
+    _append(rec, out)
+    return spark.read.parquet(out)
+
+
+register("append_rows")(q_append_rows)
+
+
+def q_schema_check(spark, sf):
+    """Contract check of produced vector rows against the declared schema."""
+    pages = scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF)
+    c = chunk_pages(pages, tag=True, constants={"aircraft_model": "DA42"})
+    ok, _ = embed(c, "content")
+    return check_schema(vector_rows(ok, "AFM"), schemas.VECTOR_ROW)
+
+
+register("schema_check")(q_schema_check)
