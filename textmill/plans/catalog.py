@@ -740,3 +740,53 @@ def q_schema_check(spark, sf):
 
 
 register("schema_check")(q_schema_check)
+
+# ---------------------------------------------------------------- M8 clustering
+from textmill.operators.cluster import cluster_density, cluster_kmeans, kmeans_invariants  # noqa: E402
+
+
+def q_kmeans_invariants(spark, sf):
+    """MLlib k-means with the k rule on the embeddings: size sum equals n and
+    every row's centre is its nearest."""
+    e = FX.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    labelled, model = cluster_kmeans(e)
+    return kmeans_invariants(labelled, model)
+
+
+register("kmeans_invariants")(q_kmeans_invariants)
+
+
+def partition_report(labelled):
+    """Per given label: size, predicted clusters, noise rows, and how many
+    other given labels share a predicted cluster with it."""
+    pred = labelled.filter(F.col("cluster_label") != -1)
+    pairs = (pred.select("label", "cluster_label").distinct().alias("a")
+             .join(pred.select("label", "cluster_label").distinct().alias("b"), "cluster_label")
+             .filter(F.col("a.label") != F.col("b.label"))
+             .groupBy(F.col("a.label").alias("label")).agg(F.count_distinct("b.label").alias("shared")))
+    base = labelled.groupBy("label").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.count_distinct(F.when(F.col("cluster_label") != -1, F.col("cluster_label"))).alias("clusters"),
+        F.count_if(F.col("cluster_label") == -1).alias("noise"))
+    return (base.join(pairs, "label", "left")
+            .select(_long("label").alias("label"), _long("size").alias("size"), _long("clusters").alias("clusters"),
+                    _long("noise").alias("noise"), F.coalesce("shared", F.lit(0)).cast("long").alias("shared")))
+
+
+@register("density_partition", """
+SELECT CAST(label AS BIGINT) AS label, CAST(count(*) AS BIGINT) AS size, CAST(1 AS BIGINT) AS clusters,
+       CAST(0 AS BIGINT) AS noise, CAST(0 AS BIGINT) AS shared FROM embeddings GROUP BY label""")
+def q_density_partition(spark, sf):
+    """Density clustering recovers the label partition of separable vectors."""
+    return partition_report(cluster_density(FX.separable(spark, sf)))
+
+
+@register("density_noise", f"""
+WITH g AS (SELECT CASE WHEN {FX.SEP_OUTLIER} THEN -1 ELSE label END AS label FROM embeddings)
+SELECT CAST(label AS BIGINT) AS label, CAST(count(*) AS BIGINT) AS size,
+       CAST(CASE WHEN label = -1 THEN 0 ELSE 1 END AS BIGINT) AS clusters,
+       CAST(CASE WHEN label = -1 THEN count(*) ELSE 0 END AS BIGINT) AS noise, CAST(0 AS BIGINT) AS shared
+FROM g GROUP BY label""")
+def q_density_noise(spark, sf):
+    """Far outliers come out as noise, the rest as their label's cluster."""
+    return partition_report(cluster_density(FX.separable(spark, sf, outliers=True)))

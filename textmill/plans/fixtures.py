@@ -153,3 +153,19 @@ def cluster_rows_sql() -> str:
     return (f"(SELECT CAST(e.vec_id AS VARCHAR) AS id, {cols}, "
             f"CASE WHEN e.vec_id % 19 = 0 THEN CAST([] AS FLOAT[]) ELSE e.embedding END AS embedding "
             f"FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id)")
+
+
+# F-SEP: separable vectors (label decides which axis is lifted); the
+# outlier variant pushes some rows far out along their own direction.
+SEP_VEC = ("transform(embedding, (x, i) -> CAST(0.15 * x + CASE WHEN i = label THEN 1 ELSE 0 END AS FLOAT))")
+SEP_OUTLIER = "vec_id % 25 = 0"
+
+
+def separable(spark: SparkSession, sf: str, outliers: bool = False) -> DataFrame:
+    e = read_table(spark, sf, "embeddings")
+    v = F.expr(SEP_VEC)
+    group = F.col("label")
+    if outliers:
+        v = F.when(F.expr(SEP_OUTLIER), F.expr("transform(embedding, x -> CAST(10 * x AS FLOAT))")).otherwise(v)
+        group = F.when(F.expr(SEP_OUTLIER), F.lit(-1)).otherwise(F.col("label"))
+    return e.select(F.col("vec_id").alias("id"), v.alias("embedding"), group.alias("label"))

@@ -70,10 +70,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/textmill/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from it.
+
+    Reliable (survives executor loss, unlike a local checkpoint), and the
+    re-read table carries statistics from its real file sizes: iterative
+    loops whose joins would otherwise compound size estimates stay sane.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
