@@ -64,6 +64,33 @@ CATEGORY_RULES: list[tuple[str, list[tuple[str, float]]]] = [
         (r"\b(normal procedures?|operational procedures?|checklist|preflight|postflight|start(ing)?|shutdown)\b", 1.5),
     ]),
 ]
+# For each pattern above (same order), literal pieces of which
+# every match contains at least one, in lower case.  Used only to skip the
+# regex on texts that cannot match; the counts are the regex's.
+CATEGORY_ANCHORS: list[list[tuple[str, ...]]] = [
+    [("contents", "toc", "list of ", "illustration", "drawing", "schematic")],
+    [("hydraul",),
+     ("actuator", "reservoir", "accumulator", "servo", "pressure", "relief valve", "hyd")],
+    [("electrica",),
+     ("circuit", "voltage", "current", "battery", "generator", "alternator", "bus", "breaker", "inverter")],
+    [("avionic", "navigation", "communication", "radar", "fms", "gps", "display", "computer"),
+     ("flight director",)],
+    [("powerplant", "engine", "turbine", "compressor", "combustion", "exhaust", "ignition", "propeller"),
+     ("n1", "n2", "egt", "itt", "torque")],
+    [("landing gear",),
+     ("strut", "shock", "brake", "wheel", "tire", "nose gear", "extend", "retract")],
+    [("troubleshooting", "inspection", "interval", "schedule", "service", "lubricat", "maintenance"),
+     ("removal and installation", "r&i", "install", "remove")],
+    [("fuel system",),
+     ("fuel ", "boost pump", "unfeather pump")],
+    [("air conditioning", "pressurization", "bleed air", "ventilation", "temperature control", "oxygen")],
+    [("flight control", "aileron", "elevator", "rudder", "flap", "spoiler", "trim"),
+     ("autopilot", "yaw damper")],
+    [("emergency procedure", "abnormal", "warning", "caution")],
+    [("limitation", "operating limit", "weight and balance", "center of gravity", "cg", "c.g")],
+    [("normal procedure", "operational procedure", "checklist", "preflight", "postflight", "start", "shutdown")],
+]
+
 TITLE_WEIGHT = 3.0
 BODY_WEIGHT = 1.0
 MIN_SCORE = 2.0
@@ -82,26 +109,50 @@ def _hits(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit("(?iU)" + pattern)).cast("double")
 
 
+def folded(c: Column) -> Column:
+    """Lower case plus the two letters whose case partner is ASCII but whose
+    lower case is not (long s, dotless i): a case-insensitive match of an
+    ASCII literal always appears in this text as that literal in lower case."""
+    return F.translate(F.lower(c), "\u017f\u0131", "si")
+
+
+def _hits_filtered(c: Column, fold: Column, pattern: str, anchors: tuple[str, ...]) -> Column:
+    """Regex count, skipped (0) when the folded text holds none of the
+    pattern's anchors; a substring test is far cheaper than the regex."""
+    gate = None
+    for a in anchors:
+        hit = fold.contains(a)
+        gate = hit if gate is None else (gate | hit)
+    return F.when(gate, _hits(c, pattern)).otherwise(F.lit(0.0))
+
+
 def category_score_columns(body, title=None, rules=None,
                            w_title: float = TITLE_WEIGHT,
-                           w_body: float = BODY_WEIGHT) -> list[Column]:
+                           w_body: float = BODY_WEIGHT, fold_col: str | None = None) -> list[Column]:
     """One double column per category, aliased ``score_<name>``.
 
     A null or empty ``title`` contributes nothing; a null body counts as ''.
+    With ``fold_col`` (a column holding ``folded(body)``, see
+    :func:`score_frame`) each body regex runs only on texts holding one of
+    its anchors.
     """
+    anchors = CATEGORY_ANCHORS if (rules is None and fold_col is not None) else None
     rules = CATEGORY_RULES if rules is None else rules
     b = F.coalesce(F.col(body) if isinstance(body, str) else body, F.lit(""))
+    bf = F.col(fold_col) if fold_col is not None else None
     t = None
     if title is not None:
         t = F.col(title) if isinstance(title, str) else title
     cols = []
-    for name, pats in rules:
+    for ci, (name, pats) in enumerate(rules):
         acc = F.lit(0.0)
-        for pat, w in pats:
+        for pi, (pat, w) in enumerate(pats):
             if t is not None:
                 acc = acc + F.when(F.coalesce(t, F.lit("")) != "",
                                    F.lit(w_title * w) * _hits(t, pat)).otherwise(F.lit(0.0))
-            acc = acc + F.lit(w_body * w) * _hits(b, pat)
+            body_hits = (_hits_filtered(b, bf, pat, anchors[ci][pi]) if anchors is not None
+                         else _hits(b, pat))
+            acc = acc + F.lit(w_body * w) * body_hits
         cols.append(acc.alias(score_column_name(name)))
     return cols
 
@@ -140,13 +191,25 @@ def category_topk(k: int, score_cols: list[str] | None = None,
     return F.when(best < min_score, F.array(F.lit(FALLBACK))).otherwise(top)
 
 
+def score_frame(df, body: str, title: str | None = None, keep=None):
+    """``df`` plus the 13 score columns, with the anchor prefilter: the
+    folded body is computed once in its own projection, then every body
+    regex is gated by cheap substring tests on it."""
+    keep = df.columns if keep is None else keep
+    f = df.select(*keep, *([] if body in keep else [body]), *([] if title is None or title in keep else [title]),
+                  folded(F.coalesce(F.col(body), F.lit(""))).alias("_tm_fold"))
+    return f.select(*keep, *category_score_columns(body, title, fold_col="_tm_fold"))
+
+
 def with_categories(df, body: str, title: str | None = None, out: str = "system_category",
                     keep_scores: bool = False, rules=None):
     """Add the category label (and optionally the 13 score columns)."""
     rules = CATEGORY_RULES if rules is None else rules
     names = [n for n, _ in rules]
-    cols = category_score_columns(body, title, rules)
     score_names = [score_column_name(n) for n in names]
-    scored = df.select("*", *cols)
+    if rules is CATEGORY_RULES:
+        scored = score_frame(df, body, title)
+    else:
+        scored = df.select("*", *category_score_columns(body, title, rules))
     labelled = scored.withColumn(out, category_label(score_names, names))
     return labelled if keep_scores else labelled.drop(*score_names)

@@ -171,7 +171,7 @@ SCORE_COLS = [tagging.score_column_name(n) for n in tagging.CATEGORIES]
 
 def _vocab_scored(spark, sf):
     d = FX.vocab_documents(spark, sf)
-    return d.select("doc_id", *tagging.category_score_columns("text"))
+    return tagging.score_frame(d, "text", keep=["doc_id"])
 
 
 @register("category_scores", f"""
