@@ -60,3 +60,28 @@ def test_kmeans_invariants(spark):
     labelled, model = cluster_kmeans(df, k=3)
     r = kmeans_invariants(labelled, model).first()
     assert (r.n, r.k, r.size_sum, r.nearest_ok) == (75, 3, 75, True)
+
+
+def test_hierarchy_matches_bruteforce(spark):
+    """Random points with uneven density: the distributed condensed tree and
+    selection give the same partition as a sequential implementation."""
+    from hdbscan_bruteforce import labels_from_tree
+    from textmill.operators.cluster import condensed_labels, core_distances, spanning_tree
+    rng = np.random.default_rng(3)
+    pts = np.concatenate([rng.normal(0, 1.0, (60, 3)), rng.normal(6, 0.5, (40, 3)),
+                          rng.normal((0, 8, 0), 2.0, (40, 3)), rng.uniform(-10, 15, (10, 3))])
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)], "id long, v array<double>")
+    n = len(pts)
+    core = core_distances(df, 5, 64, n)
+    tree = spanning_tree(df.join(core, "id"), 64, n)
+    edges = [(r.u, r.v, r.w) for r in tree.collect()]
+    assert len(edges) == n - 1
+    for mcs in (5, 12):
+        want = labels_from_tree(n, edges, mcs)
+        got = {r.id: r.cluster_label for r in condensed_labels(tree, df.select("id"), mcs).collect()}
+        pairs = {}
+        for i in range(n):
+            pairs.setdefault(int(want[i]), set()).add(got[i])
+        assert all(len(v) == 1 for v in pairs.values()), (mcs, pairs)
+        assert pairs.get(-1, {-1}) == {-1}
+        assert len({next(iter(v)) for v in pairs.values()}) == len(pairs)

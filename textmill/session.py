@@ -38,6 +38,31 @@ def get_session(master: str | None = None, app: str = "textmill",
     return spark
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``textmill`` importable in Python workers (pandas UDF steps).
+
+    Workers take PYTHONPATH from the environment the driver wraps functions
+    with; on a non-local master the package also goes out as a zip through
+    ``addPyFile`` (once per context).
+    """
+    sc = spark.sparkContext
+    env = sc.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
+    if id(sc) in _SHIPPED or (sc.master or "").startswith("local"):
+        return
+    import shutil
+    base = tempfile.mkdtemp(prefix="textmill-pkg-")
+    archive = shutil.make_archive(os.path.join(base, "textmill"), "zip", PACKAGE_ROOT, "textmill")
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
+
+
 def apply_conf(spark: SparkSession) -> None:
     """Set the session-level options on an existing session."""
     for k, v in REQUIRED_CONF.items():
@@ -45,6 +70,7 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: leave as is
             pass
+    ship_package(spark)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
