@@ -27,9 +27,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The same set as WS, spelled out as characters for btrim (which trims any
+# character of the set from both ends and touches only the ends).
+WS_CHARS = ("\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680"
+            + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def py_strip(c) -> Column:
     """``str.strip()``: remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(_c(c), STRIP_RE, "")
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def collapse_runs(c) -> Column:
