@@ -90,11 +90,14 @@ def embed(df: DataFrame, text_col: str = "content", provider: str = "hashing",
 def vector_rows(chunks: DataFrame, document_type: str) -> DataFrame:
     """Embedded chunks -> vector-store rows: constant ``document_type`` and
     ``metadata.token_count`` (0 when absent); the model column is dropped."""
+    from textmill.schemas import VECTOR_ROW
     tc = F.col("token_count") if "token_count" in chunks.columns else F.lit(None)
-    return chunks.select(
+    out = chunks.select(
         "content", "embedding", "page_number", "section_title", "aircraft_model",
         "document_id", "system_category", F.lit(document_type).alias("document_type"),
         F.struct(F.coalesce(tc.cast("int"), F.lit(0)).alias("token_count")).alias("metadata"))
+    # conform to the declared table schema
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in VECTOR_ROW.fields])
 
 
 def embedding_dims(df: DataFrame, col: str = "embedding") -> DataFrame:
