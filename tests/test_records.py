@@ -73,3 +73,25 @@ def test_number_rows_matches_window(spark):
     got = number_rows(df, ["k"]).select("k", "row_index")
     bad = got.filter(F.col("row_index") != F.col("k")).count()
     assert bad == 0 and got.count() == 5000
+
+
+def test_chunk_json_array_files(spark, tmp_path):
+    """Reference layout: a folder of files that each hold one JSON array;
+    other suffixes are skipped, absent keys read as null."""
+    import json
+    from textmill.sources.files import read_chunks_json
+    (tmp_path / "a.json").write_text(json.dumps([{"content": "x", "page_number": 1, "token_count": 3},
+                                                 {"content": "é", "page_number": 2}]))
+    (tmp_path / "b.JSON").write_text(json.dumps([{"content": "y", "page_number": 7, "token_count": 1}]))
+    (tmp_path / "notes.txt").write_text("ignored")
+    rows = sorted((r.content, r.page_number, r.token_count)
+                  for r in read_chunks_json(spark, str(tmp_path)).collect())
+    assert rows == [("x", 1, 3), ("y", 7, 1), ("é", 2, None)]
+
+
+def test_canonical_from_model(spark):
+    df = spark.createDataFrame([(0, 0, "Oil leak"), (0, 1, "oil  leaking")], "cluster_label int, pos int, text string")
+    prompts = SM.canonical_prompt(df)
+    assert "\n- Oil leak\n- oil  leaking\n" in prompts.first().prompt
+    out = SM.canonical_from_model(prompts, lambda s: ["  Engine oil\n leak  " for _ in s]).first()
+    assert out.canonical == "Engine oil leak"

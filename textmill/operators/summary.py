@@ -205,3 +205,19 @@ def kmeans_k(n, cap: int = 300, floor: int = 2, small: int = 10, per: int = 30,
     q = F.floor(n / per)
     k = F.least(F.lit(cap), F.greatest(F.lit(floor), F.when(q == 0, F.lit(small)).otherwise(q)))
     return (F.least(k, n) if clamp else k).cast("long")
+
+
+def canonical_from_model(prompts: DataFrame, answer_fn, width: int = CANON_WIDTH) -> DataFrame:
+    """Model path of the canonical phrase: ``answer_fn`` maps a pandas Series
+    of prompts to answers (one call per cluster, at most ``top`` rows, run
+    in Arrow batches with ``mapInPandas``); answers are stripped, blanks
+    collapsed and cut to ``width``."""
+    schema = "cluster_label " + dict(prompts.dtypes)["cluster_label"] + ", answer string"
+
+    def run(batches):
+        for pdf in batches:
+            out = pdf[["cluster_label"]].copy()
+            out["answer"] = list(answer_fn(pdf["prompt"]))
+            yield out
+    ans = prompts.select("cluster_label", "prompt").mapInPandas(run, schema)
+    return ans.select("cluster_label", clean_answer(F.col("answer"), width).alias("canonical"))
