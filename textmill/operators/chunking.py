@@ -61,14 +61,17 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
     n = F.size("_toks")
     starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))) \
               .otherwise(F.array().cast("array<int>"))
-    win = tok.select("document_id", "page_number", *extra, "_toks",
-                     F.posexplode(starts).alias("chunk_index", "_start"))
+    # every window as (index, text, token count) in one array, so an exploded
+    # row carries only its own chunk, never the page's whole token array
+    wins = F.transform(starts, lambda s, i: F.struct(
+        i.alias("i"), s.alias("s"),
+        F.array_join(F.slice("_toks", s + 1, size), "").alias("t"),
+        F.size(F.slice("_toks", s + 1, size)).alias("c")))
     if drop_contained_tail:
-        win = win.filter((F.col("_start") == 0) | (F.col("_start") + overlap < F.size("_toks")))
-    piece = F.slice("_toks", F.col("_start") + 1, size)
-    out = win.select("document_id", "page_number", *extra, "chunk_index",
-                     F.array_join(piece, "").alias("_raw"),
-                     F.size(piece).alias("token_count"))
+        wins = F.filter(wins, lambda w: (w["s"] == 0) | (w["s"] + overlap < n))
+    out = tok.select("document_id", "page_number", *extra, F.explode(wins).alias("_w")).select(
+        "document_id", "page_number", *extra, F.col("_w.i").alias("chunk_index"),
+        F.col("_w.t").alias("_raw"), F.col("_w.c").alias("token_count"))
     content = drop_nul("_raw") if cleanup else F.col("_raw")
     out = out.select("document_id", "page_number", *extra, "chunk_index",
                      content.alias("content"), "token_count")
