@@ -136,10 +136,8 @@ def research_context(phrases: DataFrame, corpora: dict[str, DataFrame] | None =
 
     ``empty`` returns three empty lists (the default behaviour).  ``search``
     ranks each corpus's rows by the number of distinct phrase terms they
-    contain (ties by id) and keeps the top ``limits[corpus]``.  The phrase
-    side is bounded (top clusters x phrase width), so its terms are
-    broadcast and the corpus is never shuffled by term: frequent words cost
-    nothing extra.
+    contain (ties by id) and keeps the top ``limits[corpus]``; see
+    :func:`context_hits` for the plan.
     """
     limits = dict(CONTEXT_LIMITS if limits is None else limits)
     if mode == "empty":
@@ -160,19 +158,38 @@ def research_context(phrases: DataFrame, corpora: dict[str, DataFrame] | None =
 def context_hits(phrases: DataFrame, corpora: dict[str, DataFrame], limits: dict[str, int],
                  key: str = "canonical") -> DataFrame:
     """Flat ranked hits ``key, corpus, rank, id, hits`` (corpora hold
-    ``id, text``)."""
-    pterms = (phrases.select(key, F.explode(_terms(F.col(key))).alias("term")).distinct())
+    ``id, text``).
+
+    The phrase side is bounded (top clusters x phrase width): it becomes one
+    map ``term -> phrase indices``, a scalar subquery evaluated once and
+    shipped with the corpus scan.  Each corpus row counts its hits per phrase in place (no join
+    rows, no shuffle of document-phrase pairs, so frequent words cost
+    nothing extra), and ``row_number() <= k`` trims to each phrase's top k
+    inside every task before the only shuffle.
+    """
+    pidx = (phrases.select(key).distinct()
+            .withColumn("_pi", (F.row_number().over(Window.orderBy(key)) - 1).cast("int")))
+    pt = pidx.select("_pi", F.explode(_terms(F.col(key))).alias("term"))
+    # one value, evaluated once as a scalar subquery and shipped with the plan
+    lookup = (pt.groupBy("term").agg(F.array_sort(F.collect_list("_pi")).alias("_pis"))
+              .agg(F.map_from_entries(F.collect_list(F.struct("term", "_pis"))).alias("_m"))
+              .scalar())
     out = None
     for name, corpus in corpora.items():
-        cterms = corpus.select(F.col("id").cast("string").alias("id"),
-                               F.explode(_terms(F.col("text"))).alias("term"))
-        m = (cterms.join(F.broadcast(pterms), "term")
-             .groupBy(key, "id").agg(F.count(F.lit(1)).alias("hits")))
-        w = Window.partitionBy(key).orderBy(F.desc("hits"), F.asc("id"))
-        r = (m.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limits[name])
+        c = corpus.select(F.col("id").cast("string").alias("id"), _terms(F.col("text")).alias("_t"),
+                          lookup.alias("_m"))
+        hit = F.flatten(F.transform("_t", lambda t: F.coalesce(F.try_element_at("_m", t),
+                                                               F.array().cast("array<int>"))))
+        per = F.transform(F.array_distinct("_h"), lambda p: F.struct(
+            p.alias("_pi"), F.size(F.filter("_h", lambda q: q == p)).alias("hits")))
+        rows = (c.select("id", hit.alias("_h")).select("id", F.explode(per).alias("_x"))
+                .select("id", "_x._pi", "_x.hits"))
+        w = Window.partitionBy("_pi").orderBy(F.desc("hits"), F.asc("id"))
+        r = (rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limits[name])
              .withColumn("corpus", F.lit(name)))
         out = r if out is None else out.unionByName(r)
-    return out.select(key, "corpus", "rank", "id", "hits")
+    return (out.join(F.broadcast(pidx), "_pi")
+            .select(key, "corpus", "rank", "id", F.col("hits").cast("long").alias("hits")))
 
 
 def common_issues(df: DataFrame, top: int = TOP_N, n_examples: int = EXAMPLES,
