@@ -25,10 +25,16 @@ def discover_documents(spark: SparkSession, path: str, suffix: str = ".pdf") ->
     Returns ``path, document_id, length, content`` lazily; ``content`` (the
     bytes) is only read if a later step selects it.
     """
-    df = (spark.read.format("binaryFile")
-          .option("pathGlobFilter", _suffix_glob(suffix))
-          .option("recursiveFileLookup", "false")
-          .load(path))
+    from pyspark.errors import AnalysisException
+    try:
+        df = (spark.read.format("binaryFile")
+              .option("pathGlobFilter", _suffix_glob(suffix))
+              .option("recursiveFileLookup", "false")
+              .load(path))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"No {suffix} file or folder found at: {path}") from e
+        raise
     df = df.select("path", basename("path").alias("document_id"), "length", "content")
     if df.select("path").isEmpty():
         raise FileNotFoundError(f"No {suffix} file or folder found at: {path}")
