@@ -43,3 +43,16 @@ def test_page_parts(spark):
     pages = spark.createDataFrame([("m", p) for p in range(1, 251)], "document_id string, page_number int")
     got = sorted((r.part_name, r.pages) for r in page_parts(pages).collect())
     assert got == [("m_pages_1-100", 100), ("m_pages_101-200", 100), ("m_pages_201-250", 50)]
+
+
+def test_insert_batches_and_part_folders(spark, tmp_path):
+    from textmill.operators.sinks import insert_batches, write_page_parts
+    df = spark.range(0, 230).select(F.col("id").alias("k"), (F.col("id") == 120).alias("bad"))
+    rep = insert_batches(df, ["k"], str(tmp_path / "t"), size=50, failed=F.col("bad"))
+    r = sorted(tuple(x) for x in rep.collect())
+    assert r == [(0, 50, 50, 0), (1, 50, 50, 0), (2, 50, 0, 50), (3, 50, 50, 0), (4, 30, 30, 0)]
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 180
+    pages = spark.createDataFrame([("m", p, "x") for p in range(1, 151)], "document_id string, page_number int, text string")
+    out = write_page_parts(pages, str(tmp_path / "p"))
+    back = spark.read.parquet(out)
+    assert sorted((r.part, r["count"]) for r in back.groupBy("part").count().collect()) == [(0, 100), (1, 50)]

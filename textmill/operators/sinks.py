@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -72,7 +72,6 @@ def number_rows(df: DataFrame, order: list[str], out: str = "row_index") -> Data
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
     counts = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
     offs = counts.withColumn("_off", F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
     j = t.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
@@ -112,3 +111,24 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Plain append (no key, a re-run appends again)."""
     df.write.mode("append").format(fmt).save(path)
     return path
+
+
+def insert_batches(df: DataFrame, order: list[str], path: str, size: int = 50, failed=None,
+                   fmt: str = "parquet") -> DataFrame:
+    """Insert in batches of ``size`` rows (in ``order``): a batch with any
+    row meeting ``failed`` is counted as failed and skipped, the others are
+    appended; returns the per-batch report (a failed batch is not fatal)."""
+    b = number_batches(df, order, size)
+    bad = failed if failed is not None else F.lit(False)
+    # a batch holds at most `size` rows: this window's groups are bounded
+    flagged = b.withColumn("_bad", F.max(F.when(bad, 1).otherwise(0)).over(Window.partitionBy("batch")))
+    flagged.filter(F.col("_bad") == 0).drop("_bad", "row_index").write.mode("append").format(fmt).save(path)
+    return batch_report(b, bad)
+
+
+def write_page_parts(pages: DataFrame, path: str, size: int = 100, fmt: str = "parquet") -> str:
+    """Write pages into one folder per document and part of ``size`` pages
+    (``part = (page_number - 1) // size``)."""
+    (pages.withColumn("part", F.floor((F.col("page_number") - 1) / size).cast("long"))
+     .write.mode("overwrite").partitionBy("document_id", "part").format(fmt).save(path))
+    return path
