@@ -102,3 +102,15 @@ def test_split_list_and_slugs(spark):
     assert one(spark, split_list("s"), "Header, Footer,,") == ["Header", "Footer"]
     assert one(spark, slug("s"), "BAAI/bge-base-en-v1.5") == "baai_bge_base_en_v1_5"
     assert one(spark, output_name("s"), "/a/b/Manual.v2.PDF") == "Manual.v2.chunks.json"
+
+
+def test_split_tokens_equal_extracted_tokens(spark):
+    """Both word tokenisers agree on stripped text (Unicode blanks included)."""
+    import random
+    from textmill.functions.text import word_tokens, word_tokens_stripped
+    rnd = random.Random(5)
+    alphabet = ["a", "b", "é", "1", ".", " ", "\n", "\xa0", " ", "\x1c", "\t"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))).strip() for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    rows = df.select(word_tokens("s").alias("a"), word_tokens_stripped("s").alias("b")).collect()
+    assert all(r.a == r.b for r in rows)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.tagging import with_categories
-from textmill.functions.text import collapse_runs, drop_nul, section_title, tokens
+from textmill.functions.text import (collapse_runs, drop_nul, section_title, tokens,
+                                     word_tokens_stripped)
 
 CHUNK_SIZE = 600
 CHUNK_OVERLAP = 50
@@ -28,9 +29,11 @@ def register_tokenizer(name: str, fn: Callable[[Column], Column]) -> None:
     _TOKENIZERS[name] = fn
 
 
-def tokenize(c, mode: str = "word") -> Column:
+def tokenize(c, mode: str = "word", stripped: bool = False) -> Column:
     if mode in _TOKENIZERS:
         return _TOKENIZERS[mode](F.col(c) if isinstance(c, str) else c)
+    if mode == "word" and stripped:
+        return word_tokens_stripped(c)
     return tokens(c, mode)
 
 
@@ -57,7 +60,7 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
     step = size - overlap
     extra = [c for c in pages.columns if c not in ("document_id", "page_number", "text")]
     tok = pages.select("document_id", "page_number", *extra,
-                       tokenize(collapse_runs("text"), mode).alias("_toks"))
+                       tokenize(collapse_runs("text"), mode, stripped=True).alias("_toks"))
     n = F.size("_toks")
     starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))) \
               .otherwise(F.array().cast("array<int>"))
