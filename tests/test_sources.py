@@ -56,3 +56,19 @@ def test_insert_batches_and_part_folders(spark, tmp_path):
     out = write_page_parts(pages, str(tmp_path / "p"))
     back = spark.read.parquet(out)
     assert sorted((r.part, r["count"]) for r in back.groupBy("part").count().collect()) == [(0, 100), (1, 50)]
+
+
+def test_embed_incremental(spark, tmp_path):
+    from textmill.operators.embed import embed_incremental
+    pages = spark.createDataFrame([("d1", 1, "alpha beta gamma " * 300), ("d2", 1, "delta epsilon")],
+                                  "document_id string, page_number int, text string")
+    chunks = chunk_pages(pages, tag=False)
+    n = chunks.count()
+    path = str(tmp_path / "emb")
+    t1, _ = embed_incremental(chunks, path)
+    assert t1.count() == n
+    t2, _ = embed_incremental(chunks, path)
+    assert t2.count() == n                       # nothing new
+    changed = chunk_pages(pages.withColumn("text", F.concat("text", F.lit(" omega"))), tag=False)
+    t3, _ = embed_incremental(changed, path)
+    assert t3.count() > n                        # changed tails embedded again

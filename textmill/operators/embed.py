@@ -103,3 +103,28 @@ def vector_rows(chunks: DataFrame, document_type: str) -> DataFrame:
 def embedding_dims(df: DataFrame, col: str = "embedding") -> DataFrame:
     """Rows per vector dimension, over all rows."""
     return df.groupBy(F.size(col).alias("dimension")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def embed_incremental(chunks: DataFrame, path: str, text_col: str = "content", provider: str = "hashing",
+                      model: str = "hashing-tf-64", prefix: str = "", normalize: bool = True,
+                      keys=("document_id", "page_number", "chunk_index", "content_hash")):
+    """Embedded-chunk table at ``path`` kept up to date: only chunks whose
+    key (position, content hash) and model are not stored yet are embedded
+    and appended; returns ``(table, rejects)``.  A re-run with unchanged
+    chunks embeds nothing; a changed text is embedded again."""
+    from pyspark.errors import AnalysisException
+
+    from textmill.operators.chunking import chunk_hash
+    from textmill.operators.sinks import pending
+    spark = chunks.sparkSession
+    if "content_hash" not in chunks.columns:
+        chunks = chunk_hash(chunks)
+    cur = chunks.withColumn("embedding_model", F.lit(model))
+    try:
+        done = spark.read.parquet(path)
+        todo = pending(cur, done, list(keys) + ["embedding_model"])
+    except AnalysisException:
+        todo = cur
+    ok, rejects = embed(todo.drop("embedding_model"), text_col, provider, model, prefix, normalize)
+    ok.write.mode("append").parquet(path)
+    return spark.read.parquet(path), rejects
