@@ -95,3 +95,11 @@ def test_canonical_from_model(spark):
     assert "\n- Oil leak\n- oil  leaking\n" in prompts.first().prompt
     out = SM.canonical_from_model(prompts, lambda s: ["  Engine oil\n leak  " for _ in s]).first()
     assert out.canonical == "Engine oil leak"
+
+
+def test_rank_all_clusters_distributed(spark):
+    rows = [(c, i * 10 + c, "t") for c in range(30) for i in range(c % 7 + 1)]
+    df = spark.createDataFrame(rows, "cluster_label int, pos int, text string")
+    a = [(r.cluster_label, r.rank) for r in SM.rank_clusters(df, top=None).orderBy("rank").collect()]
+    b = [(r.cluster_label, r.rank) for r in SM.rank_clusters(df, top=200).orderBy("rank").collect()]
+    assert a == b and len(a) == 30

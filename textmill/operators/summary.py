@@ -50,8 +50,13 @@ def rank_clusters(df: DataFrame, label: str = "cluster_label", pos: str = "pos",
     order = [F.desc("frequency"), F.asc("first_pos")]
     if top:
         g = g.orderBy(*order).limit(top)
-    # at most `top` rows here: a global window over them is cheap
-    return g.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+        # at most `top` rows here: a global window over them is cheap
+        return g.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    # every cluster ranked: distributed numbering (range partitions + offsets)
+    from textmill.operators.sinks import number_rows
+    keyed = g.withColumn("_neg", -F.col("frequency"))
+    return (number_rows(keyed, ["_neg", "first_pos"], out="_i")
+            .select("cluster_label", "frequency", "first_pos", (F.col("_i") + 1).alias("rank")))
 
 
 def _top_members(df: DataFrame, ranked: DataFrame, label: str) -> DataFrame:
