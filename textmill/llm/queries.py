@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.session import read_table
 
-from . import mixing, token_counts, url_filter
+from . import html_extract, mixing, quality, token_counts, toxicity, url_filter
+from .common import stage
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -19,6 +20,42 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary_path(), budget=512)
 
 
+def held_out(doc_id) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the labels of rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out(F.col("doc_id")))
+    return (toxicity.fit_and_score(docs, labels)
+            .select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+                    "score", "predicted", "evidence"))
+
+
+def page_document(url) -> Column:
+    """The number that ends a page's path: the id of the document it shows."""
+    number = F.regexp_extract(url_filter.url_path(url), r"/(\d{1,18})(?:\.\w+)?/?$", 1)
+    return F.when(number != "", number).cast("long")
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights come from pages whose document is known (its text is the article)."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("article"))
+    picked = stage(pages.select("page_id", page_document(F.col("url")).alias("doc_id")).where("doc_id is not null")
+                   .orderBy(F.xxhash64("page_id"), "page_id", "doc_id").limit(html_extract.FIT_PAGES), "page-sample")
+    # both sides of the labelled sample are bounded by FIT_PAGES rows
+    shown = pages.join(F.broadcast(picked), "page_id").select("doc_id", "html")
+    articles = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id")
+    weights = html_extract.fit_weights(shown.join(articles, "doc_id"))
+    return html_extract.extract_pages(pages, weights)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(read_table(spark, sf_dir, "documents"))
 
@@ -33,11 +70,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("bad"))
-    number = F.regexp_extract(url_filter.url_path(F.col("url")), r"/(\d{1,18})(?:\.\w+)?/?$", 1)
-    outcomes = (pages.select("url", F.when(number != "", number).cast("long").alias("doc_id"))
+    outcomes = (pages.select("url", page_document(F.col("url")).alias("doc_id"))
                 .join(labels, "doc_id").select("url", "bad"))
     return url_filter.judge_urls(pages, outcomes, URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_mixing, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_toxicity, op3_html_extraction, op4_mixing, op6_quality_rules, op8_url_filter)}
 ORACLE: dict[str, str] = {}
