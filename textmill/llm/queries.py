@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.session import read_table
 
-from . import html_extract, mixing, quality, token_counts, toxicity, url_filter
+from . import html_extract, mixing, neighbours, quality, token_counts, toxicity, url_filter
 from .common import stage
 
 
@@ -75,6 +75,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, outcomes, URL_RULES)
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_toxicity, op3_html_extraction, op4_mixing, op6_quality_rules, op8_url_filter)}
+    op1_token_counts, op2_toxicity, op3_html_extraction, op4_mixing, op6_quality_rules, op8_url_filter,
+    op9_neighbours)}
 ORACLE: dict[str, str] = {}
