@@ -106,3 +106,26 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
             if i % 4 == 0:
                 out ^= out >> np.uint64(29)
     return mix64(out)
+
+
+def running_offsets(rows: DataFrame, levels: list[str], value: str, name: str) -> DataFrame:
+    """``levels, name``: per cell (one combination of ``levels``) the sum of
+    ``value`` over all cells before it, in level order, within the first level.
+
+    The sum is taken down a tree: at each level one window over the children of
+    one parent, so no partition holds more rows than a parent has children (the
+    children of the first level are ordered by the second, and so on).
+    """
+    from pyspark.sql import Window
+    cells = rows.groupBy(*levels).agg(F.sum(value).alias("_v"))
+    cells = stage(cells, f"cells-{name.strip('_')}")
+    out, total = None, cells
+    for depth in range(len(levels), 1, -1):
+        keys = levels[:depth]
+        if depth < len(levels):
+            total = cells.groupBy(*keys).agg(F.sum("_v").alias("_v"))
+        w = Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        part = total.select(*keys, F.coalesce(F.sum("_v").over(w), F.lit(0)).alias(f"_o{depth}"))
+        out = part if out is None else out.join(part, keys)
+    parts = [F.col(f"_o{d}") for d in range(len(levels), 1, -1)]
+    return out.select(*levels, sum(parts[1:], parts[0]).alias(name))
