@@ -16,19 +16,16 @@ from pyspark.sql import functions as F
 from textmill.session import cut_lineage, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
+# Characters that str.split takes for spaces and the word rule does not.
+_OTHER_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _WORD = re.compile(WORD)
-_GAPS = str.maketrans({c: " " for c in "\t\n\v\f\r"})
 
 
 def words(text: str | None) -> list[str]:
     """Words of a text; empty for null and for blank texts."""
     if not text:
         return []
-    if text.isascii():
-        # ASCII text: the only other separators str.split knows are 0x1C-0x1F
-        if not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return text.split()
-    return [w for w in text.translate(_GAPS).split(" ") if w]
+    return text.split() if _OTHER_SPACES.search(text) is None else _WORD.findall(text)
 
 
 def word_count(text: Column) -> Column:
@@ -90,22 +87,38 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, ws), dtype=np.uint64, count=len(ws))
 
 
-_P = np.uint64(0x9E3779B97F4A7C15)
+class RangeHashes:
+    """64-bit hashes of any word range of one array of word hashes.
 
+    Polynomial hashes modulo 2**64 by prefix sums; the factor of the range's
+    start is divided out, so equal word sequences have equal hashes.
+    """
 
-def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of ``k`` consecutive word hashes (order matters)."""
-    n = len(h) - k + 1
-    if n <= 0:
-        return np.empty(0, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        out = h[:n].copy()
-        for i in range(1, k):
-            out *= _P
-            out += h[i:i + n]
-            if i % 4 == 0:
-                out ^= out >> np.uint64(29)
-    return mix64(out)
+    _BASE = 0x9E3779B97F4A7C15
+    _powers = np.ones(1, dtype=np.uint64)
+    _inverses = np.ones(1, dtype=np.uint64)
+
+    def __init__(self, h: np.ndarray):
+        cls, n = type(self), len(h) + 1
+        if len(cls._powers) < n:
+            cls._powers = self._series(cls._BASE, 2 * n)  # shared by a worker's batches
+            cls._inverses = self._series(pow(cls._BASE, -1, 1 << 64), 2 * n)
+        self.sums = np.zeros(n, dtype=np.uint64)
+        np.cumsum(h * cls._powers[:n - 1], out=self.sums[1:])
+
+    @staticmethod
+    def _series(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base, dtype=np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        raw = (self.sums[ends] - self.sums[starts]) * self._inverses[starts]
+        return mix64(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+    def grams(self, k: int) -> np.ndarray:
+        n = len(self.sums) - k
+        return self.of(np.arange(n), np.arange(k, n + k)) if n > 0 else np.empty(0, dtype=np.uint64)
 
 
 def running_offsets(rows: DataFrame, levels: list[str], value: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.session import read_table
 
-from . import html_extract, mixing, neighbours, packing, quality, token_counts, toxicity, url_filter
+from . import html_extract, mixing, neighbours, packing, quality, substring_dedup, token_counts, toxicity, url_filter
 from .common import stage
 
 
@@ -79,11 +79,16 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary_path(), length=2048)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_toxicity, op3_html_extraction, op4_mixing, op5_packing, op6_quality_rules, op8_url_filter,
+    op1_token_counts, op2_toxicity, op3_html_extraction, op4_mixing, op5_packing, op6_quality_rules,
+    op7_substring_dedup, op8_url_filter,
     op9_neighbours)}
 ORACLE: dict[str, str] = {}
