@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.session import read_table
 
-from . import html_extract, mixing, neighbours, packing, quality, substring_dedup, token_counts, toxicity, url_filter
+from . import html_extract, jaccard_join, mixing, neighbours, packing, quality, substring_dedup, token_counts, toxicity, url_filter
 from .common import stage
 
 
@@ -87,8 +87,12 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(read_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_toxicity, op3_html_extraction, op4_mixing, op5_packing, op6_quality_rules,
     op7_substring_dedup, op8_url_filter,
-    op9_neighbours)}
+    op9_neighbours, op10_jaccard_join)}
 ORACLE: dict[str, str] = {}
