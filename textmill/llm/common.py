@@ -18,14 +18,14 @@ from textmill.session import cut_lineage, scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 # Characters that str.split takes for spaces and the word rule does not.
 _OTHER_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_WORD = re.compile(WORD)
+WORD_RE = re.compile(WORD)
 
 
 def words(text: str | None) -> list[str]:
     """Words of a text; empty for null and for blank texts."""
     if not text:
         return []
-    return text.split() if _OTHER_SPACES.search(text) is None else _WORD.findall(text)
+    return text.split() if _OTHER_SPACES.search(text) is None else WORD_RE.findall(text)
 
 
 def word_count(text: Column) -> Column:

@@ -304,3 +304,17 @@ def components(docs: DataFrame, *, k: int = 4, percent: int = 85) -> DataFrame:
     out = members.join(labels, members["rep"] == labels["node"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.coalesce("comp", "rep", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with one document of each component (the smallest id);
+    rows without id stay."""
+    from pyspark.sql import Window
+    first = (components(docs, k=k, percent=percent).where(F.col("doc_id") == F.col("component_id"))
+             .select("doc_id").distinct())
+    named = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi")
+    # repeated rows of the document that stays: one of them
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    named = named.withColumn("_row", F.row_number().over(one)).where("_row = 1")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return named.select(*columns).unionByName(docs.where(F.col("doc_id").isNull()).select(*columns))

@@ -106,13 +106,14 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def schedule(rows: DataFrame, *, length: int = WINDOW, packet: int = PACKET,
-             shares: DataFrame | None = None) -> DataFrame:
+             shares: DataFrame | None = None, order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``uid, start, size, position`` of every packet: its document's ids before
-    it, its length, and its place in the stream.
+    it, its length, and its place in the stream.  Queues follow a hash of the
+    columns ``order``; with ``uid`` in it copies of a document lie apart.
 
     ``rows``: uid, doc_id, _skey, n.  ``shares``: _skey, share (sums to 1).
     """
-    h = F.xxhash64(F.col("doc_id"), F.lit("queue"))
+    h = F.xxhash64(*order, F.lit("queue"))
     rows = (rows.select("uid", "_skey", "n", h.alias("_h"))
             .withColumns({"_a": F.pmod("_h", F.lit(FANOUT)).cast("int"),
                           "_b": F.pmod(F.shiftright("_h", 8), F.lit(FANOUT)).cast("int")}))
@@ -159,12 +160,12 @@ def cut_pieces(packets: DataFrame, *, length: int = WINDOW) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocabulary: str, *, length: int = WINDOW, packet: int = PACKET,
-         shares: DataFrame | None = None, with_ids: bool = False) -> DataFrame:
+         shares: DataFrame | None = None, order: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """One row a piece: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset`` (and ``ids``, an array, if asked for)."""
     tokens = stage(encode_documents(docs, vocabulary), "pack-tokens")
     pieces = cut_pieces(schedule(tokens.select("uid", "doc_id", "_skey", "n"), length=length, packet=packet,
-                                 shares=shares), length=length)
+                                 shares=shares, order=order), length=length)
     # the cuts of one document; a document's rows are as many as its windows
     cuts = pieces.groupBy(F.col("uid").alias("cut_uid")).agg(F.collect_list(
         F.struct("start", "length", "sequence_id", "offset")).alias("cuts"))

@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RangeHashes, WordHashes, stage, words
+from .common import WORD_RE, RangeHashes, WordHashes, stage, words
 
 WINDOW = 20
 GRAM = 5
@@ -202,9 +202,34 @@ def spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFra
         "doc_id", _place().alias("start"), (F.pmod(F.col("at"), F.lit(256)) + window - 1).alias("n_words")).distinct()
 
 
+def _stretches(text: str, stay: list[int]) -> str:
+    """The text between the first and last word of every run of kept words."""
+    at = [m.span() for m in WORD_RE.finditer(text)]
+    runs: list[list[int]] = []
+    for i in stay:
+        if runs and i == runs[-1][1] + 1:
+            runs[-1][1] = i
+        else:
+            runs.append([i, i])
+    return "\n".join(text[at[a][0]:at[b][1]] for a, b in runs)
+
+
+def deduplicate(docs: DataFrame, *, window: int, gram: int = GRAM) -> DataFrame:
+    """``docs`` with duplicate passages cut from ``text`` (``n_chars`` follows) and
+    without the documents of which nothing is left."""
+    out = remove(docs, window=window, gram=gram, with_text=True)
+    out = out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    changed = F.col("n_removed") > 0
+    values = {"text": F.col("kept_text")}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return out.withColumns(values).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def remove(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, with_text: bool = False) -> DataFrame:
     """``docs`` without its text, plus ``n_words, n_removed, kept_sha256`` (and, if
-    asked for, ``kept_text``: the kept words joined by one space)."""
+    asked for, ``kept_text``: the text itself, or its kept stretches on lines of
+    their own if words were removed)."""
     found = factors(docs, window=window, gram=gram)
     per_doc = found.groupBy(F.col("doc_id").alias("_id"), _tag_of().alias("_t")).agg(F.collect_list("at").alias("_ats"))
     others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept_sha256", "kept_text")]
@@ -222,7 +247,7 @@ def remove(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, with_text
             for part in _slices(b):
                 n_words, n_removed, digest, kept = [], [], [], []
                 for text, ats in zip(part.column("text").to_pylist(), part.column("_ats"), strict=True):
-                    ws = words(text)
+                    ws, out = words(text), text
                     n_words.append(len(ws))
                     if ats.is_valid:
                         at = np.array(ats.as_py(), dtype=np.int64)
@@ -232,9 +257,10 @@ def remove(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, with_text
                         np.add.at(edge, place + (at & 255) + window - 1, -1)
                         stay = np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()
                         ws = [ws[i] for i in stay]
+                        if with_text:
+                            out = _stretches(text, stay)
                     n_removed.append(n_words[-1] - len(ws))
-                    out = " ".join(ws)
-                    digest.append(hashlib.sha256(out.encode("utf-8", "surrogatepass")).hexdigest())
+                    digest.append(hashlib.sha256(" ".join(ws).encode("utf-8", "surrogatepass")).hexdigest())
                     kept.append(out)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in others] + [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),

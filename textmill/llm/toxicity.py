@@ -113,28 +113,35 @@ def choose_terms(bank_texts: DataFrame) -> list[str]:
     return [r["term"] for r in top.orderBy(F.desc("g"), "term").limit(VOCABULARY).collect()]
 
 
+class Vectors:
+    """Sparse term counts of texts; raw words are looked up once."""
+
+    def __init__(self, terms: list[str]):
+        self.index = {t: i for i, t in enumerate(terms)}
+        self.known: dict[str, int] = {}
+
+    def __call__(self, text: str | None) -> tuple[list[int], list[int]]:
+        hits: Counter = Counter()
+        known = self.known
+        for w in (text or "").split():
+            i = known.get(w)
+            if i is None:
+                if len(known) > 500_000:
+                    known.clear()
+                i = known[w] = self.index.get(_term(w), -1)
+            if i >= 0:
+                hits[i] += 1
+        at = sorted(hits)
+        return at, [hits[i] for i in at]
+
+
 def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     """``doc_id, fp, terms, counts`` of every document (only the chosen terms)."""
     src = docs.select("doc_id", "text")
     id_type = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {t: i for i, t in enumerate(terms)}
-        known: dict[str, int] = {}
-
-        def vector(text: str | None) -> tuple[list[int], list[int]]:
-            hits: Counter = Counter()
-            for w in (text or "").split():
-                i = known.get(w)
-                if i is None:
-                    if len(known) > 500_000:
-                        known.clear()
-                    i = known[w] = index.get(_term(w), -1)
-                if i >= 0:
-                    hits[i] += 1
-            at = sorted(hits)
-            return at, [hits[i] for i in at]
-
+        vector = Vectors(terms)
         for b in batches:
             for s in range(0, b.num_rows, ROWS):
                 part = b.slice(s, ROWS)
@@ -244,11 +251,9 @@ class Index:
         return min(max(p, 0.0), 1.0), [(self.ids[r], float(s), int(self.y[r])) for r, s in zip(rows[:3], sims[:3], strict=True)]
 
 
-def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, score, predicted, evidence`` for every row of ``docs``.
-
-    ``labels``: doc_id, toxic, the rows to learn from.
-    """
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[str], Index, DataFrame]:
+    """(terms, index, term vectors of ``docs``); ``labels``: doc_id, toxic, the
+    rows to learn from."""
     bank = stage(pick_bank(labels), "toxic-bank")
     totals = {r["toxic"]: r["n"] for r in labels.where(F.col("toxic").isNotNull())
               .groupBy(F.col("toxic").cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -262,31 +267,41 @@ def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         df[r["t"]] = r["n"]
     idf = np.log((1 + size) / (1 + df)) + 1
     rows = vectors.join(F.broadcast(bank), "doc_id").dropDuplicates(["doc_id"]).collect()
-    arrays = ([(r["terms"], r["counts"]) for r in rows], [r["toxic"] for r in rows], [r["fp"] for r in rows],
-              [r["doc_id"] for r in rows])
-    index = Index(*arrays, idf, totals)
+    index = Index([(r["terms"], r["counts"]) for r in rows], [r["toxic"] for r in rows], [r["fp"] for r in rows],
+                  [r["doc_id"] for r in rows], idf, totals)
+    return terms, index, vectors
+
+
+class Scorer:
+    """Scores vectors, each distinct one once."""
+
+    def __init__(self, index: Index):
+        self.index, self.known, self.bank = index, {}, set(index.fp.tolist())
+
+    def __call__(self, terms: list[int], counts: list[int], fp: int) -> tuple[float, list[tuple]]:
+        # equal vectors have equal neighbours unless an example is the text itself
+        key = (tuple(terms), tuple(counts), fp if fp in self.bank else None)
+        if key not in self.known:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            self.known[key] = self.index.score(terms, counts, fp)
+        return self.known[key]
+
+
+def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, score, predicted, evidence`` for every row of ``docs``."""
+    _, index, vectors = fit(docs, labels)
     id_field = vectors.schema["doc_id"].dataType
     id_type = id_field.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
-    arrow_id = to_arrow_type(id_field)
-    evidence = pa.list_(pa.struct([("doc_id", arrow_id), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+    evidence = pa.list_(pa.struct([("doc_id", to_arrow_type(id_field)), ("cosine", pa.float64()), ("toxic", pa.int32())]))
     model = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = model.value
-        known: dict[tuple, tuple] = {}
-        bank_fps = set(ix.fp.tolist())
+        scorer = Scorer(model.value)
         for b in batches:
-            out = []
-            for t, c, fp in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist(),
-                                b.column("fp").to_pylist(), strict=True):
-                # equal vectors have equal neighbours unless an example is the text itself
-                key = (tuple(t), tuple(c), fp if fp in bank_fps else None)
-                if key not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    known[key] = ix.score(t, c, fp)
-                out.append(known[key])
+            out = [scorer(*x) for x in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist(),
+                                           b.column("fp").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([s for s, _ in out], pa.float64()),
                  pa.array([int(s >= 0.5) for s, _ in out], pa.int32()),
@@ -295,3 +310,21 @@ def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     return vectors.select("doc_id", "fp", "terms", "counts").mapInArrow(
         run, f"doc_id {id_type}, score double, predicted int, evidence array<struct<doc_id:{id_type},cosine:double,toxic:int>>")
+
+
+def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns kept.
+    Rows are scored where they are read: no join and no shuffle of texts."""
+    terms, index, _ = fit(docs, labels)
+    model = docs.sparkSession.sparkContext.broadcast((terms, index))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, ix = model.value
+        vector, scorer = Vectors(names), Scorer(ix)
+        for b in batches:
+            for s in range(0, b.num_rows, ROWS):
+                part = b.slice(s, ROWS)
+                keep = [scorer(*vector(t), fingerprint(t))[0] < threshold for t in part.column("text").to_pylist()]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
