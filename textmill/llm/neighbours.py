@@ -145,7 +145,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     rows = rows.where(F.size("embedding") == d)
     # classes of equal vectors; the smallest k + 1 ids of a class serve any result
     smallest = Window.partitionBy("embedding").orderBy("vec_id")
-    members = (rows.withColumn("n", F.row_number().over(smallest)).where(F.col("n") <= k + 1)
+    members = (rows.withColumn("n", F.dense_rank().over(smallest)).where(F.col("n") <= k + 1)
                .groupBy("embedding").agg(F.min("vec_id").alias("cls"), F.array_distinct(F.sort_array(F.collect_list("vec_id"))).alias("ids")))
     classes = stage(members, "neighbour-classes")
     asked = rows.where(is_query).select("vec_id", "embedding").distinct()

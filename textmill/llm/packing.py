@@ -215,6 +215,6 @@ def sequences(docs: DataFrame, vocabulary: str, *, length: int = WINDOW, **optio
     ids = F.flatten(F.transform("p", lambda x: x["ids"]))
     w = w.select("sequence_id", ids.alias("ids"), F.transform("p", lambda x: x["doc_id"]).alias("doc_ids"))
     n = F.size("ids")
-    power = F.shiftleft(F.lit(1), F.round(F.log2(n.cast("double"))).cast("int")) == n
+    power = n.bitwiseAND(n - 1) == 0
     return w.select("sequence_id", F.when(power, F.col("ids")).otherwise(
         F.concat("ids", F.array_repeat(F.lit(0), F.lit(length) - n))).alias("ids"), n.cast("long").alias("n_tokens"), "doc_ids")

@@ -169,7 +169,7 @@ class Index:
             at, w = self.unit(*vectors[i])
             self.dense[row, at] = w
         n_blocks = -(-len(order) // BLOCK)
-        self.bmax = np.array([self.dense[b * BLOCK:(b + 1) * BLOCK].max(0) for b in range(n_blocks)]).reshape(n_blocks, -1)
+        self.bmax = np.array([self.dense[b * BLOCK:(b + 1) * BLOCK].max(0) for b in range(n_blocks)]).reshape(n_blocks, len(idf))
         sampled = Counter(labels)
         rate = {y: totals.get(y, 0) / max(sampled[y], 1) for y in (0, 1)}
         self.weight = np.array([rate[int(y)] for y in self.y])
