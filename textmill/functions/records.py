@@ -21,7 +21,7 @@ from textmill.functions.text import WS, py_strip
 _MON = r"(1[0-2]|0[1-9]|[1-9])"
 _DAY = r"(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
 _Y2 = r"([0-9]{2})"
-_Y4 = r"([0-9]{4})"
+_Y4 = r"(?!0000)([0-9]{4})"  # there is no year 0
 _HOUR = r"(2[0-3]|[01][0-9]|[0-9])"
 _MIN = r"([0-5][0-9]|[0-9])"
 _SEC = r"([0-5][0-9]|[0-9])"

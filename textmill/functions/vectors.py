@@ -32,7 +32,8 @@ def inner_product(a, b) -> Column:
 
 
 def cosine(a, b) -> Column:
-    return inner_product(a, b) / (l2_norm(a) * l2_norm(b))
+    """Null where either vector is zero."""
+    return F.try_divide(inner_product(a, b), l2_norm(a) * l2_norm(b))
 
 
 def sq_distance(a, b) -> Column:

@@ -69,7 +69,7 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
     wins = F.transform(starts, lambda s, i: F.struct(
         i.alias("i"), s.alias("s"),
         F.array_join(F.slice("_toks", s + 1, size), "").alias("t"),
-        F.size(F.slice("_toks", s + 1, size)).alias("c")))
+        F.least(F.lit(size), n - s).alias("c")))
     if drop_contained_tail:
         wins = F.filter(wins, lambda w: (w["s"] == 0) | (w["s"] + overlap < n))
     out = tok.select("document_id", "page_number", *extra, F.explode(wins).alias("_w")).select(

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.functions.text import word_tokens
+from textmill.functions.text import py_strip, word_tokens
 from textmill.functions.vectors import l2_normalize
+from textmill.session import cut_lineage, path_exists
 
 DEFAULT_DIM = 64
 PASSAGE_PREFIX = "passage: "
@@ -40,21 +41,30 @@ def _hashing(df: DataFrame, text_col: str, dim: int) -> DataFrame:
     from pyspark.ml.feature import HashingTF
     from pyspark.ml.functions import vector_to_array
     tok = df.withColumn("_tm_tokens", F.transform(word_tokens(F.lower(F.col(text_col))),
-                                                  lambda t: F.trim(t)))
+                                                  lambda t: py_strip(t)))
     h = HashingTF(inputCol="_tm_tokens", outputCol="_tm_vec", numFeatures=dim)
     out = h.transform(tok)
     return (out.withColumn("embedding", vector_to_array("_tm_vec", "float32"))
             .drop("_tm_tokens", "_tm_vec"))
 
 
+def _one(fn: Callable, text):
+    try:
+        return list(fn(text))[0]
+    except Exception:
+        return None
+
+
 def _pandas_provider(df: DataFrame, text_col: str, fn: Callable) -> DataFrame:
     schema = T.StructType(df.schema.fields + [T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
     def run(batches):
         for pdf in batches:
-            vecs = fn(pdf[text_col])
             pdf = pdf.copy()
-            pdf["embedding"] = list(vecs)
+            try:
+                pdf["embedding"] = list(fn(pdf[text_col]))
+            except Exception:  # find the rows that fail; the others are kept
+                pdf["embedding"] = [_one(fn, pdf[text_col].iloc[i:i + 1]) for i in range(len(pdf))]
             yield pdf
     return df.mapInPandas(run, schema)
 
@@ -78,7 +88,9 @@ def embed(df: DataFrame, text_col: str = "content", provider: str = "hashing",
         ok = _hashing(src.filter(has_text), "_tm_in", dim).drop("_tm_in")
         rejects = src.filter(~has_text).drop("_tm_in")
     else:
-        out = _pandas_provider(src, "_tm_in", _PROVIDERS[provider]).drop("_tm_in")
+        # spread the calls; written once, so both results share one call a row
+        src = src.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        out = cut_lineage(_pandas_provider(src, "_tm_in", _PROVIDERS[provider]).drop("_tm_in"), "embedded")
         good = F.col("embedding").isNotNull()
         ok, rejects = out.filter(good), out.filter(~good).drop("embedding")
     if normalize:
@@ -112,19 +124,13 @@ def embed_incremental(chunks: DataFrame, path: str, text_col: str = "content", p
     key (position, content hash) and model are not stored yet are embedded
     and appended; returns ``(table, rejects)``.  A re-run with unchanged
     chunks embeds nothing; a changed text is embedded again."""
-    from pyspark.errors import AnalysisException
-
     from textmill.operators.chunking import chunk_hash
     from textmill.operators.sinks import pending
     spark = chunks.sparkSession
     if "content_hash" not in chunks.columns:
         chunks = chunk_hash(chunks)
     cur = chunks.withColumn("embedding_model", F.lit(model))
-    try:
-        done = spark.read.parquet(path)
-        todo = pending(cur, done, list(keys) + ["embedding_model"])
-    except AnalysisException:
-        todo = cur
+    todo = pending(cur, spark.read.parquet(path), list(keys) + ["embedding_model"]) if path_exists(spark, path) else cur
     ok, rejects = embed(todo.drop("embedding_model"), text_col, provider, model, prefix, normalize)
     ok.write.mode("append").parquet(path)
     return spark.read.parquet(path), rejects

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from textmill.functions.records import iso_or_null
 from textmill.functions.text import py_strip
+from textmill.operators.embed import embed
+from textmill.schemas import RECORD
 
 ORG = "squawk"
 
@@ -41,6 +43,18 @@ def map_records(rows: DataFrame, org: str = ORG) -> DataFrame:
     )
 
 
+def embed_records(records: DataFrame, provider: str = "hashing") -> DataFrame:
+    """The full record of 19 fields: both texts with their vectors (null text:
+    null vector)."""
+    out = records
+    for text, vector in (("issue", "issue_embedding_vector"), ("corrective_action", "corrective_embedding_vector")):
+        ok, rejects = embed(out, text, provider=provider)
+        ok = ok.withColumnRenamed("embedding", vector).drop("embedding_model")
+        rejects = rejects.withColumn(vector, F.lit(None).cast("array<float>")).drop("embedding_model")
+        out = ok.unionByName(rejects)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD.fields])
+
+
 def cluster_input(records: DataFrame, id_col: str = "discrepancy_id", text_col: str = "issue",
                   vec_col: str = "issue_embedding_vector") -> DataFrame:
     """Project stored records to the clustering input ``id, text, embedding``.

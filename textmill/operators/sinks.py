@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.functions.text import output_name
+from textmill.session import cut_lineage
+
 
 def write_json(df: DataFrame, path: str, by: str | list[str] | None = None,
                mode: str = "overwrite") -> str:
     """JSON lines (UTF-8, non-ASCII unescaped), one folder; ``by`` writes one
-    sub-folder per value (e.g. per document)."""
+    sub-folder per value (e.g. per document).  For many values give a bucket
+    column (see :func:`write_document_json`)."""
     w = df.write.mode(mode)
     if by:
         w = w.partitionBy(*([by] if isinstance(by, str) else by))
@@ -17,6 +23,19 @@ def write_json(df: DataFrame, path: str, by: str | list[str] | None = None,
     return path
 
 
+def write_document_json(chunks: DataFrame, path: str, buckets: int = 64, mode: str = "overwrite") -> str:
+    """Chunks as JSON lines in ``buckets`` folders by document, each row with the
+    document's file name ``<stem>.chunks.json`` in ``file_name``: a reader finds a
+    document in one folder, and a million documents don't make a million files.
+    A document's rows stay together and in chunk order."""
+    name = output_name(F.col("document_id").cast("string"))
+    b = F.pmod(F.xxhash64("document_id"), F.lit(buckets)).cast("int")
+    (chunks.withColumn("file_name", name).withColumn("bucket", b).repartition("bucket", "document_id")
+     .sortWithinPartitions("bucket", "file_name", "page_number", "chunk_index")
+     .write.mode(mode).partitionBy("bucket").json(path))
+    return path
+
+
 def dedupe(df: DataFrame, key: str, order: str = "rank", on_duplicate: str = "first",
            sum_cols: tuple[str, ...] = ("frequency",)) -> DataFrame:
     """One row per key.  ``first`` keeps the row lowest in ``order``;
@@ -48,18 +67,32 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order: str = "rank",
     of either side unless the planner has measured it small."""
     src = dedupe(source, key, order, on_duplicate) if order in source.columns else source.dropDuplicates([key])
     kept = target.join(src.select(key), key, "left_anti")
+    unsent = [c for c in target.columns if c not in src.columns]
+    if unsent:  # an update touches only the columns it sends
+        src = src.join(target.select(key, *unsent).dropDuplicates([key]), key, "left")
     return kept.unionByName(src, allowMissingColumns=True)
 
 
 def write_upsert(spark, target_path: str | None, source: DataFrame, key: str, out_path: str,
                  order: str = "rank") -> str:
     """Merge into the table at ``target_path`` by writing the merged table to
-    ``out_path`` (a new folder; the caller swaps the pointer)."""
+    ``out_path``; when both are the same folder, the merged table is written
+    beside it first and replaces it by a rename."""
     if target_path:
         merged = upsert(spark.read.parquet(target_path), source, key, order)
     else:
         merged = dedupe(source, key, order) if order in source.columns else source.dropDuplicates([key])
-    merged.write.mode("errorifexists").parquet(out_path)
+    if target_path != out_path:
+        merged.write.mode("errorifexists").parquet(out_path)
+        return out_path
+    new = f"{out_path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    merged.write.mode("errorifexists").parquet(new)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(out_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = f"{out_path.rstrip('/')}.old-{uuid.uuid4().hex}"
+    if not (fs.rename(path(out_path), path(old)) and fs.rename(path(new), path(out_path))):
+        raise OSError(f"could not swap {new} into {out_path}")
+    fs.delete(path(old), True)
     return out_path
 
 
@@ -67,13 +100,19 @@ def number_rows(df: DataFrame, order: list[str], out: str = "row_index") -> Data
     """Exact global 0-based row numbers in ``order`` without a one-partition
     window: range-partition and sort, count rows per partition (a table with
     one row per partition), turn the counts into offsets and add each row's
-    place inside its partition.  ``order`` must be unique per row."""
+    place inside its partition.
+
+    The sorted table is written once, with each row's partition and place, and
+    counts and rows both come from what was written: two evaluations could cut
+    the ranges differently.  Ties in ``order`` are numbered in any order."""
     t = (df.repartitionByRange(*order).sortWithinPartitions(*order)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
+    t = cut_lineage(t, "numbered")
     counts = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn("_off", F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
+    # one row per partition of the sorted table
     j = t.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return j.withColumn(out, (F.col("_off") + local).cast("long")).drop("_pid", "_mid", "_off")
@@ -122,13 +161,18 @@ def insert_batches(df: DataFrame, order: list[str], path: str, size: int = 50, f
     bad = failed if failed is not None else F.lit(False)
     # a batch holds at most `size` rows: this window's groups are bounded
     flagged = b.withColumn("_bad", F.max(F.when(bad, 1).otherwise(0)).over(Window.partitionBy("batch")))
+    flagged = cut_lineage(flagged, "insert")  # the insert and the report see the same rows
     flagged.filter(F.col("_bad") == 0).drop("_bad", "row_index").write.mode("append").format(fmt).save(path)
-    return batch_report(b, bad)
-
-
-def write_page_parts(pages: DataFrame, path: str, size: int = 100, fmt: str = "parquet") -> str:
-    """Write pages into one folder per document and part of ``size`` pages
-    (``part = (page_number - 1) // size``)."""
-    (pages.withColumn("part", F.floor((F.col("page_number") - 1) / size).cast("long"))
-     .write.mode("overwrite").partitionBy("document_id", "part").format(fmt).save(path))
+    return batch_report(flagged, F.col("_bad") == 1)
+
+
+def write_page_parts(pages: DataFrame, path: str, size: int = 100, fmt: str = "parquet",
+                     buckets: int = 64) -> str:
+    """Write pages with their part of ``size`` pages (``part = (page_number - 1) //
+    size``) in ``buckets`` folders by document and part, rows in page order: the
+    number of files follows the buckets, not the documents."""
+    b = F.pmod(F.xxhash64("document_id", "part"), F.lit(buckets)).cast("int")
+    (pages.withColumn("part", F.floor((F.col("page_number") - 1) / size).cast("long")).withColumn("bucket", b)
+     .repartition("bucket", "document_id", "part").sortWithinPartitions("bucket", "document_id", "page_number")
+     .write.mode("overwrite").partitionBy("bucket").format(fmt).save(path))
     return path

@@ -6,6 +6,7 @@ SQL that states the same result independently.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textmill.functions import tagging
@@ -216,9 +217,7 @@ from textmill.operators.frontmatter import (exclude_elements as _exclude,  # noq
 
 FOREIGN_SQL = ("(SELECT conv_id * 1000 + turn AS id, conv_id AS document_id, turn AS pos, "
                + ", ".join(f"{v} AS {k}" for k, v in FX.FOREIGN_SQL.items()) + " FROM conversations)")
-FRONT_SQL = ("(SELECT conv_id AS document_id, turn AS pos, role, CASE WHEN conv_id % 5 = 0 OR "
-             "(conv_id % 3 = 0 AND turn < 2) THEN concat('List of Effective Pages ', text) "
-             "ELSE text END AS content FROM conversations)")
+FRONT_SQL = f"(SELECT conv_id AS document_id, turn AS pos, role, {FX.FRONT_TEXT_SQL} AS content FROM conversations)"
 _TXT = S.first_nonempty("content", "text", "''")
 _PAGE = S.first_nonempty("page_number", "page", "page_index", zero=True)
 _TITLE = S.first_nonempty("section_title", "title", "section")
@@ -281,7 +280,7 @@ def q_exclude_elements(spark, sf):
 # ---------------------------------------------------------------- M5 records, files, names
 from textmill.functions.records import iso_or_null, iso_timestamp, null_if_na  # noqa: E402
 from textmill.functions.text import output_name, path_slug, slug  # noqa: E402
-from textmill.operators.records import cluster_input, map_records  # noqa: E402
+from textmill.operators.records import cluster_input, embed_records, map_records  # noqa: E402
 from textmill.session import scratch_path  # noqa: E402
 from textmill.sources.files import read_chunks_json, read_records_csv  # noqa: E402
 
@@ -345,23 +344,24 @@ def q_json_roundtrip(spark, sf):
     c = chunk_pages(pages, tag=False)
     from textmill.operators.sinks import write_json
     path = write_json(c, scratch_path(spark, "chunks-json"))
-    back = read_chunks_json(spark, path, layout="lines")
+    back = read_chunks_json(spark, path)
     return back.select(_long("document_id").alias("document_id"), _long("page_number").alias("page_number"),
                        _long("chunk_index").alias("chunk_index"), _long("token_count").alias("token_count"),
                        F.md5("content").alias("md5"))
 
 
+@register("json_by_document", f"""
+WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)}
+SELECT concat(document_id, '.chunks.json') AS file_name, count(*) AS rows, CAST(sum(token_count) AS BIGINT) AS tokens
+FROM chunks GROUP BY document_id""")
 def q_json_by_document(spark, sf):
-    """One JSON output folder per document; read back and count rows."""
+    """JSON output by document file name; read back and counted."""
     pages = scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF)
     c = chunk_pages(pages, tag=False)
-    from textmill.operators.sinks import write_json
-    path = write_json(c, scratch_path(spark, "chunks-by-doc"), by="document_id")
-    back = spark.read.json(path)
-    return back.groupBy(_long("document_id").alias("document_id")).agg(F.count(F.lit(1)).alias("rows"))
-
-
-register("json_by_document")(q_json_by_document)
+    from textmill.operators.sinks import write_document_json
+    path = write_document_json(c, scratch_path(spark, "chunks-by-doc"))
+    back = spark.read.schema("file_name string, token_count long").json(path)
+    return back.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"), F.sum("token_count").alias("tokens"))
 
 _MODEL_SQL = "concat(source, '/', lang, '-base-v1.5')"
 _PATH_SQL = "concat(source, '/manual.', doc_id, '.v2.PDF')"
@@ -402,20 +402,23 @@ def q_l2_normalize(spark, sf):
 
 
 @register("cosine_equals_ip", f"""
-WITH s AS (SELECT vec_id, {_SCALE_SQL} AS v FROM embeddings WHERE vec_id % 50 <> 0),
-n AS (SELECT vec_id, v, list_transform(v, lambda x: CAST(CAST(x AS DOUBLE) / {_NORM_SQL.format(v='v')} AS FLOAT)) AS u FROM s),
-p AS (SELECT a.vec_id, list_cosine_similarity(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS cs,
+WITH s AS (SELECT vec_id, {_SCALE_SQL} AS v FROM embeddings),
+n AS (SELECT vec_id, v, {_NORM_SQL.format(v='v')} AS nv FROM s),
+m AS (SELECT vec_id, v, nv, list_transform(v, lambda x: CAST(CASE WHEN nv > 0 THEN CAST(x AS DOUBLE) / nv ELSE x END AS FLOAT)) AS u FROM n),
+p AS (SELECT CASE WHEN a.nv > 0 AND b.nv > 0 THEN list_cosine_similarity(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) END AS cs,
              list_inner_product(CAST(a.u AS DOUBLE[]), CAST(b.u AS DOUBLE[])) AS ip
-      FROM n a JOIN n b ON b.vec_id = a.vec_id + 1)
-SELECT CAST(count(*) AS BIGINT) AS pairs, max(abs(cs - ip)) < 1e-5 AS equal FROM p""")
+      FROM m a JOIN m b ON b.vec_id = a.vec_id + 1)
+SELECT CAST(count(*) AS BIGINT) AS pairs, CAST(count(*) - count(cs) AS BIGINT) AS undefined,
+       max(abs(cs - ip)) < 1e-5 AS equal FROM p""")
 def q_cosine_equals_ip(spark, sf):
-    e = (FX.read_table(spark, sf, "embeddings").filter("vec_id % 50 <> 0")
-         .select("vec_id", F.expr(_SCALE).alias("v")))
+    """Neighbouring rows: cosine is the inner product of the unit vectors, and
+    undefined (null) beside a zero vector."""
+    e = FX.read_table(spark, sf, "embeddings").select("vec_id", F.expr(_SCALE).alias("v"))
     n = e.select("vec_id", "v", l2_normalize("v").alias("u"))
     a, b = n.alias("a"), n.alias("b")
     p = a.join(b, F.col("b.vec_id") == F.col("a.vec_id") + 1).select(
         cosine("a.v", "b.v").alias("cs"), inner_product("a.u", "b.u").alias("ip"))
-    return p.agg(F.count(F.lit(1)).alias("pairs"),
+    return p.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("cs").isNull()).alias("undefined"),
                  (F.max(F.abs(F.col("cs") - F.col("ip"))) < 1e-5).alias("equal"))
 
 
@@ -426,14 +429,15 @@ def q_embedding_dims(spark, sf):
     return e.select(_long("dimension").alias("dimension"), "rows")
 
 
+@register("hash_embed", """
+SELECT CAST(doc_id AS BIGINT) AS document_id, CAST(64 AS BIGINT) AS dimension, CAST(1.0 AS DOUBLE) AS norm
+FROM documents WHERE text IS NOT NULL""")
 def q_hash_embed(spark, sf):
     """Offline provider over every document: dimension and norm per row."""
     ok, _rej = embed(_docs(spark, sf), text_col="text", provider="hashing", prefix="passage: ")
     return ok.select(_long("doc_id").alias("document_id"), _long(F.size("embedding")).alias("dimension"),
-                     F.round(l2_norm("embedding"), 4).alias("norm"))
-
+                     F.round(l2_norm("embedding"), 3).alias("norm"))
 
-register("hash_embed")(q_hash_embed)
 
 
 @register("vector_rows", f"""
@@ -568,7 +572,7 @@ def q_kmeans_k_rule(spark, sf):
 def _context_corpora(spark, sf):
     d = FX.documents(spark, sf).select(F.col("doc_id").alias("id"), "text")
     b = FX.read_table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
-    c = (FX.read_table(spark, sf, "conversations").filter(F.col("role") == "user")
+    c = (FX.read_table(spark, sf, "conversations")
          .select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text"))
     return {"manuals": d, "overviews": b, "past_squawks": c}
 
@@ -577,7 +581,7 @@ def _ctx_sql() -> str:
     parts = []
     src = {"manuals": "SELECT doc_id AS id, text FROM documents",
            "overviews": "SELECT item_id AS id, text FROM benchmark",
-           "past_squawks": "SELECT conv_id * 1000 + turn AS id, text FROM conversations WHERE role = 'user'"}
+           "past_squawks": "SELECT conv_id * 1000 + turn AS id, text FROM conversations"}
     terms = "list_distinct(regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}_]+'))"
     for name, lim in SM.CONTEXT_LIMITS.items():
         parts.append(f"""
@@ -609,7 +613,7 @@ def q_research_context(spark, sf):
 from textmill.operators.chunking import chunk_hash  # noqa: E402
 from textmill.operators.pages import page_parts as _page_parts  # noqa: E402
 from textmill.operators.sinks import (append as _append, batch_report as _batch_report,  # noqa: E402
-                                      number_batches, pending as _pending, upsert as _upsert)
+                                      insert_batches, number_batches, pending as _pending, upsert as _upsert)
 from textmill.sources.documents import discover_documents, page_rows  # noqa: E402
 from textmill.sources.files import check_schema  # noqa: E402
 from textmill import schemas  # noqa: E402
@@ -695,29 +699,33 @@ def q_page_parts(spark, sf):
                         "part_name", _long("pages").alias("pages"))
 
 
-ROW_CAP = 20000
-
-
 @register("usable_rows", f"""
-SELECT id FROM (SELECT * FROM {FC} ORDER BY pos LIMIT {ROW_CAP})
-WHERE len(embedding) > 0 AND text <> ''""")
+SELECT id FROM {FC} WHERE len(embedding) > 0 AND text <> ''""")
 def q_usable_rows(spark, sf):
-    """Clustering input with the development row cap (applied at the source,
-    before the usable-row filter)."""
+    """Clustering input: rows with a vector and a text."""
     from textmill.sources.tables import read_cluster_rows
-    return read_cluster_rows(_cluster_df(spark, sf), limit=ROW_CAP, order="pos").select("id")
+    return read_cluster_rows(_cluster_df(spark, sf), order="pos").select("id")
 
 
+@register("discover_documents", """
+SELECT CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS bytes, true AS in_path_order, true AS text_files FROM documents""")
 def q_discover_documents(spark, sf):
-    """Write the documents as text files, then list them by suffix."""
+    """Write the documents as text files, list them by suffix in path order."""
     path = scratch_path(spark, "docs-text")
     _docs(spark, sf).select("text").write.mode("overwrite").text(path)
-    return discover_documents(spark, path, suffix=".txt").select("path", "length")
+    # one row for each file; the listing's own order is checked against the paths
+    f = discover_documents(spark, path, suffix=".txt").select("path", "length")
+    f = f.withColumn("place", F.monotonically_increasing_id())
+    after = F.lag("path").over(Window.orderBy("place"))
+    f = f.withColumn("up", after.isNull() | (after < F.col("path")))
+    return f.agg(F.sum("length").alias("bytes"), F.min("up").alias("in_path_order"),
+                 F.min(F.col("path").endswith(".txt")).alias("text_files"))
 
 
-register("discover_documents")(q_discover_documents)
+_RECORD_SQL = ORACLE["csv_records"]
 
 
+@register("append_rows", f"SELECT * FROM ({_RECORD_SQL}) UNION ALL SELECT * FROM ({_RECORD_SQL})")
 def q_append_rows(spark, sf):
     """Plain appends of the record table: a second run adds the rows again."""
     path = FX.write_records_csv(spark, sf, scratch_path(spark, "records-csv"))
@@ -725,26 +733,67 @@ def q_append_rows(spark, sf):
     out = scratch_path(spark, "records-table")
     _append(rec, out)
     _append(rec, out)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(*[iso_timestamp(c).alias(c) if c in (
+        "logged_on", "signoff_on", "work_completed_on") else F.col(c) for c in RECORD_COLS])
 
 
-register("append_rows")(q_append_rows)
+@register("record_vectors", f"""
+SELECT discrepancy_id, CAST(19 AS BIGINT) AS fields, CASE WHEN issue IS NOT NULL THEN CAST(64 AS BIGINT) END AS issue_dims,
+       CASE WHEN corrective_action IS NOT NULL THEN CAST(64 AS BIGINT) END AS action_dims FROM ({_RECORD_SQL})""")
+def q_record_vectors(spark, sf):
+    """The full record: 17 mapped fields and the vectors of both texts."""
+    path = FX.write_records_csv(spark, sf, scratch_path(spark, "records-csv"))
+    rec = embed_records(map_records(read_records_csv(spark, path)))
+    dims = [F.when(F.col(v).isNotNull(), _long(F.size(v))).alias(a) for v, a in
+            (("issue_embedding_vector", "issue_dims"), ("corrective_embedding_vector", "action_dims"))]
+    return rec.select("discrepancy_id", F.lit(len(rec.columns)).cast("long").alias("fields"), *dims)
+
 
+@register("insert_batches", f"""
+WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)},
+n AS (SELECT *, (row_number() OVER (ORDER BY document_id, page_number, chunk_index) - 1) // 50 AS batch FROM chunks),
+g AS (SELECT batch, count(*) AS rows, CAST(sum(token_count) AS BIGINT) AS tokens,
+             max(CASE WHEN token_count < 20 THEN 1 ELSE 0 END) AS bad FROM n GROUP BY batch)
+SELECT CAST(batch AS BIGINT) AS batch, rows AS reported, CASE WHEN bad = 0 THEN rows ELSE 0 END AS stored,
+       CASE WHEN bad = 0 THEN tokens ELSE 0 END AS tokens FROM g""")
+def q_insert_batches(spark, sf):
+    """Insert in batches, read the table back: what the report counts is stored."""
+    c = chunk_pages(scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF), tag=False)
+    out = scratch_path(spark, "vector-table")
+    report = insert_batches(c, ["document_id", "page_number", "chunk_index"], out, size=50, failed=F.col("token_count") < 20)
+    stored = spark.read.parquet(out).groupBy("batch").agg(F.count(F.lit(1)).alias("stored"),
+                                                          F.sum("token_count").cast("long").alias("tokens"))
+    return report.join(stored, "batch", "left").select(
+        "batch", F.col("rows").alias("reported"), F.coalesce("stored", F.lit(0)).alias("stored"),
+        F.coalesce("tokens", F.lit(0)).alias("tokens"))
 
+
+@register("schema_check", f"""
+WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)}
+SELECT * FROM (VALUES ('page_number', 'int', 'string'), ('section_title', 'string', NULL), ('extra', NULL, 'bigint')) t(column_name, expected, actual),
+       (SELECT count(*) AS rows FROM chunks)""")
 def q_schema_check(spark, sf):
-    """Contract check of produced vector rows against the declared schema."""
+    """Contract check of a written table with three seeded faults: one column of
+    another type, one missing, one too many."""
     pages = scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF)
     c = chunk_pages(pages, tag=True, constants={"aircraft_model": "DA42"})
     ok, _ = embed(c, "content")
-    return check_schema(vector_rows(ok, "AFM"), schemas.VECTOR_ROW)
-
-
-register("schema_check")(q_schema_check)
+    out = scratch_path(spark, "vector-rows")
+    (vector_rows(ok, "AFM").withColumn("page_number", F.col("page_number").cast("string")).drop("section_title")
+     .withColumn("extra", F.lit(1).cast("long")).write.parquet(out))
+    table = spark.read.parquet(out)
+    faults = check_schema(table, schemas.VECTOR_ROW).withColumnRenamed("column", "column_name")
+    return faults.join(table.agg(F.count(F.lit(1)).alias("rows")))  # one row of counts
 
 # ---------------------------------------------------------------- M8 clustering
 from textmill.operators.cluster import cluster_density, cluster_kmeans, kmeans_invariants  # noqa: E402
 
 
+@register("kmeans_invariants", """
+WITH c AS (SELECT count(*) AS n FROM embeddings)
+SELECT CAST(n AS BIGINT) AS n, CAST(least(n, least(300, greatest(2, CASE WHEN n // 30 = 0 THEN 10 ELSE n // 30 END))) AS BIGINT) AS k,
+       CAST(least(n, least(300, greatest(2, CASE WHEN n // 30 = 0 THEN 10 ELSE n // 30 END))) AS BIGINT) AS clusters,
+       CAST(n AS BIGINT) AS size_sum, true AS nearest_ok FROM c""")
 def q_kmeans_invariants(spark, sf):
     """MLlib k-means with the k rule on the embeddings: size sum equals n and
     every row's centre is its nearest."""
@@ -753,7 +802,6 @@ def q_kmeans_invariants(spark, sf):
     return kmeans_invariants(labelled, model)
 
 
-register("kmeans_invariants")(q_kmeans_invariants)
 
 
 def partition_report(labelled):

@@ -20,13 +20,22 @@ VOCAB_CASES = [
     (4, " to ", " bus breaker "),
     (5, " in ", " c.g. limitations "),
     (6, " on ", " engine n1 "),
+    (7, " the ", " flight director radar "),
+    (8, " of ", " bleed air oxygen "),
+    (9, " and ", " autopilot rudder trim "),
+    (10, " is ", " emergency procedures warnings "),
+    (11, " to ", " normal procedures checklist "),
+    (12, " in ", " hydraulic electrical fuel system "),
+    (13, " on ", " removal and installation service "),
+    (14, " that ", " brakes torque boost pump "),
 ]
+VOCAB_MOD = 16
 
 
 def vocab_text_sql(text: str = "text", key: str = "doc_id") -> str:
     """CASE expression shared by Spark and the oracle."""
     arms = " ".join(f"WHEN {i} THEN replace({text}, '{a}', '{b}')" for i, a, b in VOCAB_CASES)
-    return f"CASE {key} % 8 {arms} ELSE {text} END"
+    return f"CASE {key} % {VOCAB_MOD} {arms} ELSE {text} END"
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,10 +52,19 @@ def front_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """F-FRONT: conversations as documents, turns as chunk positions, with
     front-matter phrases prefixed to some turns."""
     c = read_table(spark, sf, "conversations")
-    return c.select(
-        F.col("conv_id").alias("document_id"), F.col("turn").alias("pos"), "role",
-        F.expr("CASE WHEN conv_id % 5 = 0 OR (conv_id % 3 = 0 AND turn < 2) "
-               "THEN concat('List of Effective Pages ', text) ELSE text END").alias("content"))
+    return c.select(F.col("conv_id").alias("document_id"), F.col("turn").alias("pos"), "role",
+                    F.expr(FRONT_TEXT_SQL).alias("content"))
+
+
+# Every front-matter phrase, and every phrase that opens content.
+FRONT_PHRASES = ["Table of Contents", "List of Effective Pages", "Record of Revisions", "Revision Record",
+                 "Log of Revisions", "Copyright", "Proprietary Notice", "Distribution Statement", "TOC", "LEP"]
+START_PHRASES = ["Introduction", "General Description", "System Description", "Normal Procedures"]
+FRONT_TEXT_SQL = (
+    "CASE WHEN conv_id % 5 = 0 OR (conv_id % 3 = 0 AND turn < 2) THEN concat(CASE (conv_id + turn) % 10 "
+    + " ".join(f"WHEN {i} THEN '{p} '" for i, p in enumerate(FRONT_PHRASES)) + " END, text) "
+    + "WHEN conv_id % 7 = 1 AND turn = 1 THEN concat(CASE conv_id % 4 "
+    + " ".join(f"WHEN {i} THEN '{p} '" for i, p in enumerate(START_PHRASES)) + " END, text) ELSE text END")
 
 
 FOREIGN_SQL = {
@@ -130,29 +148,32 @@ def write_records_csv(spark: SparkSession, sf: str, path: str) -> str:
     return path
 
 
-# F-CLUSTER: embeddings joined to documents; the given label is the cluster,
-# with noise, blank texts and empty vectors mixed in by fixed rules.
+# F-CLUSTER: every document, with its embedding and given label where there is
+# one and a label by its id elsewhere; noise, blank texts and empty vectors are
+# mixed in by fixed rules.
 CLUSTER_COLS = {
-    "pos": "e.vec_id",
-    "cluster_label": "CASE WHEN e.vec_id % 17 = 0 THEN -1 ELSE e.label END",
-    "text": "CASE WHEN e.vec_id % 11 = 0 THEN '' WHEN e.vec_id % 13 = 0 THEN '   ' ELSE d.text END",
+    "pos": "d.doc_id",
+    "cluster_label": "CASE WHEN d.doc_id % 17 = 0 THEN -1 ELSE coalesce(e.label, 100 + d.doc_id % 37) END",
+    "text": "CASE WHEN d.doc_id % 11 = 0 THEN '' WHEN d.doc_id % 13 = 0 THEN '   ' ELSE d.text END",
 }
 
 
 def cluster_rows(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "embeddings").alias("e")
     d = read_table(spark, sf, "documents").alias("d")
-    j = e.join(d, F.col("e.vec_id") == F.col("d.doc_id"))
-    return j.select(F.col("e.vec_id").cast("string").alias("id"),
+    j = d.join(e, F.col("e.vec_id") == F.col("d.doc_id"), "left")
+    return j.select(F.col("d.doc_id").cast("string").alias("id"),
                     *[F.expr(v).alias(k) for k, v in CLUSTER_COLS.items()],
-                    F.expr("CASE WHEN e.vec_id % 19 = 0 THEN array() ELSE e.embedding END").alias("embedding"))
+                    F.expr("CASE WHEN d.doc_id % 19 = 0 THEN array() ELSE coalesce(e.embedding, "
+                           "array(CAST(d.doc_id % 7 AS FLOAT), CAST(1 AS FLOAT))) END").alias("embedding"))
 
 
 def cluster_rows_sql() -> str:
     cols = ", ".join(f"{v} AS {k}" for k, v in CLUSTER_COLS.items())
-    return (f"(SELECT CAST(e.vec_id AS VARCHAR) AS id, {cols}, "
-            f"CASE WHEN e.vec_id % 19 = 0 THEN CAST([] AS FLOAT[]) ELSE e.embedding END AS embedding "
-            f"FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id)")
+    return (f"(SELECT CAST(d.doc_id AS VARCHAR) AS id, {cols}, "
+            f"CASE WHEN d.doc_id % 19 = 0 THEN CAST([] AS FLOAT[]) ELSE coalesce(e.embedding, "
+            f"CAST([d.doc_id % 7, 1] AS FLOAT[])) END AS embedding "
+            f"FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id)")
 
 
 # F-SEP: separable vectors (label decides which axis is lifted); the

@@ -66,10 +66,8 @@ def ship_package(spark: SparkSession) -> None:
 def apply_conf(spark: SparkSession) -> None:
     """Set the session-level options on an existing session."""
     for k, v in REQUIRED_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
     ship_package(spark)
 
 
@@ -83,6 +81,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="textmill-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():
@@ -96,6 +96,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/textmill/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists (by the file system Spark itself uses)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def cut_lineage(df, name: str = "stage"):
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and continue from it.

@@ -35,7 +35,8 @@ def discover_documents(spark: SparkSession, path: str, suffix: str = ".pdf") ->
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"No {suffix} file or folder found at: {path}") from e
         raise
-    df = df.select("path", basename("path").alias("document_id"), "length", "content")
+    # in path order, as the files are processed
+    df = df.select("path", basename("path").alias("document_id"), "length", "content").orderBy("path")
     if df.select("path").isEmpty():
         raise FileNotFoundError(f"No {suffix} file or folder found at: {path}")
     return df

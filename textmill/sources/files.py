@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill import schemas
@@ -13,7 +14,7 @@ def _glob(ext: str) -> str:
 
 
 def read_chunks_json(spark: SparkSession, path: str | list[str],
-                     schema: T.StructType = schemas.CHUNK, layout: str = "array") -> DataFrame:
+                     schema: T.StructType = schemas.CHUNK, layout: str = "lines") -> DataFrame:
     """Chunk JSON: one file or every ``.json`` (any case) in a folder,
     non-recursively.  ``array`` files hold one JSON array each (every element
     a row); ``lines`` files hold one object per line.  Absent keys are null."""
@@ -21,6 +22,12 @@ def read_chunks_json(spark: SparkSession, path: str | list[str],
          .option("pathGlobFilter", _glob("json"))
          .option("recursiveFileLookup", "false"))
     if layout == "array":
+        # a lines file read this way would give its first row only
+        first = (spark.read.option("wholetext", True).option("pathGlobFilter", _glob("json"))
+                 .text(path).select(F.substring(F.ltrim(F.regexp_replace("value", r"^\\s+", "")), 1, 1).alias("c"))
+                 .where("c != '[' and c != ''").limit(1).count())
+        if first:
+            raise ValueError("not a JSON array file: read it with layout='lines'")
         r = r.option("multiLine", True)
     elif layout != "lines":
         raise ValueError(f"unknown JSON layout: {layout!r}")
@@ -30,12 +37,23 @@ def read_chunks_json(spark: SparkSession, path: str | list[str],
 def read_records_csv(spark: SparkSession, path: str | list[str],
                      schema: T.StructType = schemas.RECORDS_CSV) -> DataFrame:
     """Header CSV, UTF-8, quoted fields may hold newlines and doubled quotes;
-    every value is text.  An unquoted empty field reads as null."""
-    return (spark.read.schema(schema)
-            .option("header", True).option("multiLine", True)
-            .option("escape", '"').option("encoding", "UTF-8")
-            .option("enforceSchema", False)
-            .csv(path))
+    every value is text.  An unquoted empty field reads as null.  Columns go by
+    header name: their order is free, others are ignored, absent ones are null.
+
+    Files are read one layout at a time: those that share a header go into one
+    scan."""
+    def scan(p):
+        return (spark.read.option("header", True).option("multiLine", True).option("inferSchema", False)
+                .option("escape", '"').option("encoding", "UTF-8").csv(p))
+
+    paths = [path] if isinstance(path, str) else list(path)
+    out = None
+    for p in paths:
+        df = scan(p)
+        row = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                          for f in schema.fields])
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:

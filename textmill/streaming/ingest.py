@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.operators.chunking import chunk_hash, chunk_pages
-from textmill.session import scratch_path
+from textmill.session import path_exists, scratch_path
 from textmill.sources.documents import scan_pages
 
 DOCUMENTS = T.StructType([
@@ -45,11 +45,9 @@ def chunk_stream(spark: SparkSession, source_dir: str, schema: T.StructType = DO
 def _append_new(out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            have = spark.read.parquet(out_dir).select(*KEY)
-            fresh = batch.join(have, KEY, "left_anti")
-        except Exception:  # first batch: no table yet
-            fresh = batch
+        fresh = batch
+        if path_exists(spark, out_dir):
+            fresh = batch.join(spark.read.parquet(out_dir).select(*KEY), KEY, "left_anti")
         fresh.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_dir)
     return write
 
