@@ -1,6 +1,7 @@
 """Clustering: graph helpers, k-means invariants and density clustering."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from textmill.operators.cluster import cluster_density, cluster_kmeans, kmeans_invariants
@@ -76,12 +77,68 @@ def test_hierarchy_matches_bruteforce(spark):
     tree = spanning_tree(df.join(core, "id"), 64, n)
     edges = [(r.u, r.v, r.w) for r in tree.collect()]
     assert len(edges) == n - 1
-    for mcs in (5, 12):
+    for mcs, base in ((5, 16), (12, 64), (12, 1 << 16)):
         want = labels_from_tree(n, edges, mcs)
-        got = {r.id: r.cluster_label for r in condensed_labels(tree, df.select("id"), mcs).collect()}
-        pairs = {}
-        for i in range(n):
-            pairs.setdefault(int(want[i]), set()).add(got[i])
-        assert all(len(v) == 1 for v in pairs.values()), (mcs, pairs)
-        assert pairs.get(-1, {-1}) == {-1}
-        assert len({next(iter(v)) for v in pairs.values()}) == len(pairs)
+        _same_partition(want, condensed_labels(tree, df.select("id"), mcs, base))
+
+
+def _same_partition(want, labels):
+    got = {r.id: r.cluster_label for r in labels.collect()}
+    assert len(got) == len(want)
+    pairs = {}
+    for i, w in enumerate(want):
+        pairs.setdefault(int(w), set()).add(got[i])
+    assert all(len(v) == 1 for v in pairs.values()), pairs
+    assert pairs.get(-1, {-1}) == {-1}
+    assert len({next(iter(v)) for v in pairs.values()}) == len(pairs)
+
+
+@pytest.mark.parametrize("weights", ["equal", "zero", "uneven"])
+def test_hierarchy_of_many_edges(spark, weights):
+    """Six hundred edges of one weight, of weight zero, and 700 uneven points."""
+    from hdbscan_bruteforce import labels_from_tree
+    from textmill.operators.cluster import condensed_labels
+    rng = np.random.default_rng(1)
+    n = 700 if weights == "uneven" else 601
+    w = {"equal": np.full(n, 2.5), "zero": np.zeros(n), "uneven": np.round(rng.gamma(2.0, 1.0, n), 2)}[weights]
+    edges = [(int(rng.integers(max(0, i - 40), i)), i, float(w[i])) for i in range(1, n)]
+    tree = spark.createDataFrame(edges, "u long, v long, w double")
+    ids = spark.range(n)
+    want = labels_from_tree(n, edges, 10)
+    _same_partition(want, condensed_labels(tree, ids, 10, 128))
+
+
+def test_cut_chain_of_clusters(spark):
+    """A chain-shaped cluster tree: rounds of the selection stay few."""
+    from textmill.operators.cluster import _select
+    rows = [(2 * i, 2 * i - 2 if i else None, float((i * 37) % 11) + 1.0) for i in range(60)]
+    rows += [(2 * i + 1, 2 * i, float((i * 53) % 7)) for i in range(60)]
+    got = {r["c"]: r["top"] for r in _select(spark.createDataFrame(rows, "c long, par long, stability double")).collect()}
+    kids = {}
+    for c, p, _ in rows:
+        kids.setdefault(p, []).append(c)
+    st = {c: s for c, _, s in rows}
+
+    def best(c):
+        return max(st[c], sum(map(best, kids.get(c, []))))
+
+    def walk(c, top):
+        own = c != 0 and not sum(map(best, kids.get(c, []))) > st[c]
+        top = top if top is not None else (c if own else None)
+        want[c] = top
+        for k in kids.get(c, []):
+            walk(k, top)
+
+    want = {}
+    walk(0, None)
+    assert got == want
+
+
+def test_odd_inputs(spark):
+    """One row, few rows, equal rows, repeated and text ids, missing vectors."""
+    one = spark.createDataFrame([("D-20", [1.0, 2.0])], "id string, embedding array<double>")
+    assert [r["cluster_label"] for r in cluster_density(one).collect()] == [-1]
+    same = spark.createDataFrame([("a", [1.0, 2.0])] * 40 + [("b", None)] * 2 + [("c", [50.0, 50.0])], "id string, embedding array<double>")
+    out = cluster_density(same, block_rows=16, base_edges=8)
+    assert out.count() == 43 and [r["cluster_label"] for r in out.filter("id != 'a'").collect()] == [-1] * 3
+    assert cluster_density(one.limit(0)).count() == 0
