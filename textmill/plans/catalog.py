@@ -836,5 +836,6 @@ SELECT CAST(label AS BIGINT) AS label, CAST(count(*) AS BIGINT) AS size,
        CAST(CASE WHEN label = -1 THEN count(*) ELSE 0 END AS BIGINT) AS noise, CAST(0 AS BIGINT) AS shared
 FROM g GROUP BY label""")
 def q_density_noise(spark, sf):
-    """Far outliers come out as noise, the rest as their label's cluster."""
-    return partition_report(cluster_density(FX.separable(spark, sf, outliers=True)))
+    """Far outliers come out as noise, the rest as their label's cluster; small
+    blocks and rank intervals, so that the work is spread at every size."""
+    return partition_report(cluster_density(FX.separable(spark, sf, outliers=True), block_rows=200, base_edges=256))
