@@ -28,7 +28,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -43,35 +45,42 @@ PACKET = 512
 CLOSING_ID = 1
 FANOUT = 256
 ROUND_BITS = 10
-ROWS = 512
+ROWS = 1024
 
 
 class Encoder:
     """Token ids of texts by the ``tokenizers`` library, remembered by chunk."""
 
-    def __init__(self, vocabulary: str, limit: int = 250_000):
+    def __init__(self, vocabulary: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(vocabulary)
-        self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code, self.dtype = ("H", "<u2") if self.library.get_vocab_size() <= 1 << 16 else ("I", "<u4")
+        # two generations: what is used again survives when the younger is full
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.limit = limit
 
     def _ids(self, parts: list[str]) -> list[bytes]:
         got = self.library.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in got]
+        return [array(self.code, e.ids).tobytes() for e in got]
+
+    def _learn(self, cut: list[list[str]]) -> None:
+        if len(self.known) > self.limit:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        # look the batch's chunks up, not the other way round: both dicts are larger
+        new = list(filterfalse(known.__contains__, set().union(*cut)))
+        known.update((c, older[c]) for c in new if c in older)
+        new = list(filterfalse(known.__contains__, new))
+        known.update(zip(new, self._ids([" " + c for c in new]), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as packed integers.  Chunks but the first of a text
         carry the space before them; no token crosses a chunk's edge."""
         cut = [chunks(t or "") for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        new = {c for cs in cut for c in cs[1:]}
-        new.difference_update(self.known)
-        listed = list(new)
-        self.known.update(zip(listed, self._ids([" " + c for c in listed]), strict=True))
         firsts = self._ids([cs[0] for cs in cut])
+        self._learn(cut)
         return [f + b"".join(map(self.known.__getitem__, cs[1:])) for f, cs in zip(firsts, cut, strict=True)]
 
 

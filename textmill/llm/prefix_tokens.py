@@ -22,6 +22,7 @@ import numpy as np
 
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
+_ODD_PAIRS = [" " + chr(c) for c in (32, 9, 10, 11, 12, 13, 28, 29, 30, 31)]
 # The published pre-split pattern of byte-level BPE vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -35,7 +36,11 @@ def byte_alphabet() -> dict[str, int]:
 
 def chunks(text: str) -> list[str]:
     """Parts of a text; all but the first lost one leading space."""
-    return text.split(" ") if _ODD.search(text) is None else _CUT.split(text)
+    if text.isascii():  # a few substring searches are quicker than the pattern
+        odd = text.endswith(" ") or any(pair in text for pair in _ODD_PAIRS)
+    else:
+        odd = _ODD.search(text) is not None
+    return _CUT.split(text) if odd else text.split(" ")
 
 
 class PrefixCounter:
