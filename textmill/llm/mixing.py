@@ -95,6 +95,8 @@ def draw(docs: DataFrame, *, source: Column | None = None, size: Column | None =
     level1 = offsets(t1, leaf[:2], "_o1")
     targets = source_targets(cells.groupBy("_skey").agg(F.sum("_words").alias("source_size")),
                              weights, share, max_repeat, seed)
+    # a row a source; written, so that Spark knows its size when it plans the join
+    targets = stage(targets, "mix-targets")
     plan = (level3.join(level2, leaf[:3]).join(level1, leaf[:2]).join(targets, ["_skey"])
             .withColumn("_off", F.col("_o1") + F.col("_o2") + F.col("_o3")).drop("_o1", "_o2", "_o3"))
     in_leaf = Window.partitionBy(*leaf).orderBy("_h", "_size")
@@ -123,11 +125,11 @@ def mix_counts(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share
     rest = (drawn.groupBy("_skey").agg((F.round(F.first("target")) - F.sum(whole)).cast("long").alias("_gap"),
                                        F.max(room).alias("_up"), F.max(load).alias("_down")))
     at = F.when(F.col("_gap") > 0, F.col("_up")).otherwise(F.col("_down"))
-    rest = rest.select("_skey", "_gap", at["rank"].alias("_at"), at["room"].alias("_room"))
+    rest = stage(rest.select("_skey", "_gap", at["rank"].alias("_at"), at["room"].alias("_room")), "mix-rest")
     cut = (F.when((F.col("_rank") == F.col("_at")) & (F.col("_gap") > 0), F.least("_gap", "_room"))
            .when((F.col("_rank") == F.col("_at")) & (F.col("_gap") < 0), -F.least(-F.col("_gap"), F.col("_room")))
            .otherwise(F.lit(0)).cast("long"))
-    # one row a source: a bounded table that Spark broadcasts by its measured size
+    # a row a source: Spark broadcasts it if its measured size allows
     return (drawn.join(rest, "_skey").withColumn("cut", cut)
             .select("doc_id", "size", "source_size", "target", (whole + F.col("cut")).alias("taken"),
                     "copies", "cut"))
