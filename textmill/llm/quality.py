@@ -135,7 +135,9 @@ def _distance() -> Column:
 def _starting_params(rows: DataFrame) -> DataFrame:
     """Medians, and MADs as a diagonal scale, in the layout of ``_params``."""
     d = len(DIMS)
-    med = rows.groupBy("_g").agg(*[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(DIMS)])
+    # written, so that Spark knows the small side's size and need not deal the rows out by group
+    med = stage(rows.groupBy("_g").agg(*[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(DIMS)]),
+                "quality-medians")
     off = rows.join(med, "_g")
     mad = off.groupBy("_g").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000).alias(f"a{i}")
                                   for i, x in enumerate(DIMS)])
@@ -157,7 +159,7 @@ def judge(docs: DataFrame, *, steps: int = 3, cutoff: float = 32.0, min_rows: in
     params = stage(_starting_params(fit), "quality-start")
     for k in range(steps):
         scored = fit.join(params, "_g").select("_g", *DIMS, _distance().alias("_d"))
-        bound = scored.groupBy("_g").agg(F.percentile_approx("_d", SUPPORT, 10000).alias("_b"))
+        bound = stage(scored.groupBy("_g").agg(F.percentile_approx("_d", SUPPORT, 10000).alias("_b")), f"quality-bound{k}")
         params = stage(_params(scored.join(bound, "_g").where(F.col("_d") <= F.col("_b"))), f"quality-step{k}")
     scored = fit.join(params, "_g").select("_g", _distance().alias("_d"))
     factor = scored.groupBy("_g").agg(
