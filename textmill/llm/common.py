@@ -7,6 +7,7 @@ twin (``str.split`` would also split at other Unicode spaces).
 
 from __future__ import annotations
 
+import gc
 import re
 
 import numpy as np
@@ -40,6 +41,13 @@ def drop_table(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished jobs now; by itself
+    it waits for the driver's next full collection (every 30 minutes)."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back."""
     return cut_lineage(df, name)

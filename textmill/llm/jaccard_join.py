@@ -5,26 +5,31 @@ Documents are sets of word shingles; two link when ``100 * |A & B| >= percent *
 
 Regions.  Linked sets share a shingle among the first ``(1 - percent/100) * n + 1``
 of each in any common order (prefix filter), so pivots need not be tried one by
-one: for each prefix shingle, the smallest document that has it is the pivot, and
-every document belongs to the regions of its pivots - on purpose to all of them,
-for a linked pair always meets at the pivot of its first common prefix shingle.
-Shingles that are frequent in a bounded sample come last in the order; this
-keeps boilerplate from making regions and changes no result.
+one: for each prefix shingle, the smallest set that has it is the pivot, and every
+set belongs to the regions of its pivots - on purpose to all of them, for a linked
+pair always meets at the pivot of its first common prefix shingle.  Shingles that
+are frequent in a bounded sample come last in the order; this keeps boilerplate
+from making regions and changes no result.
 
 Windows.  Within a region, counts of shingles by hash class map sets into an L1
-space that never stretches their symmetric difference; a document stays in a
-region only if another one lies within the radius there.  Regions of more than
-``BLOCK`` documents are dealt into block pairs.
-
-Recursion.  The sets of what is left meet in their region, and the region is
-joined recursively: exact distances to a pivot link its ball of radius eps; by
-the triangle inequality a ball member with distance x can only link to documents
-outside the ball with distance up to x + eps, so members without such a document
-leave; the rest goes on with the next pivot, until all is one component or every
-document was a pivot.  Only spanning links leave a task, never all pairs.
-
-Equal sets are one class from the start (128-bit fingerprint), so groups of
-copies cost one set.  Components come from the distributed star algorithm.
+space that never stretches their symmetric difference; a set stays in a region
+only if another one lies within the radius there.  Regions of more than ``BLOCK``
+sets are dealt into block pairs.
+
+Recursion.  First every set goes to one region only, its home (the smallest pivot
+it is near to something at), and homes are joined recursively: exact distances to
+a pivot link its ball of radius eps; by the triangle inequality a ball member at
+distance x can only link to sets outside the ball with distance up to x + eps, so
+members without such a set leave; the rest goes on with the next pivot, until all
+is one component or everything was a pivot.  Then sets meet again in the other
+regions, but only those near to a set of another home and another component.
+Only spanning links leave a task, never all pairs, and a set is shipped once and
+then only where two homes meet.
+
+Equal sets are one class from the start, named by a 64-bit fingerprint, and a
+batch emits a class once, so a group of copies costs one set.  Sets are shipped
+as 48-bit hashes; sizes are counted on 64 bits.  Components come from the
+distributed star algorithm.
 
 Defined cases: null and blank texts have empty sets and link with nothing; with
 fewer than ``k`` words the whole sequence is the one shingle; rows that share an
@@ -38,12 +43,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.operators.graph import connected_components
 
-from .common import RangeHashes, WordHashes, mix64, stage, words
+from .common import RangeHashes, WordHashes, drop_table, mix64, release, stage, stage_at, words
 from .substring_dedup import _slices
 
 CLASSES = 64  # hash classes of the L1 map
@@ -108,7 +113,8 @@ def _prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataFrame:
-    """``doc_id, n, f1, f2, sig, keys`` of every row."""
+    """``doc_id, n, cls, sig, keys`` of every row; ``keys`` only for the first
+    row of a class in its batch."""
     src = docs.select("doc_id", "text")
     id_type = src.schema["doc_id"].dataType.simpleString()
 
@@ -117,16 +123,24 @@ def signatures(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> D
         for b in batches:
             for part in _slices(b):
                 sets = shingle_sets(part.column("text").to_pylist(), hashes, k)
-                sig = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=CLASSES).astype("<i4").tobytes() for s in sets]
-                keys = [_prefix(s, frequent, percent).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
+                named = part.column("doc_id").is_valid().to_pylist()
+                cls, sig, keys, seen = [], [], [], set()
+                for s, has_id in zip(sets, named, strict=True):
+                    c = int(mix64(mix64(s ^ salt).sum(dtype=np.uint64, keepdims=True) + s.sum(dtype=np.uint64) * salt
+                                  + np.uint64(len(s))).view(np.int64)[0])
+                    first = bool(len(s)) and has_id and c not in seen
+                    if first:
+                        seen.add(c)
+                    cls.append(c)
+                    count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=CLASSES)
+                    sig.append(np.minimum(count, 65535).astype("<u2").tobytes() if first else None)
+                    keys.append(_prefix(s, frequent, percent).view(np.int64) if first else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)),
-                     pa.array(np.array([mix64(s ^ salt).sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)),
+                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()),
                      pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "f1", "f2", "sig", "keys"])
+                    names=["doc_id", "n", "cls", "sig", "keys"])
 
-    return src.mapInArrow(run, f"doc_id {id_type}, n long, f1 long, f2 long, sig binary, keys array<long>")
+    return src.mapInArrow(run, f"doc_id {id_type}, n long, cls long, sig binary, keys array<long>")
 
 
 CELL = ["p", "bi", "bj"]
@@ -155,12 +169,16 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def _near_rows(sig: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Rows that another row may link to by the L1 bound (and the sizes)."""
+def _near_rows(sig: np.ndarray, n: np.ndarray, percent: int, home: np.ndarray | None = None,
+               comp: np.ndarray | None = None) -> np.ndarray:
+    """Rows that another row may link to by the L1 bound (and the sizes); with
+    ``home`` and ``comp`` only rows that differ in both count."""
     near = np.zeros(len(n), dtype=bool)
     for i in range(len(n) - 1):
         l1 = np.abs(sig[i + 1:] - sig[i]).sum(1)
         hit = (100 + percent) * l1 <= (100 - percent) * (n[i + 1:] + n[i])
+        if home is not None:
+            hit &= (home[i + 1:] != home[i]) & (comp[i + 1:] != comp[i])
         if hit.any():
             near[i] = True
             near[i + 1:] |= hit
@@ -211,30 +229,66 @@ def join_region(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
+def _pack48(s: np.ndarray) -> bytes:
+    return s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _unpack48(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
+    wide[:, 2:] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
+
+
 def links(docs: DataFrame, *, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """(rows, links): ``doc_id, n, rep`` of every row (``rep``: smallest id with the
-    same set), and spanning links ``src, dst`` between representatives."""
-    rows = stage(signatures(docs, frequent_shingles(docs, k), k, percent), "jaccard-sets")
-    known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = stage(known.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
-    members = rows.select("doc_id", "n", "f1", "f2").join(classes, ["f1", "f2", "n"], "left").select("doc_id", "n", "rep")
-    # one row a class; an id that several rows share may stand for several sets
-    reps = (known.join(classes.select("f1", "f2", "n", F.col("rep").alias("doc_id")), ["f1", "f2", "n", "doc_id"])
-            .dropDuplicates(["f1", "f2", "n"]).select(F.col("doc_id").alias("x"), "n", "sig", "keys"))
-    reps = stage(reps, "jaccard-reps")
-    keys = reps.select("x", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("x").alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "p")
-    regions = stage(keys.join(shared, "key").select("p", "x").distinct(), "jaccard-regions")
+    """(rows, links): ``doc_id, n, cls`` of every row (``cls``: the class of its set),
+    and spanning links ``src, dst`` between classes."""
+    spark = docs.sparkSession
+    full, path = stage_at(signatures(docs, frequent_shingles(docs, k), k, percent), "jaccard-keys")
+    rows = stage(full.select("doc_id", "n", "cls", "sig"), "jaccard-sets")
+    keys = full.where("keys is not null").select(F.col("cls").alias("x"), F.explode("keys").alias("key")).repartition("key")
+    # a key's classes are one a batch at most, however many copies there are
+    same = Window.partitionBy("key")
+    regions = (keys.select("x", F.min("x").over(same).alias("p"), F.max("x").over(same).alias("q"))
+               .where("p != q").select("p", "x").distinct())
+    regions = stage(regions, "jaccard-regions")
+    del full, keys
+    drop_table(spark, path)
+    release(spark)
+    classes = stage(rows.where("sig is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumnRenamed("cls", "x"), "jaccard-classes")
     blocks = (regions.groupBy("p").agg(F.count(F.lit(1)).alias("c"))
               .select("p", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
+    near = stage(_active(_dealt(regions, blocks).join(classes.select("x", "n", "sig"), "x"), percent)
+                 .select("p", "x").distinct(), "jaccard-near")
+    # first round: every set in its home
+    homes = stage(near.groupBy("x").agg(F.min("p").alias("home")), "jaccard-homes")
+    at_home = homes.select(F.col("home").alias("p"), "x")
+    sizes = (at_home.groupBy("p").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+             .select("p", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
+    sets, shipped = stage_at(_sets(docs, homes.select("x").join(classes.select("x", "rep"), "x"), k), "jaccard-shipped")
+    release(spark)
+    first = stage(_join_cells(_dealt(at_home, sizes), sets, percent), "jaccard-home-links")
+    # second round: other regions, where sets of two homes and components are near
+    comp = stage(connected_components(first), "jaccard-components")
+    known = (near.join(homes, "x").join(comp.select(F.col("node").alias("x"), "comp"), "x", "left")
+             .select("p", "x", "home", F.coalesce("comp", "x").alias("comp")))
+    mixed = known.groupBy("p").agg(F.min("home").alias("a"), F.max("home").alias("b"), F.min("comp").alias("c"),
+                                   F.max("comp").alias("d"), F.count(F.lit(1)).alias("n")).where("a != b and c != d")
+    mixed = mixed.select("p", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    open_ = stage(_active(_dealt(known, mixed).join(classes.select("x", "n", "sig"), "x"), percent), "jaccard-open")
+    second = stage(_join_cells(open_, sets, percent), "jaccard-links")
+    drop_table(spark, shipped)
+    release(spark)
+    return rows.select("doc_id", "n", "cls"), first.unionByName(second)
+
+
+def _dealt(members: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Members of each region in the block pairs they belong to."""
     own = F.pmod(F.xxhash64(F.lit("block"), "x"), F.col("blocks")).cast("int")
-    dealt = (regions.join(blocks, "p").withColumn("b", own)
-             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("p", "x", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj")))
-    near = _active(dealt.join(reps.select("x", "n", "sig"), "x"), percent)
-    near = stage(near, "jaccard-near")
-    edges = _region_links(docs, near, k, percent)
-    return members, stage(edges, "jaccard-links")
+    others = [F.col(c) for c in members.columns if c not in ("p", "x")]
+    return (members.join(blocks, "p").withColumn("b", own)
+            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("p", "x", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), *others))
 
 
 def _by_cell(df: DataFrame) -> DataFrame:
@@ -242,74 +296,75 @@ def _by_cell(df: DataFrame) -> DataFrame:
 
 
 def _active(cells: DataFrame, percent: int) -> DataFrame:
-    """``p, bi, bj, x`` of the documents that may have a partner in their cell."""
-    cells = _by_cell(cells.select(*CELL, "x", "n", "sig"))
-    t = cells.schema["x"].dataType.simpleString()
+    """``p, bi, bj, x`` of the sets that may have a partner in their cell."""
+    two = [c for c in ("home", "comp") if c in cells.columns]
+    cells = _by_cell(cells.select(*CELL, "x", "n", "sig", *two))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
             if cell.num_rows < 2:
                 continue
             raw = b"".join(cell.column("sig").to_pylist())
-            sig = np.frombuffer(raw, dtype="<i4").reshape(cell.num_rows, CLASSES)
-            near = _near_rows(sig, cell.column("n").to_numpy(), percent)
+            sig = np.frombuffer(raw, dtype="<u2").reshape(cell.num_rows, CLASSES).astype(np.int32)
+            near = _near_rows(sig, cell.column("n").to_numpy(), percent, *[cell.column(c).to_numpy() for c in two])
             if near.any():
                 yield from cell.select([*CELL, "x"]).filter(pa.array(near)).to_batches()
 
-    return cells.mapInArrow(run, f"p {t}, bi int, bj int, x {t}")
+    return cells.mapInArrow(run, "p long, bi int, bj int, x long")
 
 
-def _region_links(docs: DataFrame, near: DataFrame, k: int, percent: int) -> DataFrame:
-    """Exact join of the sets that meet in each cell: ``src, dst``."""
-    where = near.groupBy("x").agg(F.collect_list(F.struct(*CELL)).alias("cells"))
-    texts = (docs.select("doc_id", "text").join(where.hint("shuffle_hash"), F.col("doc_id") == F.col("x"))
-             .select("x", "text", "cells"))
-    t = texts.schema["x"].dataType.simpleString()
+def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """``x, s``: the packed set of each wanted class (x, rep: a document that has it)."""
+    texts = (docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"))
+             .select("x", "text"))
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            for part in _slices(b, 1_000_000):
-                sets = [s.tobytes() for s in shingle_sets(part.column("text").to_pylist(), hashes, k)]
-                cells = part.column("cells")
-                row = pa.array(np.repeat(np.arange(part.num_rows), np.diff(cells.offsets.to_numpy())))
-                flat = cells.flatten()
-                yield pa.RecordBatch.from_arrays(
-                    [flat.field(0), flat.field(1), flat.field(2), part.column("x").take(row), pa.array(sets, pa.binary()).take(row)],
-                    names=[*CELL, "x", "s"])
+            for part in _slices(b):
+                sets = shingle_sets(part.column("text").to_pylist(), hashes, k)
+                yield pa.RecordBatch.from_arrays([part.column("x"), pa.array([_pack48(s) for s in sets], pa.binary())],
+                                                 names=["x", "s"])
 
-    sets = _by_cell(texts.mapInArrow(make, f"p {t}, bi int, bj int, x {t}, s binary"))
+    return texts.mapInArrow(run, "x long, s binary")
+
+
+def _join_cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Exact join of the sets that meet in each cell: ``src, dst``."""
+    met = _by_cell(cells.select(*CELL, "x").join(sets, "x").select(*CELL, "x", "s"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
             if cell.num_rows < 2:
                 continue
-            sets = [np.frombuffer(s, dtype=np.uint64) for s in cell.column("s").to_pylist()]
-            found = join_region(sets, percent)
+            found = join_region([_unpack48(s) for s in cell.column("s").to_pylist()], percent)
             if found:
-                ids = cell.column("x").combine_chunks()
-                a, b = (ids.take(pa.array([f[i] for f in found])) for i in (0, 1))
+                x = cell.column("x").to_numpy()
+                a, b = (pa.array(x[[f[i] for f in found]]) for i in (0, 1))
                 yield pa.RecordBatch.from_arrays([a, b], names=["src", "dst"])
 
-    return sets.mapInArrow(run, f"src {t}, dst {t}").distinct()
+    return met.mapInArrow(run, "src long, dst long").distinct()
 
 
 def components(docs: DataFrame, *, k: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     members, edges = links(docs, k=k, percent=percent)
+    named = members.where("doc_id is not null and n > 0")
     # several sets under one id are one node: their classes unite
-    shared = members.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    shared = shared.where("a != b").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    labels = connected_components(edges.unionByName(shared))
-    out = members.join(labels, members["rep"] == labels["node"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.coalesce("comp", "rep", "doc_id").alias("component_id"))
+    shared = named.groupBy("doc_id").agg(F.min("cls").alias("src"), F.max("cls").alias("dst")).where("src != dst")
+    labels = stage(connected_components(edges.unionByName(shared.select("src", "dst"))), "jaccard-labels")
+    group = F.coalesce("comp", "cls")
+    member = (members.join(labels.select(F.col("node").alias("cls"), "comp"), "cls", "left")
+              .withColumn("_g", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), group)))
+    # the smallest id of a group; copies are added up in each task first
+    smallest = member.where("_g is not null").groupBy("_g").agg(F.min("doc_id").alias("component_id"))
+    return (member.join(smallest, "_g", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with one document of each component (the smallest id);
     rows without id stay."""
-    from pyspark.sql import Window
     first = (components(docs, k=k, percent=percent).where(F.col("doc_id") == F.col("component_id"))
              .select("doc_id").distinct())
     named = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi")

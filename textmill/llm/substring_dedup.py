@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, RangeHashes, WordHashes, stage, words
+from .common import WORD_RE, RangeHashes, WordHashes, release, stage, words
 
 WINDOW = 20
 GRAM = 5
@@ -191,6 +191,7 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataF
     parsed = stage(ranked.select("doc_id", "at", (F.col("known") | (F.col("_rank") > 1)).alias("factor"),
                                  F.col("_new").alias("_open"))
                    .where(F.col("factor") | F.col("_open")).select("doc_id", "at", "factor"), "dedup-phrases")
+    release(docs.sparkSession)
     windows = _boundary_windows(docs, parsed.where(~F.col("factor")), window)
     again = windows.withColumn("_rank", F.rank().over(Window.partitionBy("hash").orderBy(*order))).where(F.col("_rank") > 1)
     return parsed.where("factor").select("doc_id", "at").unionByName(again.select("doc_id", "at"))
