@@ -52,6 +52,9 @@ from .common import RangeHashes, WordHashes, drop_table, mix64, release, stage,
 from .substring_dedup import _slices
 
 CLASSES = 64  # hash classes of the L1 map
+# Unrelated sets of n shingles differ by about sqrt(classes * n) in L1, so long
+# sets need more classes to be told apart; each fine class lies in one coarse class.
+FINE_CLASSES, FINE_FROM = 1024, 1000
 BLOCK = 512
 SAMPLE_DOCS = 4000
 FREQUENT = 50_000
@@ -113,8 +116,8 @@ def _prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataFrame:
-    """``doc_id, n, cls, sig, keys`` of every row; ``keys`` only for the first
-    row of a class in its batch."""
+    """``doc_id, n, cls, sig, fine, keys`` of every row; ``sig, keys`` (and ``fine``
+    for long sets) only for the first row of a class in its batch."""
     src = docs.select("doc_id", "text")
     id_type = src.schema["doc_id"].dataType.simpleString()
 
@@ -124,7 +127,7 @@ def signatures(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> D
             for part in _slices(b):
                 sets = shingle_sets(part.column("text").to_pylist(), hashes, k)
                 named = part.column("doc_id").is_valid().to_pylist()
-                cls, sig, keys, seen = [], [], [], set()
+                cls, sig, fine, keys, seen = [], [], [], [], set()
                 for s, has_id in zip(sets, named, strict=True):
                     c = int(mix64(mix64(s ^ salt).sum(dtype=np.uint64, keepdims=True) + s.sum(dtype=np.uint64) * salt
                                   + np.uint64(len(s))).view(np.int64)[0])
@@ -134,13 +137,16 @@ def signatures(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> D
                     cls.append(c)
                     count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=CLASSES)
                     sig.append(np.minimum(count, 65535).astype("<u2").tobytes() if first else None)
+                    long = first and len(s) > FINE_FROM
+                    count = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=FINE_CLASSES) if long else None
+                    fine.append(np.minimum(count, 65535).astype("<u2").tobytes() if long else None)
                     keys.append(_prefix(s, frequent, percent).view(np.int64) if first else None)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()),
-                     pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "cls", "sig", "keys"])
+                     pa.array(sig, pa.binary()), pa.array(fine, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["doc_id", "n", "cls", "sig", "fine", "keys"])
 
-    return src.mapInArrow(run, f"doc_id {id_type}, n long, cls long, sig binary, keys array<long>")
+    return src.mapInArrow(run, f"doc_id {id_type}, n long, cls long, sig binary, fine binary, keys array<long>")
 
 
 CELL = ["p", "bi", "bj"]
@@ -170,15 +176,22 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _near_rows(sig: np.ndarray, n: np.ndarray, percent: int, home: np.ndarray | None = None,
-               comp: np.ndarray | None = None) -> np.ndarray:
+               comp: np.ndarray | None = None, fine: list[np.ndarray | None] | None = None) -> np.ndarray:
     """Rows that another row may link to by the L1 bound (and the sizes); with
-    ``home`` and ``comp`` only rows that differ in both count."""
+    ``home`` and ``comp`` only rows that differ in both count; with ``fine``
+    pairs of long sets must pass the bound on fine classes too."""
     near = np.zeros(len(n), dtype=bool)
     for i in range(len(n) - 1):
         l1 = np.abs(sig[i + 1:] - sig[i]).sum(1)
         hit = (100 + percent) * l1 <= (100 - percent) * (n[i + 1:] + n[i])
         if home is not None:
             hit &= (home[i + 1:] != home[i]) & (comp[i + 1:] != comp[i])
+        if fine is not None and fine[i] is not None:
+            for j in np.flatnonzero(hit).tolist():
+                other = fine[i + 1 + j]
+                if other is not None:
+                    l1 = int(np.abs(other - fine[i]).sum())
+                    hit[j] = (100 + percent) * l1 <= (100 - percent) * (n[i + 1 + j] + n[i])
         if hit.any():
             near[i] = True
             near[i + 1:] |= hit
@@ -244,7 +257,7 @@ def links(docs: DataFrame, *, k: int = 4, percent: int = 85) -> tuple[DataFrame,
     and spanning links ``src, dst`` between classes."""
     spark = docs.sparkSession
     full, path = stage_at(signatures(docs, frequent_shingles(docs, k), k, percent), "jaccard-keys")
-    rows = stage(full.select("doc_id", "n", "cls", "sig"), "jaccard-sets")
+    rows = stage(full.select("doc_id", "n", "cls", "sig", "fine"), "jaccard-sets")
     keys = full.where("keys is not null").select(F.col("cls").alias("x"), F.explode("keys").alias("key")).repartition("key")
     # a key's classes are one a batch at most, however many copies there are
     same = Window.partitionBy("key")
@@ -255,10 +268,11 @@ def links(docs: DataFrame, *, k: int = 4, percent: int = 85) -> tuple[DataFrame,
     drop_table(spark, path)
     release(spark)
     classes = stage(rows.where("sig is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumnRenamed("cls", "x"), "jaccard-classes")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("fine").alias("fine")).withColumnRenamed("cls", "x"), "jaccard-classes")
     blocks = (regions.groupBy("p").agg(F.count(F.lit(1)).alias("c"))
               .select("p", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
-    near = stage(_active(_dealt(regions, blocks).join(classes.select("x", "n", "sig"), "x"), percent)
+    coarse = stage(_active(_dealt(regions, blocks).join(classes.select("x", "n", "sig"), "x"), percent), "jaccard-coarse")
+    near = stage(_active(coarse.join(classes.select("x", "n", "sig", "fine"), "x"), percent)
                  .select("p", "x").distinct(), "jaccard-near")
     # first round: every set in its home
     homes = stage(near.groupBy("x").agg(F.min("p").alias("home")), "jaccard-homes")
@@ -275,7 +289,7 @@ def links(docs: DataFrame, *, k: int = 4, percent: int = 85) -> tuple[DataFrame,
     mixed = known.groupBy("p").agg(F.min("home").alias("a"), F.max("home").alias("b"), F.min("comp").alias("c"),
                                    F.max("comp").alias("d"), F.count(F.lit(1)).alias("n")).where("a != b and c != d")
     mixed = mixed.select("p", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    open_ = stage(_active(_dealt(known, mixed).join(classes.select("x", "n", "sig"), "x"), percent), "jaccard-open")
+    open_ = stage(_active(_dealt(known, mixed).join(classes.select("x", "n", "sig", "fine"), "x"), percent), "jaccard-open")
     second = stage(_join_cells(open_, sets, percent), "jaccard-links")
     drop_table(spark, shipped)
     release(spark)
@@ -298,7 +312,8 @@ def _by_cell(df: DataFrame) -> DataFrame:
 def _active(cells: DataFrame, percent: int) -> DataFrame:
     """``p, bi, bj, x`` of the sets that may have a partner in their cell."""
     two = [c for c in ("home", "comp") if c in cells.columns]
-    cells = _by_cell(cells.select(*CELL, "x", "n", "sig", *two))
+    finer = ["fine"] if "fine" in cells.columns else []
+    cells = _by_cell(cells.select(*CELL, "x", "n", "sig", *two, *finer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
@@ -306,7 +321,11 @@ def _active(cells: DataFrame, percent: int) -> DataFrame:
                 continue
             raw = b"".join(cell.column("sig").to_pylist())
             sig = np.frombuffer(raw, dtype="<u2").reshape(cell.num_rows, CLASSES).astype(np.int32)
-            near = _near_rows(sig, cell.column("n").to_numpy(), percent, *[cell.column(c).to_numpy() for c in two])
+            fine = None
+            if finer:
+                fine = [None if f is None else np.frombuffer(f, dtype="<u2").astype(np.int32) for f in cell.column("fine").to_pylist()]
+            near = _near_rows(sig, cell.column("n").to_numpy(), percent,
+                              *([cell.column(c).to_numpy() for c in two] or [None, None]), fine)
             if near.any():
                 yield from cell.select([*CELL, "x"]).filter(pa.array(near)).to_batches()
 
