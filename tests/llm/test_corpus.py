@@ -223,6 +223,18 @@ def test_dedup_edges(edge, nothing):
     assert out.columns == edge.columns and {r["doc_id"] for r in out.collect()} == {1, 2, 3, 4, 5, None, 6, 7, 9}
 
 
+@pytest.mark.parametrize("id_", [None, 7])
+def test_dedup_tells_apart_texts_of_one_id(spark, id_):
+    rng = random.Random(4)
+    pool = [[f"v{rng.randint(0, 10 ** 6)}" for _ in range(rng.randint(20, 60))] for _ in range(300)]
+    rows = [(i, id_, " ".join([*rng.choice(pool), *(f"u{i}x{j}" for j in range(rng.randint(1, 90))), *rng.choice(pool)]))
+            for i in range(3000)]
+    docs = spark.createDataFrame(rows, "n long, doc_id long, text string").repartition(5)
+    order = [(r["n"], r["text"]) for r in docs.orderBy(F.xxhash64("text")).select("n", "text").collect()]
+    got = {r["n"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove(docs).collect()}
+    assert got == brute_removed(order, 20)
+
+
 # ------------------------------------------------------------------ Jaccard join
 
 def brute_components(rows, k, percent):

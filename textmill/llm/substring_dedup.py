@@ -26,8 +26,9 @@ collide to remove a word wrongly.
 
 Defined cases: null and blank texts have no words; texts shorter than a window
 have no spans; repeated rows (same id and text) are one document and get the
-same result; rows that share an id but not the text are ordered by a hash of the
-text; null ids come first; an empty table gives an empty result.
+same result; rows that share an id (or have none) but not the text are documents
+of their own, told apart and ordered by the whole 64-bit hash of the text; null
+ids come first; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,12 +47,12 @@ from .common import WORD_RE, RangeHashes, WordHashes, release, stage, words
 WINDOW = 20
 GRAM = 5
 BATCH_CHARS = 4_000_000  # text a worker parses at a time
-TAG_BITS = 16  # of the text hash that tells apart rows with one id
+COUNT_BITS = 8  # of ``at``, for the number of windows
 
 
 def _with_tag(docs: DataFrame) -> DataFrame:
-    """``_tag``: some bits of the text's hash; with the id it names a document."""
-    return docs.withColumn("_tag", F.pmod(F.xxhash64("text"), F.lit(1 << TAG_BITS)).cast("int"))
+    """``_tag``: the text's 64-bit hash; with the id it names a document."""
+    return docs.withColumn("_tag", F.xxhash64("text"))
 
 
 def _slices(b: pa.RecordBatch, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
@@ -95,20 +96,16 @@ class _Parsed:
         return self.start - self.first_word[self.row]
 
 
-def _pack(place: np.ndarray, tag: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return (place.astype(np.int64) << (TAG_BITS + 8)) | (tag.astype(np.int64) << 8) | count.astype(np.int64)
+def _pack(place: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return (place.astype(np.int64) << COUNT_BITS) | count.astype(np.int64)
 
 
 def _place() -> Column:
-    return F.shiftright("at", TAG_BITS + 8)
-
-
-def _tag_of() -> Column:
-    return F.pmod(F.shiftright("at", 8), F.lit(1 << TAG_BITS)).cast("int")
+    return F.shiftright("at", COUNT_BITS)
 
 
 def phrases(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``anchor, phrase, doc_id, at, known``: the first copy of each phrase in each
+    """``anchor, phrase, doc_id, tag, at, known``: the first copy of each phrase in each
     batch, and the other copies with ``known`` (an earlier one is in the batch)."""
     src = _with_tag(docs.select("doc_id", "text"))
     id_type = src.schema["doc_id"].dataType.simpleString()
@@ -140,15 +137,15 @@ def phrases(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor.view(np.int64)), pa.array(p.phrase.view(np.int64)),
                      ids.combine_chunks().take(pa.array(p.row)) if ids.num_chunks else ids,
-                     pa.array(_pack(p.place(), tags[p.row], p.count)), pa.array(known)],
-                    names=["anchor", "phrase", "doc_id", "at", "known"])
+                     pa.array(tags[p.row]), pa.array(_pack(p.place(), p.count)), pa.array(known)],
+                    names=["anchor", "phrase", "doc_id", "tag", "at", "known"])
 
-    return src.mapInArrow(run, f"anchor long, phrase long, doc_id {id_type}, at long, known boolean")
+    return src.mapInArrow(run, f"anchor long, phrase long, doc_id {id_type}, tag long, at long, known boolean")
 
 
 def _boundary_windows(docs: DataFrame, open_phrases: DataFrame, window: int) -> DataFrame:
-    """``hash, doc_id, at, known`` for the windows of phrases at factor boundaries."""
-    per_doc = (open_phrases.groupBy(F.col("doc_id").alias("_id"), _tag_of().alias("_t"))
+    """``hash, doc_id, tag, at`` for the windows of phrases at factor boundaries."""
+    per_doc = (open_phrases.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_t"))
                .agg(F.array_distinct(F.collect_list("at")).alias("ats")))
     src = _with_tag(docs.select("doc_id", "text"))
     joined = (src.join(per_doc.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_t")))
@@ -165,22 +162,22 @@ def _boundary_windows(docs: DataFrame, open_phrases: DataFrame, window: int) ->
                 ats = part.column("ats")
                 flat = ats.flatten().to_numpy(zero_copy_only=False)
                 row = np.repeat(np.arange(part.num_rows), np.diff(ats.offsets.to_numpy()))
-                count = flat & 255
+                count = flat & ((1 << COUNT_BITS) - 1)
                 step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                row, place = np.repeat(row, count), np.repeat(flat >> (TAG_BITS + 8), count) + step
+                row, place = np.repeat(row, count), np.repeat(flat >> COUNT_BITS, count) + step
                 start = first[row] + place
-                tag = part.column("_tag").to_numpy(zero_copy_only=False)[row]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ranges.of(start, start + window).view(np.int64)), part.column("doc_id").take(pa.array(row)),
-                     pa.array(_pack(place, tag, np.ones_like(place)))], names=["hash", "doc_id", "at"])
+                     part.column("_tag").take(pa.array(row)), pa.array(_pack(place, np.ones_like(place)))],
+                    names=["hash", "doc_id", "tag", "at"])
 
-    return joined.mapInArrow(run, f"hash long, doc_id {id_type}, at long")
+    return joined.mapInArrow(run, f"hash long, doc_id {id_type}, tag long, at long")
 
 
 def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc_id, at``: every duplicate span as a packed (start, text tag, windows)."""
+    """``doc_id, tag, at``: every duplicate span as a packed (start, windows)."""
     rows = phrases(docs, window=window, gram=gram).repartition("anchor")
-    order = [F.col("doc_id").asc_nulls_first(), _tag_of().asc(), _place().asc()]
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tag").asc(), _place().asc()]
     copies = Window.partitionBy("anchor", "phrase").orderBy(*order)
     # rank, not row number: a repeated row is the same document, not a later copy
     ranked = rows.withColumn("_rank", F.rank().over(copies))
@@ -188,19 +185,21 @@ def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataF
     ranked = ranked.withColumn("_new", F.min(F.when(fresh, F.col("phrase"))).over(Window.partitionBy("anchor"))
                                != F.max(F.when(fresh, F.col("phrase"))).over(Window.partitionBy("anchor")))
     # a factor: not the first copy; an open phrase: first, but its anchor has other phrases too
-    parsed = stage(ranked.select("doc_id", "at", (F.col("known") | (F.col("_rank") > 1)).alias("factor"),
+    parsed = stage(ranked.select("doc_id", "tag", "at", (F.col("known") | (F.col("_rank") > 1)).alias("factor"),
                                  F.col("_new").alias("_open"))
-                   .where(F.col("factor") | F.col("_open")).select("doc_id", "at", "factor"), "dedup-phrases")
+                   .where(F.col("factor") | F.col("_open")).select("doc_id", "tag", "at", "factor"), "dedup-phrases")
     release(docs.sparkSession)
     windows = _boundary_windows(docs, parsed.where(~F.col("factor")), window)
     again = windows.withColumn("_rank", F.rank().over(Window.partitionBy("hash").orderBy(*order))).where(F.col("_rank") > 1)
-    return parsed.where("factor").select("doc_id", "at").unionByName(again.select("doc_id", "at"))
+    return parsed.where("factor").select("doc_id", "tag", "at").unionByName(again.select("doc_id", "tag", "at"))
 
 
 def spans(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc_id, start, n_words`` of every duplicate span (they may overlap)."""
+    """``doc_id, tag, start, n_words`` of every duplicate span (they may overlap);
+    ``tag`` is the hash of the document's text."""
     return factors(docs, window=window, gram=gram).select(
-        "doc_id", _place().alias("start"), (F.pmod(F.col("at"), F.lit(256)) + window - 1).alias("n_words")).distinct()
+        "doc_id", "tag", _place().alias("start"),
+        (F.pmod(F.col("at"), F.lit(1 << COUNT_BITS)) + window - 1).alias("n_words")).distinct()
 
 
 def _stretches(text: str, stay: list[int]) -> str:
@@ -232,7 +231,7 @@ def remove(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, with_text
     asked for, ``kept_text``: the text itself, or its kept stretches on lines of
     their own if words were removed)."""
     found = factors(docs, window=window, gram=gram)
-    per_doc = found.groupBy(F.col("doc_id").alias("_id"), _tag_of().alias("_t")).agg(F.collect_list("at").alias("_ats"))
+    per_doc = found.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_t")).agg(F.collect_list("at").alias("_ats"))
     others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept_sha256", "kept_text")]
     src = _with_tag(docs.select(*[F.col(f"`{c}`") for c in others], "text"))
     joined = (src.join(per_doc.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_t")), "left")
@@ -253,9 +252,9 @@ def remove(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, with_text
                     if ats.is_valid:
                         at = np.array(ats.as_py(), dtype=np.int64)
                         edge = np.zeros(len(ws) + 1, dtype=np.int64)
-                        place = at >> (TAG_BITS + 8)
+                        place = at >> COUNT_BITS
                         np.add.at(edge, place, 1)
-                        np.add.at(edge, place + (at & 255) + window - 1, -1)
+                        np.add.at(edge, place + (at & ((1 << COUNT_BITS) - 1)) + window - 1, -1)
                         stay = np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()
                         ws = [ws[i] for i in stay]
                         if with_text:
