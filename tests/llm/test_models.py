@@ -68,6 +68,28 @@ def test_held_out_accuracy(spark):
     assert spark.range(1).select(held_out(F.lit(None).cast("long")).alias("h")).first()["h"] is None
 
 
+def test_rare_words_count(spark):
+    rng = np.random.default_rng(3)
+
+    def filler():
+        return " ".join(f"f{i}" for i in rng.integers(0, 40, size=12))
+
+    rows = [(i, f"{filler()} rare{i // 3}", 1) for i in range(45)] + [(i, filler(), 0) for i in range(100, 384)]
+    new = [(1000 + g, f"{filler()} rare{g}", None) for g in range(15)] + [(2000 + i, filler(), None) for i in range(30)]
+    df = spark.createDataFrame(rows + new, "doc_id long, text string, toxic int")
+    got = {r["doc_id"]: r for r in TX.fit_and_score(df.select("doc_id", "text"), df.select("doc_id", "toxic")).collect()}
+    for g in range(15):  # a word in 3 toxic and no other example
+        assert {e["doc_id"] for e in got[1000 + g]["evidence"]} == {3 * g, 3 * g + 1, 3 * g + 2}
+        assert got[1000 + g]["predicted"] == 1
+    assert sum(got[2000 + i]["predicted"] for i in range(30)) <= 1
+
+
+def test_held_out_recall(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1")
+    rows = op2_toxicity(spark, SF).where("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r["predicted"] for r in rows]) >= 0.8
+
+
 # ------------------------------------------------------------------ pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header>Site name</header>

@@ -1,25 +1,27 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max
+"""Toxicity by nearest labelled examples: exact weighted cosine over a block-max
 inverted index, distance-weighted votes, calibrated scores and evidence.
 
 Fit.  At most ``BANK_TOXIC`` toxic and ``BANK_OTHER`` other labelled documents
 (chosen by a hash of the id, so any label table is sampled alike) make the bank.
-Their words whose document counts differ most between the two labels (G-test,
-at most ``VOCABULARY`` of them) are the terms; inverse document frequencies are
-counted over all documents.  The bank's vectors go into an index of blocks of
-``BLOCK`` examples with the largest weight of every term in every block.
-
-Score.  For a document, blocks are visited by falling upper bound (sum of query
-weight times block maximum) until no unseen block can hold one of the ``K``
-nearest examples: the result equals the full scan.  Neighbours vote with weight
+Every word of their texts is a term, weighed by inverse document frequency
+(counted over all documents) and by its evidence: the G-test of its document
+counts between the two labels, as a share of ``FULL_G`` and 1 at most.  The bank's vectors go into an
+inverted index: postings by term and block of ``BLOCK`` examples, with the
+largest weight of every term in every block.
+
+Score.  For a document, the blocks of highest upper bound (sum of query weight
+times block maximum) are scored from their postings first, then every block whose
+bound reaches the ``K``-th cosine found: the result equals the full scan.  A word
+of no example has no weight, so it counts neither for the cosine nor for the norm.  Neighbours vote with weight
 1 / (1 - cosine + 0.1), times the inverse sampling rate of their label.  An
 isotonic map, fitted on the bank with each example's own text left out, turns
-the vote into a probability.  A document without any term has the rate of such
-examples.  An example with the same text as the document never votes, so no
+the vote into a probability.  A document without any word of the bank has the rate
+of such examples.  An example with the same text as the document never votes, so no
 document is scored by its own label.
 
-Scale.  Texts are read once into sparse term vectors (a slim stage table);
-term counts are partial aggregates; the bank is bounded by its parameters and
-the only thing shipped to workers.  Scoring is per row.
+Scale.  Texts are read once into sparse term vectors (a stage table); term counts
+are partial aggregates; the bank and its words are bounded by the bank's
+parameters and the only thing shipped to workers.  Scoring is per row.
 
 Defined cases: null and empty texts have no terms; repeated rows get a row each;
 conflicting or repeated labels of one id are reduced to the largest; without any
@@ -41,9 +43,9 @@ from pyspark.sql import functions as F
 from .common import stage
 
 BANK_TOXIC, BANK_OTHER = 2500, 3500
-VOCABULARY = 4096
-MIN_G = 15.0
+FULL_G = 15.0
 BLOCK = 64
+FIRST_BLOCKS = 8  # scored before any block is left out
 K = 25
 ROWS = 512
 
@@ -83,8 +85,9 @@ def pick_bank(labels: DataFrame) -> DataFrame:
     return some(1, BANK_TOXIC).unionByName(some(0, BANK_OTHER))
 
 
-def choose_terms(bank_texts: DataFrame) -> list[str]:
-    """Terms by G-test on document counts; ``bank_texts``: text, toxic."""
+def bank_terms(bank_texts: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Every word of the bank's texts, frequent ones first, and its evidence;
+    ``bank_texts``: text, toxic."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for b in batches:
@@ -97,20 +100,29 @@ def choose_terms(bank_texts: DataFrame) -> list[str]:
 
     sizes = {r["toxic"]: r["n"] for r in bank_texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1 or not n0:
-        return []
     df = (bank_texts.select("text", "toxic").mapInArrow(run, "term string, toxic int, n long").groupBy("term")
           .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")))
+    got = df.orderBy(F.desc(F.col("a") + F.col("b")), "term").toArrow()
+    terms = got.column("term").to_pylist()
+    return terms, evidence(got.column("a").to_numpy(), got.column("b").to_numpy(), n1, n0)
+
+
+def evidence(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Weight from 0 to 1 of words in ``a`` of ``n1`` toxic and ``b`` of ``n0`` other
+    examples; 1 for every word if a label is missing."""
+    if not n1 or not n0:
+        return np.ones(len(a))
+    n, g = n1 + n0, np.zeros(len(a))
+    for obs, exp in ((a, (a + b) * n1 / n), (b, (a + b) * n0 / n), (n1 - a, (n - a - b) * n1 / n), (n0 - b, (n - a - b) * n0 / n)):
+        some = obs > 0
+        g[some] += 2 * obs[some] * np.log(obs[some] / exp[some])
+    return np.clip(g / FULL_G, 1e-3, 1.0)
 
-    def cell(obs, exp):
-        return F.when(obs > 0, obs * F.log(obs / exp)).otherwise(0.0)
 
-    a, b, n = F.col("a"), F.col("b"), n1 + n0
-    g = 2 * (cell(a, (a + b) * n1 / n) + cell(b, (a + b) * n0 / n)
-             + cell(n1 - a, (n - a - b) * n1 / n) + cell(n0 - b, (n - a - b) * n0 / n))
-    top = df.where(a + b >= 3).withColumn("g", g).where(F.col("g") >= MIN_G)
-    return [r["term"] for r in top.orderBy(F.desc("g"), "term").limit(VOCABULARY).collect()]
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every stretch, one after the other."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
 class Vectors:
@@ -123,20 +135,20 @@ class Vectors:
     def __call__(self, text: str | None) -> tuple[list[int], list[int]]:
         hits: Counter = Counter()
         known = self.known
-        for w in (text or "").split():
+        for w, n in Counter((text or "").split()).items():
             i = known.get(w)
             if i is None:
                 if len(known) > 500_000:
                     known.clear()
                 i = known[w] = self.index.get(_term(w), -1)
             if i >= 0:
-                hits[i] += 1
+                hits[i] += n
         at = sorted(hits)
         return at, [hits[i] for i in at]
 
 
 def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """``doc_id, fp, terms, counts`` of every document (only the chosen terms)."""
+    """``doc_id, fp, terms, counts`` of every document (only the words of the bank)."""
     src = docs.select("doc_id", "text")
     id_type = src.schema["doc_id"].dataType.simpleString()
 
@@ -147,36 +159,62 @@ def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
                 part = b.slice(s, ROWS)
                 texts = part.column("text").to_pylist()
                 vs = [vector(t) for t in texts]
+                ends = pa.array(np.cumsum([0] + [len(v[0]) for v in vs]), pa.int32())
+                flat = [pa.ListArray.from_arrays(ends, pa.array([x for v in vs for x in v[i]], pa.int32())) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([fingerprint(t) for t in texts], pa.int64()),
-                     pa.array([v[0] for v in vs], pa.list_(pa.int32())), pa.array([v[1] for v in vs], pa.list_(pa.int32()))],
+                    [part.column("doc_id"), pa.array([fingerprint(t) for t in texts], pa.int64()), *flat],
                     names=["doc_id", "fp", "terms", "counts"])
 
     return src.mapInArrow(run, f"doc_id {id_type}, fp long, terms array<int>, counts array<int>")
 
 
+def lists(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a list column as arrays."""
+    if isinstance(column, pa.ChunkedArray):
+        return [x for c in column.chunks for x in lists(c)]
+    at = column.offsets.to_numpy()
+    return np.split(column.flatten().to_numpy(zero_copy_only=False), at[1:-1] - at[0]) if len(column) else []
+
+
 class Index:
-    """Bank vectors in blocks with block maxima, votes and their calibration."""
+    """Postings of the bank by term and block, with block maxima; votes and their
+    calibration."""
 
     def __init__(self, vectors: list[tuple[list[int], list[int]]], labels: list[int], fps: list[int], ids: list,
                  idf: np.ndarray, totals: dict[int, int], k: int = K):
-        order = sorted(range(len(labels)), key=lambda i: (vectors[i][0], fps[i]))  # like with like: tight maxima
+        # like with like: tight maxima (bytes of sorted terms sort as the lists do)
+        order = sorted(range(len(labels)), key=lambda i: (np.asarray(vectors[i][0], dtype=">i4").tobytes(), fps[i]))
         self.k, self.idf, self.ids = k, idf, [ids[i] for i in order]
         self.y = np.array([labels[i] for i in order], dtype=np.int8)
         self.fp = np.array([fps[i] for i in order], dtype=np.int64)
-        self.dense = np.zeros((len(order), len(idf)), dtype=np.float64)
-        for row, i in enumerate(order):
-            at, w = self.unit(*vectors[i])
-            self.dense[row, at] = w
-        n_blocks = -(-len(order) // BLOCK)
-        self.bmax = np.array([self.dense[b * BLOCK:(b + 1) * BLOCK].max(0) for b in range(n_blocks)]).reshape(n_blocks, len(idf))
+        units = [self.unit(*vectors[i]) for i in order]
+        sizes = np.array([len(at) for at, _ in units], dtype=np.int64)
+        row = np.repeat(np.arange(len(order)), sizes)
+        term = np.concatenate([at for at, _ in units]) if units else np.empty(0, np.int64)
+        by_term = np.lexsort((row, term))
+        self.row, term = row[by_term], term[by_term]
+        self.w = np.concatenate([w for _, w in units])[by_term] if units else np.empty(0)
+        # one entry for each term and block: where its postings start, and their largest weight
+        block = self.row // BLOCK
+        start = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        self.start, self.block = np.append(start, len(term)), block[start]
+        self.bmax = np.maximum.reduceat(self.w, start) if len(start) else np.empty(0)
+        self.first = np.searchsorted(term[start], np.arange(len(idf) + 1))
+        self.n_blocks = -(-len(order) // BLOCK)
         sampled = Counter(labels)
         rate = {y: totals.get(y, 0) / max(sampled[y], 1) for y in (0, 1)}
         self.weight = np.array([rate[int(y)] for y in self.y])
-        self.empty = self._rate(~self.dense.any(1))
+        self.empty = self._rate(sizes == 0)
         self.xs, self.ys = np.array([0.0, 1.0]), np.array([0.0, 1.0])
         if len(order):
-            self._calibrate()
+            self._calibrate(units)
+
+    @property
+    def dense(self) -> np.ndarray:
+        """The bank's vectors as a full matrix (small banks only)."""
+        out = np.zeros((len(self.y), len(self.idf)))
+        out[self.row, np.repeat(np.repeat(np.arange(len(self.idf)), np.diff(self.first)), np.diff(self.start))] = self.w
+        return out
 
     def _rate(self, rows: np.ndarray) -> float:
         """Share of toxic among ``rows``; 0 without any toxic label."""
@@ -194,36 +232,52 @@ class Index:
 
     def nearest(self, at: np.ndarray, w: np.ndarray, fp: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the exact ``k`` nearest; ties by row; cosine 0 never counts."""
-        bound = self.bmax[:, at] @ w + 1e-9
-        rows, sims, floor = np.empty(0, np.int64), np.empty(0), 0.0
+        at, w = np.asarray(at, dtype=np.int64), np.asarray(w)
+        n = self.first[at + 1] - self.first[at]
+        entry, q = spread(self.first[at], n), np.repeat(w, n)
+        bound = np.bincount(self.block[entry], q * self.bmax[entry], self.n_blocks) + 1e-9
         todo = np.argsort(-bound, kind="stable")
         todo = todo[bound[todo] > 2e-9]
-        for s in range(0, len(todo), 8):
-            blocks = todo[s:s + 8]
-            if len(rows) >= self.k and bound[blocks[0]] < floor:
-                break
-            new = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            new = new[new < len(self.y)]
-            new = new[self.fp[new] != fp]
-            rows = np.concatenate([rows, new])
-            sims = np.concatenate([sims, self.dense[new][:, at] @ w])
-            keep = np.lexsort((rows, -np.round(sims, 12)))[:self.k]
-            rows, sims = rows[keep], sims[keep]
-            floor = sims[-1]
-        ok = sims > 1e-9
-        return rows[ok], sims[ok]
+        rows, sims = self._best(entry, q, todo[:FIRST_BLOCKS], fp)
+        rest = todo[FIRST_BLOCKS:]
+        if len(rows) >= self.k:
+            rest = rest[bound[rest] >= sims[-1]]
+        if len(rest):
+            more, theirs = self._best(entry, q, rest, fp)
+            rows, sims = self._top(np.concatenate([rows, more]), np.concatenate([sims, theirs]))
+        return rows, sims
+
+    def _best(self, entry: np.ndarray, q: np.ndarray, blocks: np.ndarray, fp: int) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest examples within ``blocks``, from the postings of these entries."""
+        seen = np.zeros(self.n_blocks, dtype=bool)
+        seen[blocks] = True
+        pick = seen[self.block[entry]]
+        entry, q = entry[pick], q[pick]
+        n = self.start[entry + 1] - self.start[entry]
+        at = spread(self.start[entry], n)
+        sims = np.bincount(self.row[at], np.repeat(q, n) * self.w[at], len(self.y))
+        sims[self.fp == fp] = 0.0
+        rows = np.flatnonzero(sims > 1e-9)
+        sims = sims[rows]
+        if len(rows) > self.k:
+            near = sims >= np.partition(sims, -self.k)[-self.k] - 1e-11
+            rows, sims = rows[near], sims[near]
+        return self._top(rows, sims)
+
+    def _top(self, rows: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keep = np.lexsort((rows, -np.round(sims, 12)))[:self.k]
+        return rows[keep], sims[keep]
 
     def vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
         w = self.weight[rows] / (1 - np.minimum(sims, 1.0) + 0.1)
         return float((w @ self.y[rows]) / w.sum())
 
-    def _calibrate(self) -> None:
+    def _calibrate(self, units: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Isotonic regression (pool adjacent violators) of label on vote, each
         example without its own text."""
         votes, own = [], []
         for i in range(len(self.y)):
-            at = np.flatnonzero(self.dense[i])
-            rows, sims = self.nearest(at, self.dense[i, at], int(self.fp[i])) if len(at) else (np.empty(0, int), None)
+            rows, sims = self.nearest(*units[i], int(self.fp[i])) if len(units[i][0]) else (np.empty(0, int), None)
             if len(rows):
                 votes.append(self.vote(rows, sims))
                 own.append(i)
@@ -242,7 +296,7 @@ class Index:
 
     def score(self, terms: list[int], counts: list[int], fp: int) -> tuple[float, list[tuple]]:
         """(probability, [(id, cosine, label)] of the three nearest)."""
-        if not terms or not len(self.y):
+        if not len(terms) or not len(self.y):
             return self.empty, []
         rows, sims = self.nearest(*self.unit(terms, counts), fp)
         if not len(rows):
@@ -259,16 +313,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[str], Index, DataFrame
               .groupBy(F.col("toxic").cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     # the bank is bounded by its parameters (6000 rows of two numbers)
     texts = docs.select("doc_id", "text").join(F.broadcast(bank), "doc_id").select("text", "toxic")
-    terms = choose_terms(stage(texts, "toxic-texts"))
+    terms, share = bank_terms(stage(texts, "toxic-texts"))
     vectors = stage(term_vectors(docs, terms), "toxic-vectors")
     size = vectors.count()
     df = np.zeros(len(terms))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
-        df[r["t"]] = r["n"]
-    idf = np.log((1 + size) / (1 + df)) + 1
-    rows = vectors.join(F.broadcast(bank), "doc_id").dropDuplicates(["doc_id"]).collect()
-    index = Index([(r["terms"], r["counts"]) for r in rows], [r["toxic"] for r in rows], [r["fp"] for r in rows],
-                  [r["doc_id"] for r in rows], idf, totals)
+    seen = vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    df[seen.column("t").to_numpy()] = seen.column("n").to_numpy()
+    weight = (np.log((1 + size) / (1 + df)) + 1) * share
+    rows = vectors.join(F.broadcast(bank), "doc_id").dropDuplicates(["doc_id"]).toArrow()
+    index = Index(list(zip(lists(rows.column("terms")), lists(rows.column("counts")), strict=True)),
+                  *(rows.column(c).to_pylist() for c in ("toxic", "fp", "doc_id")), weight, totals)
     return terms, index, vectors
 
 
@@ -280,7 +334,9 @@ class Scorer:
 
     def __call__(self, terms: list[int], counts: list[int], fp: int) -> tuple[float, list[tuple]]:
         # equal vectors have equal neighbours unless an example is the text itself
-        key = (tuple(terms), tuple(counts), fp if fp in self.bank else None)
+        import xxhash
+        both = np.concatenate([np.asarray(terms, dtype=np.int32), np.asarray(counts, dtype=np.int32)])
+        key = (xxhash.xxh3_128_digest(both.tobytes()), fp if fp in self.bank else None)
         if key not in self.known:
             if len(self.known) > 100_000:
                 self.known.clear()
@@ -300,7 +356,7 @@ def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
         for b in batches:
-            out = [scorer(*x) for x in zip(b.column("terms").to_pylist(), b.column("counts").to_pylist(),
+            out = [scorer(*x) for x in zip(lists(b.column("terms")), lists(b.column("counts")),
                                            b.column("fp").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([s for s, _ in out], pa.float64()),
