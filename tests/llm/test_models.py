@@ -114,6 +114,24 @@ def test_odd_pages(page, text):
     assert HX.extract(page, HX.weights_from({})) == text
 
 
+@pytest.mark.parametrize("quote", ["'", '"'])
+@pytest.mark.parametrize("n", [10, 3000, 100_000])
+def test_long_attribute_values(quote, n):
+    value = ("<p class=ad>leak leak</p> > " * n)[:n]
+    page = f"<div><p data-props={quote}{value}{quote} >article text here</p><p>more words</p></div>"
+    assert HX.extract(page, HX.weights_from({})) == "article text here more words"
+    page = f"<p>article text here</p><div data-props={quote}{value}{quote} class='ad'>buy this now</div>"
+    assert HX.extract(page, HX.weights_from({})) == "article text here"
+
+
+@pytest.mark.parametrize("tag", ['<a title="x>', '<a x="y\'z\'>', "<a b='\"c=\">", '<a x=1">', '<a x="', "<a "])
+def test_stray_quotes_are_linear(tag):
+    import time
+    start = time.process_time()
+    assert HX.extract("<p>words here</p>" + tag * 40_001, HX.weights_from({})).startswith("words here")
+    assert time.process_time() - start < 10
+
+
 def test_best_region():
     rng = np.random.default_rng(0)
     for _ in range(200):

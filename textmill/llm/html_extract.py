@@ -56,16 +56,55 @@ CLUTTER_WORDS = frozenset((
     "commentlist", "reply", "replies", "respond", "disqus", "widget", "toolbar", "pager", "pagination", "search", "tags",
     "copyright", "disclaimer", "complementary", "contentinfo", "alert", "skip", "discussion",
     "responses", "feedback", "teaser", "teasers", "trending", "popular"))
-# attribute values are followed for a bounded length, so that a stray quote can't make the scan quadratic
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,2000}\"|'[^']{0,2000}')*)>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_MARK = re.compile(r"[>\"']")
+_VALUE = re.compile(r"([^\s\"'=<>/]*)\s*=\s*\Z")  # what stands before a quote that opens a value
+_OWN = re.compile(r"(?:class|id|role|style|hidden)\Z", re.I)  # attributes that _clutter reads
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"\shidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
+class _Tags:
+    """Ends of the tags of one page, in time linear in its length.
+
+    A quote behind ``=`` opens a value that goes on to the next such quote, however
+    long.  A tag whose values don't close ends at its first ``>``.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.stray: set[int] = set()  # quotes from which no tag end is reached
+
+    def end(self, at: int) -> tuple[int, str]:
+        """(end, attributes) of the tag whose name ends at ``at``; values that hold
+        no class, id, role or style are left out of the attributes."""
+        page, pos, start, parts, passed = self.page, at, at, [], []
+        while m := _MARK.search(page, pos):
+            pos = m.end()
+            if m[0] == ">":
+                parts.append(page[start:pos - 1])
+                return pos, "".join(parts)
+            # names are looked for in a bounded stretch before the quote
+            name = _VALUE.search(page, max(start, pos - 201), pos - 1)
+            if not name:
+                continue
+            if pos in self.stray:
+                break
+            passed.append(pos)
+            close = page.find(m[0], pos)
+            if close < 0:
+                break
+            if not _OWN.search(name[1]):
+                parts.append(page[start:pos])
+                start = close
+            pos = close + 1
+        self.stray.update(passed)
+        close = page.find(">", at)
+        return (close + 1, page[at:close]) if close >= 0 else (len(page), page[at:])
+
+
 def _clutter(name: str, attrs: str) -> bool:
     if name in CLUTTER:
         return True
@@ -89,7 +128,7 @@ def tokens(page: str) -> list[tuple[str, str, bool]]:
     out: list[tuple[str, str, bool]] = []
     stack: list[tuple[str, bool]] = []  # open elements; True: clutter by itself or an ancestor
     opened: Counter = Counter()
-    at, end = 0, len(page)
+    at, end, tags = 0, len(page), _Tags(page)
     while at < end:
         m = _TAG.search(page, at)
         text = page[at:m.start() if m else end]
@@ -98,10 +137,11 @@ def tokens(page: str) -> list[tuple[str, str, bool]]:
         if not m:
             break
         at = m.end()
-        name, attrs = (m[2] or m[5] or "").lower(), m[3] or m[6] or ""
+        name = (m[2] or "").lower()
         if not name:
             continue
-        if m[1] or m[4]:
+        at, attrs = tags.end(at)
+        if m[1]:
             out.append(("/", name, bool(stack) and stack[-1][1]))
             if opened[name]:  # else a stray end tag
                 while stack[-1][0] != name:
