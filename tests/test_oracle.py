@@ -12,7 +12,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from textmill.plans import catalog
 
 TABLES = ("documents embeddings events conversations pages benchmark labels").split()

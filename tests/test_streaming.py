@@ -7,7 +7,7 @@ from textmill.operators.chunking import chunk_pages
 from textmill.sources.documents import scan_pages
 from textmill.streaming.ingest import start_chunk_ingest
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 
 def test_stream_matches_batch(spark):
