@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from textmill.session import read_table
 
-from . import html_extract, jaccard_join, mixing, neighbours, packing, quality, substring_dedup, token_counts, toxicity, url_filter
+from . import (chunk_recipes, filter_audit, html_extract, importance, jaccard_join, mixing, neighbours, packing, quality,
+               substring_dedup, token_counts, toxicity, url_filter)
 from .common import stage
 
 
@@ -91,8 +92,86 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(read_table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_recipes.groups(read_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_toxicity, op3_html_extraction, op4_mixing, op5_packing, op6_quality_rules,
     op7_substring_dedup, op8_url_filter,
-    op9_neighbours, op10_jaccard_join)}
+    op9_neighbours, op10_jaccard_join, op11_importance_resampling, op12_exact_dedup, op13_filter_audit)}
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE: dict[str, str] = {}
+
+# crc32 byte by byte over the usual 256-entry table, which a subquery computes
+ORACLE["op11_importance_resampling"] = f"""
+WITH crc AS (SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) AS v
+    FROM range(256) r(i))),
+d AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+m AS (SELECT regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+dw AS (SELECT doc_id, unnest(ws) AS w FROM d), mw AS (SELECT unnest(ws) AS w FROM m),
+vocabulary AS (SELECT w, (xor(list_reduce(
+    list_prepend(4294967295::UBIGINT, [('0x' || x)::UBIGINT FOR x IN regexp_extract_all(hex(w), '..')]),
+    lambda a, b: xor(a >> 8, tab[(xor(a & 255, b) + 1)::INT])), 4294967295::UBIGINT) % 10000)::BIGINT AS bucket
+    FROM (SELECT w FROM dw UNION SELECT w FROM mw), crc),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN vocabulary USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM mw JOIN vocabulary USING (w) GROUP BY bucket),
+gains AS (SELECT b.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM dw) + 10000)
+        / ((coalesce(s.n, 0) + 1) * ((SELECT count(*) FROM mw) + 10000)))) AS gain
+    FROM (SELECT DISTINCT bucket FROM vocabulary) b LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+w AS (SELECT doc_id, count(*) AS n, floor(sum(gain) / count(*)) AS weight
+      FROM dw JOIN vocabulary USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || d.doc_id)[1:8])::UBIGINT + 0.5::DOUBLE)
+        / 4294967296::DOUBLE))))::BIGINT AS score FROM d LEFT JOIN w USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS all_fit
+           FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score,
+       CASE WHEN r <= 10 * all_fit // 100 THEN r END::BIGINT AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+ORACLE["op12_exact_dedup"] = f"""
+WITH d AS (SELECT doc_id, sha256({_ASCII_LOWER}) AS text_sha256, {_ASCII_LOWER} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY t)"""
+
+ORACLE["op13_filter_audit"] = """
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM t),
+f AS (SELECT doc_id, part, (len(ws) < 200)::INT
+    + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+    + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT
+    + 16 * (doc_id > min(doc_id) OVER (PARTITION BY text))::INT AS mask FROM w),
+cells AS (SELECT part, mask, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS tox
+          FROM f LEFT JOIN labels USING (doc_id) GROUP BY part, mask),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM l a, l b, l c, l d, l e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, list_sum(bits[1:step - 1])::INT AS earlier FROM o, range(1, 6) r(step)),
+steps AS (SELECT part, filter_order, step, bit,
+    sum(n) FILTER (mask & (coalesce(earlier, 0) | bit) = 0) AS kept,
+    sum(n) FILTER (mask & coalesce(earlier, 0) = 0 AND mask & bit <> 0) AS removed,
+    sum(n) FILTER (mask & coalesce(earlier, 0) <> 0 AND mask & bit <> 0) AS redundant,
+    sum(n) FILTER (mask = bit) AS unique_fails,
+    sum(good) FILTER (mask & coalesce(earlier, 0) = 0 AND mask & bit <> 0) AS good_lost,
+    sum(tox) FILTER (mask & coalesce(earlier, 0) = 0 AND mask & bit <> 0) AS toxic_lost
+    FROM cells, s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM steps"""
