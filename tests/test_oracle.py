@@ -57,5 +57,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"chunk_windows_bpe"}  # held against another library in test_bpe
     assert set(catalog.QUERIES) <= set(E.queries())

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from textmill.functions.tagging import with_categories
 from textmill.functions.text import (collapse_runs, drop_nul, section_title, tokens,
                                      word_tokens_stripped)
+from textmill.operators.bpe import bpe_windows
 
 CHUNK_SIZE = 600
 CHUNK_OVERLAP = 50
@@ -45,7 +46,7 @@ def n_windows(n: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -
 
 def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                 mode: str = "word", cleanup: bool = True, drop_contained_tail: bool = False,
-                constants: dict | None = None, tag: bool = True) -> DataFrame:
+                constants: dict | None = None, tag: bool = True, vocabulary=None) -> DataFrame:
     """Pages ``(document_id, page_number, text)`` -> one row per token window.
 
     Output: ``document_id, page_number, chunk_index, content, token_count``
@@ -53,28 +54,36 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
     ``constants`` columns.  A window starts every ``size - overlap`` tokens;
     the last, shorter window is kept even when it lies inside the previous one
     unless ``drop_contained_tail``.  ``token_count`` is counted before NULs
-    are removed from the text.
+    are removed from the text.  ``mode="bpe"`` takes the byte-pair tokens of
+    ``vocabulary`` (see :mod:`textmill.operators.bpe`).
     """
     if size <= overlap:
         raise ValueError("size must exceed overlap")
     step = size - overlap
     extra = [c for c in pages.columns if c not in ("document_id", "page_number", "text")]
-    tok = pages.select("document_id", "page_number", *extra,
-                       tokenize(collapse_runs("text"), mode, stripped=True).alias("_toks"))
-    n = F.size("_toks")
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))) \
-              .otherwise(F.array().cast("array<int>"))
-    # every window as (index, text, token count) in one array, so an exploded
-    # row carries only its own chunk, never the page's whole token array
-    wins = F.transform(starts, lambda s, i: F.struct(
-        i.alias("i"), s.alias("s"),
-        F.array_join(F.slice("_toks", s + 1, size), "").alias("t"),
-        F.least(F.lit(size), n - s).alias("c")))
-    if drop_contained_tail:
-        wins = F.filter(wins, lambda w: (w["s"] == 0) | (w["s"] + overlap < n))
-    out = tok.select("document_id", "page_number", *extra, F.explode(wins).alias("_w")).select(
-        "document_id", "page_number", *extra, F.col("_w.i").alias("chunk_index"),
-        F.col("_w.t").alias("_raw"), F.col("_w.c").alias("token_count"))
+    if mode == "bpe":
+        if vocabulary is None:
+            raise ValueError("mode bpe needs a vocabulary")
+        stripped = pages.select("document_id", "page_number", *extra, collapse_runs("text").alias("text"))
+        out = bpe_windows(stripped, vocabulary, size, overlap, drop_contained_tail=drop_contained_tail)
+        out = out.withColumnRenamed("content", "_raw").drop("byte_start", "byte_end")
+    else:
+        tok = pages.select("document_id", "page_number", *extra,
+                           tokenize(collapse_runs("text"), mode, stripped=True).alias("_toks"))
+        n = F.size("_toks")
+        starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))) \
+                  .otherwise(F.array().cast("array<int>"))
+        # every window as (index, text, token count) in one array, so an exploded
+        # row carries only its own chunk, never the page's whole token array
+        wins = F.transform(starts, lambda s, i: F.struct(
+            i.alias("i"), s.alias("s"),
+            F.array_join(F.slice("_toks", s + 1, size), "").alias("t"),
+            F.least(F.lit(size), n - s).alias("c")))
+        if drop_contained_tail:
+            wins = F.filter(wins, lambda w: (w["s"] == 0) | (w["s"] + overlap < n))
+        out = tok.select("document_id", "page_number", *extra, F.explode(wins).alias("_w")).select(
+            "document_id", "page_number", *extra, F.col("_w.i").alias("chunk_index"),
+            F.col("_w.t").alias("_raw"), F.col("_w.c").alias("token_count"))
     content = drop_nul("_raw") if cleanup else F.col("_raw")
     out = out.select("document_id", "page_number", *extra, "chunk_index",
                      content.alias("content"), "token_count")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from textmill.functions import tagging
 from textmill.functions.text import (collapse_runs, drop_nul, section_title,
                                      word_tokens)
-from textmill.operators.chunking import chunk_pages
+from textmill.operators.bpe import bpe_windows, given_vocabulary
+from textmill.operators.chunking import CHUNK_OVERLAP, CHUNK_SIZE, chunk_pages
 from textmill.operators.pages import page_stats as _page_stats
 from textmill.plans import fixtures as FX
 from textmill.plans import sqlparts as S
@@ -137,6 +138,17 @@ def q_chunk_windows(spark, sf):
                     _long("token_count").alias("token_count"), F.md5("content").alias("md5"))
 
 
+@register("chunk_windows_bpe")
+def q_chunk_windows_bpe(spark, sf):
+    """Windows of 600 byte-pair tokens, 50 shared, over whole documents; a tokenizer
+    has no SQL form, the tests hold it against another library."""
+    pages = scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF)
+    c = bpe_windows(pages.withColumn("text", collapse_runs("text")), given_vocabulary(), CHUNK_SIZE, CHUNK_OVERLAP)
+    return c.select(_long("document_id").alias("document_id"), _long("page_number").alias("page_number"),
+                    _long("chunk_index").alias("chunk_index"), _long("token_count").alias("token_count"),
+                    "byte_start", "byte_end", F.md5("content").alias("md5"))
+
+
 @register("section_titles", f"""
 WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)}
 SELECT CAST(document_id AS BIGINT) AS document_id, chunk_index, {S.title('content')} AS section_title
