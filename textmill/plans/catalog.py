@@ -17,6 +17,7 @@ from textmill.operators.chunking import CHUNK_OVERLAP, CHUNK_SIZE, chunk_pages
 from textmill.operators.pages import page_stats as _page_stats
 from textmill.plans import fixtures as FX
 from textmill.plans import sqlparts as S
+from textmill.session import spread
 from textmill.sources.documents import (documents_without_pages, dropped_pages,
                                         scan_pages)
 
@@ -183,7 +184,7 @@ SCORE_COLS = [tagging.score_column_name(n) for n in tagging.CATEGORIES]
 
 
 def _vocab_scored(spark, sf):
-    d = FX.vocab_documents(spark, sf)
+    d = spread(FX.vocab_documents(spark, sf))
     return tagging.score_frame(d, "text", keep=["doc_id"])
 
 

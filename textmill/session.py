@@ -116,6 +116,22 @@ def cut_lineage(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
+FULL_SPLIT = 128 << 20
+
+
+def spread(df):
+    """Deal rows over all cores where the input is smaller than one full split a
+    core (such a scan may be a single row group, that is a single task); larger
+    inputs already have a task a split and are returned as they are.
+
+    The size is the planner's estimate; nothing is run."""
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * FULL_SPLIT else df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.text import basename, py_strip
+from textmill.session import spread
 
 MIN_PAGE_CHARS = 50
 
@@ -49,8 +50,9 @@ def _quote(delim: str) -> str:
 def page_rows(docs: DataFrame, id_col: str = "document_id", text_col: str = "text",
               delimiter: str = "\f") -> DataFrame:
     """Every page of every document, unfiltered: ``document_id, page_number,
-    raw`` with pages numbered from 1.  Narrow: no shuffle."""
-    return docs.select(
+    raw`` with pages numbered from 1.  Narrow (a small input is first dealt over
+    the cores, see :func:`textmill.session.spread`)."""
+    return spread(docs.select(*dict.fromkeys((id_col, text_col)))).select(
         F.col(id_col).alias("document_id"),
         F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), _quote(delimiter), -1))
          .alias("pos", "raw"),
