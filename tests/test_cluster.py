@@ -26,6 +26,22 @@ def test_resolve_pointers_chain(spark):
     assert set(got.values()) == {0}
 
 
+@pytest.mark.parametrize("base", [4, 1 << 16])
+def test_components_of_one_and_of_many_shares(spark, base):
+    rng = np.random.default_rng(0)
+    e = [(int(g), int(a), int(b)) for g, a, b in zip(rng.integers(0, 3, 90), rng.integers(0, 60, 90), rng.integers(0, 60, 90))]
+    want = {}
+    for g, a, b in e:
+        if a != b:
+            ca, cb = want.setdefault((g, a), {a}), want.setdefault((g, b), {b})
+            if ca is not cb:
+                ca |= cb
+                for x in cb:
+                    want[g, x] = ca
+    got = connected_components(spark.createDataFrame(e, "g int, src long, dst long"), ["g"], base=base).collect()
+    assert {(r.g, r.node): r.comp for r in got} == {k: min(v) for k, v in want.items()}
+
+
 def _blobs(spark, seed=7, per=25, outliers=0):
     rng = np.random.default_rng(seed)
     rows, lab = [], []
@@ -113,7 +129,9 @@ def test_cut_chain_of_clusters(spark):
     from textmill.operators.cluster import _select
     rows = [(2 * i, 2 * i - 2 if i else None, float((i * 37) % 11) + 1.0) for i in range(60)]
     rows += [(2 * i + 1, 2 * i, float((i * 53) % 7)) for i in range(60)]
-    got = {r["c"]: r["top"] for r in _select(spark.createDataFrame(rows, "c long, par long, stability double")).collect()}
+    tree = spark.createDataFrame(rows, "c long, par long, stability double")
+    got = {r["c"]: r["top"] for r in _select(tree, base=0).collect()}
+    assert got == {r["c"]: r["top"] for r in _select(tree).collect()}
     kids = {}
     for c, p, _ in rows:
         kids.setdefault(p, []).append(c)

@@ -7,12 +7,17 @@ and plan statistics stay those of real files.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.session import cut_lineage
 
 MAX_ROUNDS = 200
+BASE_EDGES = 1 << 16  # edges that one task contracts
 
 
 def _signature(e: DataFrame, g: list[str]) -> tuple:
@@ -46,8 +51,47 @@ def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
     return out.select(*g, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _stars(pdf: pd.DataFrame, g: list[str]) -> pd.DataFrame:
+    """Edges of one task -> a star around the smallest node of each of their components."""
+    ends = pd.concat([pdf[[*g, "a"]].rename(columns={"a": "n"}), pdf[[*g, "b"]].rename(columns={"b": "n"})], ignore_index=True)
+    code = ends.groupby([*g, "n"], sort=False, dropna=False).ngroup().to_numpy()
+    m = len(pdf)
+    root = list(range(int(code.max()) + 1)) if m else []
+    for a, b in zip(code[:m].tolist(), code[m:].tolist()):
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        while root[b] != b:
+            root[b] = root[root[b]]
+            b = root[b]
+        if a != b:
+            root[max(a, b)] = min(a, b)
+    for i in range(len(root)):  # a root is never larger than its nodes
+        root[i] = root[root[i]]
+    ends["root"] = np.asarray(root, dtype=np.int64)[code] if m else np.zeros(0, np.int64)
+    nodes = ends.assign(code=code).drop_duplicates("code")
+    nodes["b"] = nodes.groupby("root")["n"].transform("min")
+    return nodes[nodes["n"] != nodes["b"]].rename(columns={"n": "a"})[[*g, "a", "b"]]
+
+
+def contract(edges: DataFrame, g: list[str], size: int, base: int = BASE_EDGES) -> DataFrame:
+    """Replace the edges of each task (about ``base``) by stars of their components:
+    no component is changed, and at most one edge a node and task is left."""
+    parts = max(1, math.ceil(size / base))
+    dealt = edges.coalesce(1) if parts == 1 else edges.repartition(parts, *g, "a")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in edges.schema.fields)
+
+    def run(batches):
+        got = [b for b in batches if len(b)]
+        if got:
+            yield _stars(pd.concat(got, ignore_index=True), g)
+
+    return dealt.mapInPandas(run, schema)
+
+
 def connected_components(edges: DataFrame, group: list[str] | None = None,
-                         src: str = "src", dst: str = "dst", nodes: DataFrame | None = None) -> DataFrame:
+                         src: str = "src", dst: str = "dst", nodes: DataFrame | None = None,
+                         base: int = BASE_EDGES) -> DataFrame:
     """Label every node with the smallest node id of its component.
 
     ``edges`` holds ``group..., src, dst`` (undirected; ``group`` columns
@@ -55,17 +99,19 @@ def connected_components(edges: DataFrame, group: list[str] | None = None,
     ``group..., node, comp``.  Nodes without edges appear only if given in
     ``nodes`` (``group..., node``).
 
-    Alternating large-star / small-star rounds (Kiveris et al., 2014):
-    O(log^2 n) rounds in the worst case, each a few grouped aggregates over
-    the edge list; the loop ends when a round leaves the edge set as it was,
-    which is then a star around each component's smallest node.
+    Each task first contracts its share of about ``base`` edges to stars.  A graph
+    of more shares goes on with alternating large-star / small-star rounds (Kiveris et
+    al., 2014): O(log^2 n) rounds in the worst case, each a few grouped aggregates over
+    the edge list; the loop ends when a round leaves the edge set as it was, which is
+    then a star around each component's smallest node.
     """
     g = list(group or [])
     e = edges.select(*g, F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a") != F.col("b"))
-    e = e.select(*g, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    cur = cut_lineage(e, "cc")
-    cur_sig = _signature(cur, g)
-    for _ in range(MAX_ROUNDS):
+    e = cut_lineage(e.select(*g, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
+    size = e.count()
+    cur = cut_lineage(contract(e, g, size, base), "cc")
+    cur_sig = _signature(cur, g) if size > base else None
+    for _ in range(MAX_ROUNDS if size > base else 0):
         nxt = cut_lineage(_small_star(_large_star(cur, g), g), "cc")
         nxt_sig = _signature(nxt, g)
         # a cheap signature rules out most unchanged-looking rounds; the exact
@@ -77,7 +123,9 @@ def connected_components(edges: DataFrame, group: list[str] | None = None,
         if same:
             break
     else:
-        raise RuntimeError("connected components did not converge")
+        if size > base:
+            raise RuntimeError("connected components did not converge")
+
     star = cur.select(*g, F.col("a").alias("node"), F.col("b").alias("comp"))
     centres = cur.select(*g, F.col("b").alias("node"), F.col("b").alias("comp"))
     labels = star.unionByName(centres)

@@ -113,7 +113,7 @@ def cut_lineage(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # the schema is known: no job to read footers
 
 
 FULL_SPLIT = 128 << 20
