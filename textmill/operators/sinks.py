@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,26 @@ def write_json(df: DataFrame, path: str, by: str | list[str] | None = None,
     return path
 
 
+def write_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """JSON array files (``.json``), one a partition, an element a line."""
+    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
+
+    def run(batches):
+        first = True
+        for b in batches:
+            out = [("[" if first and not i else ",") + v for i, v in enumerate(b.column(0).to_pylist())]
+            first = first and not out
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], names=["value"])
+
+    # a line is one cell: JSON text holds no control characters, so nothing is quoted
+    # (the text writer can't name its files .json, the CSV writer can)
+    (rows.mapInArrow(run, "value string").write.mode(mode).option("extension", "json").option("sep", "\u0001")
+     .option("quote", "").option("escapeQuotes", False).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
 def write_document_json(chunks: DataFrame, path: str, buckets: int = 64, mode: str = "overwrite") -> str:
     """Chunks as JSON lines in ``buckets`` folders by document, each row with the
     document's file name ``<stem>.chunks.json`` in ``file_name``: a reader finds a

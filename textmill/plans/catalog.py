@@ -363,6 +363,21 @@ def q_json_roundtrip(spark, sf):
                        F.md5("content").alias("md5"))
 
 
+@register("json_arrays", f"""
+WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)}
+SELECT CAST(document_id AS BIGINT) AS document_id, CAST(page_number AS BIGINT) AS page_number,
+       chunk_index, token_count, md5(content) AS md5 FROM chunks""")
+def q_json_arrays(spark, sf):
+    """The chunk table as array files, read back in parallel ranges of them."""
+    from textmill.operators.sinks import write_json_array
+    pages = scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF)
+    path = write_json_array(chunk_pages(pages, tag=False), scratch_path(spark, "chunks-arrays"))
+    back = read_chunks_json(spark, path, layout="array")
+    return back.select(_long("document_id").alias("document_id"), _long("page_number").alias("page_number"),
+                       _long("chunk_index").alias("chunk_index"), _long("token_count").alias("token_count"),
+                       F.md5("content").alias("md5"))
+
+
 @register("json_by_document", f"""
 WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)}
 SELECT concat(document_id, '.chunks.json') AS file_name, count(*) AS rows, CAST(sum(token_count) AS BIGINT) AS tokens

@@ -139,12 +139,14 @@ def csv_columns(dialect: str) -> dict[str, str]:
 
 
 def write_records_csv(spark: SparkSession, sf: str, path: str) -> str:
-    """Write F-CSV under ``path`` (header, quoted as needed, blanks kept)."""
+    """Write F-CSV under ``path`` (header, quoted as needed, blanks kept): the files of
+    odd event ids have their columns in reverse order, so one folder holds two layouts."""
     cols = [F.expr(v).alias(k) for k, v in csv_columns("spark").items()]
-    (events(spark, sf).select(*cols).write.mode("overwrite")
-     .option("header", True).option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+    for odd, layout, mode in ((0, cols, "overwrite"), (1, cols[::-1], "append")):
+        (events(spark, sf).filter(F.expr(f"event_id % 2 = {odd}")).select(*layout).write.mode(mode)
+         .option("header", True).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(path))
     return path
 
 
