@@ -45,7 +45,7 @@ from .common import stage
 BANK_TOXIC, BANK_OTHER = 2500, 3500
 FULL_G = 15.0
 BLOCK = 64
-FIRST_BLOCKS = 8  # scored before any block is left out
+FIRST_BLOCKS, FIRST_SHARE = 8, 0.4  # blocks scored before any is left out
 K = 25
 ROWS = 512
 
@@ -138,7 +138,7 @@ class Vectors:
         for w, n in Counter((text or "").split()).items():
             i = known.get(w)
             if i is None:
-                if len(known) > 500_000:
+                if len(known) > 200_000:
                     known.clear()
                 i = known[w] = self.index.get(_term(w), -1)
             if i >= 0:
@@ -198,6 +198,7 @@ class Index:
         block = self.row // BLOCK
         start = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
         self.start, self.block = np.append(start, len(term)), block[start]
+        self.size, self.row = np.diff(self.start), self.row.astype(np.int32)
         self.bmax = np.maximum.reduceat(self.w, start) if len(start) else np.empty(0)
         self.first = np.searchsorted(term[start], np.arange(len(idf) + 1))
         self.n_blocks = -(-len(order) // BLOCK)
@@ -233,36 +234,36 @@ class Index:
     def nearest(self, at: np.ndarray, w: np.ndarray, fp: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the exact ``k`` nearest; ties by row; cosine 0 never counts."""
         at, w = np.asarray(at, dtype=np.int64), np.asarray(w)
-        n = self.first[at + 1] - self.first[at]
-        entry, q = spread(self.first[at], n), np.repeat(w, n)
-        bound = np.bincount(self.block[entry], q * self.bmax[entry], self.n_blocks) + 1e-9
-        todo = np.argsort(-bound, kind="stable")
-        todo = todo[bound[todo] > 2e-9]
-        rows, sims = self._best(entry, q, todo[:FIRST_BLOCKS], fp)
-        rest = todo[FIRST_BLOCKS:]
-        if len(rows) >= self.k:
-            rest = rest[bound[rest] >= sims[-1]]
-        if len(rest):
-            more, theirs = self._best(entry, q, rest, fp)
-            rows, sims = self._top(np.concatenate([rows, more]), np.concatenate([sims, theirs]))
-        return rows, sims
-
-    def _best(self, entry: np.ndarray, q: np.ndarray, blocks: np.ndarray, fp: int) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest examples within ``blocks``, from the postings of these entries."""
-        seen = np.zeros(self.n_blocks, dtype=bool)
-        seen[blocks] = True
-        pick = seen[self.block[entry]]
-        entry, q = entry[pick], q[pick]
-        n = self.start[entry + 1] - self.start[entry]
-        at = spread(self.start[entry], n)
-        sims = np.bincount(self.row[at], np.repeat(q, n) * self.w[at], len(self.y))
-        sims[self.fp == fp] = 0.0
-        rows = np.flatnonzero(sims > 1e-9)
-        sims = sims[rows]
-        if len(rows) > self.k:
-            near = sims >= np.partition(sims, -self.k)[-self.k] - 1e-11
-            rows, sims = rows[near], sims[near]
-        return self._top(rows, sims)
+        first = self.first.take(at)
+        n = self.first.take(at + 1) - first
+        entry, q = spread(first, n), np.repeat(w, n)
+        block = self.block.take(entry)
+        bound = np.bincount(block, q * self.bmax.take(entry), self.n_blocks) + 1e-9
+        lead = np.zeros(self.n_blocks, dtype=bool)
+        lead[np.argsort(-bound, kind="stable")[:max(FIRST_BLOCKS, int(FIRST_SHARE * self.n_blocks))]] = True
+        mine = np.flatnonzero(self.fp == fp)
+        sims = self._cosines(entry, q, lead.take(block))
+        sims[mine] = 0.0
+        least = self._least(sims)
+        rest = (bound >= least) & (bound > 2e-9) & ~lead
+        if rest.any():
+            sims += self._cosines(entry, q, rest.take(block))
+            sims[mine] = 0.0
+            least = self._least(sims)
+        rows = np.flatnonzero(sims >= max(least - 1e-11, 1e-9))
+        return self._top(rows, sims[rows])
+
+    def _least(self, sims: np.ndarray) -> float:
+        """The ``k``-th cosine found so far."""
+        return float(np.partition(sims, -self.k)[-self.k]) if len(sims) > self.k else 0.0
+
+    def _cosines(self, entry: np.ndarray, q: np.ndarray, pick: np.ndarray) -> np.ndarray:
+        """Cosines of all examples as far as the picked entries' postings give them."""
+        at = np.flatnonzero(pick)
+        entry = entry.take(at)
+        n = self.size.take(entry)
+        post = spread(self.start.take(entry), n)
+        return np.bincount(self.row.take(post), np.repeat(q.take(at), n) * self.w.take(post), len(self.y))
 
     def _top(self, rows: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keep = np.lexsort((rows, -np.round(sims, 12)))[:self.k]
@@ -305,22 +306,44 @@ class Index:
         return min(max(p, 0.0), 1.0), [(self.ids[r], float(s), int(self.y[r])) for r, s in zip(rows[:3], sims[:3], strict=True)]
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[str], Index, DataFrame]:
-    """(terms, index, term vectors of ``docs``); ``labels``: doc_id, toxic, the
-    rows to learn from."""
+def document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
+    """(rows, documents that hold each term): counted in each task, only sums move."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vector, df, rows = Vectors(terms), np.zeros(len(terms), dtype=np.int64), 0
+        for b in batches:
+            rows += b.num_rows
+            for text in b.column("text"):
+                df[vector(text.as_py())[0]] += 1
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(df[at], rows), pa.int64())],
+                                         names=["t", "n"])
+
+    got = docs.select("text").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row a term
+    df, t, n = np.zeros(len(terms) + 1), got.column("t").to_numpy(), got.column("n").to_numpy()
+    df[t] = n  # the rows come last
+    return int(df[-1]), df[:-1]
+
+
+def fit(docs: DataFrame, labels: DataFrame, keep_vectors: bool = True) -> tuple[list[str], Index, DataFrame | None]:
+    """(terms, index, term vectors of ``docs`` if kept); ``labels``: doc_id, toxic, the
+    rows to learn from.  Of the texts of one id the one of the smallest hash is in the bank."""
     bank = stage(pick_bank(labels), "toxic-bank")
     totals = {r["toxic"]: r["n"] for r in labels.where(F.col("toxic").isNotNull())
               .groupBy(F.col("toxic").cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     # the bank is bounded by its parameters (6000 rows of two numbers)
-    texts = docs.select("doc_id", "text").join(F.broadcast(bank), "doc_id").select("text", "toxic")
-    terms, share = bank_terms(stage(texts, "toxic-texts"))
-    vectors = stage(term_vectors(docs, terms), "toxic-vectors")
-    size = vectors.count()
-    df = np.zeros(len(terms))
-    seen = vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).toArrow()
-    df[seen.column("t").to_numpy()] = seen.column("n").to_numpy()
+    shown = docs.select("doc_id", "text").join(F.broadcast(bank), "doc_id")
+    one = shown.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+    texts = stage(one.select("doc_id", F.col("one.text").alias("text"), "toxic"), "toxic-texts")
+    terms, share = bank_terms(texts)
+    if keep_vectors:
+        vectors = stage(term_vectors(docs, terms), "toxic-vectors")
+        size, df = vectors.count(), np.zeros(len(terms))
+        seen = vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).toArrow()
+        df[seen.column("t").to_numpy()] = seen.column("n").to_numpy()
+    else:
+        vectors, (size, df) = None, document_frequencies(docs, terms)
     weight = (np.log((1 + size) / (1 + df)) + 1) * share
-    rows = vectors.join(F.broadcast(bank), "doc_id").dropDuplicates(["doc_id"]).toArrow()
+    rows = term_vectors(texts, terms).join(F.broadcast(bank), "doc_id").toArrow()
     index = Index(list(zip(lists(rows.column("terms")), lists(rows.column("counts")), strict=True)),
                   *(rows.column(c).to_pylist() for c in ("toxic", "fp", "doc_id")), weight, totals)
     return terms, index, vectors
@@ -338,7 +361,7 @@ class Scorer:
         both = np.concatenate([np.asarray(terms, dtype=np.int32), np.asarray(counts, dtype=np.int32)])
         key = (xxhash.xxh3_128_digest(both.tobytes()), fp if fp in self.bank else None)
         if key not in self.known:
-            if len(self.known) > 100_000:
+            if len(self.known) > 20_000:
                 self.known.clear()
             self.known[key] = self.index.score(terms, counts, fp)
         return self.known[key]
@@ -371,7 +394,7 @@ def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, all columns kept.
     Rows are scored where they are read: no join and no shuffle of texts."""
-    terms, index, _ = fit(docs, labels)
+    terms, index, _ = fit(docs, labels, keep_vectors=False)
     model = docs.sparkSession.sparkContext.broadcast((terms, index))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
