@@ -80,7 +80,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 

@@ -71,11 +71,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, m
 def draw(docs: DataFrame, *, source: Column | None = None, size: Column | None = None,
          identity: Column | None = None, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5,
          max_repeat: int = 2, seed: int = 11) -> DataFrame:
-    """``docs`` with every column kept and ``_size, source_size, target, _rank, copies``.
-
-    Columns of ``docs`` that start with an underscore are replaced when their
-    names clash with the operator's own.
-    """
+    """``docs`` with every column kept and ``_size, source_size, target, _rank, copies``,
+    for tables without columns of these names or names that start with an underscore."""
     source = F.col("source") if source is None else source
     size = word_count(F.col("text")) if size is None else size
     identity = F.col("doc_id") if identity is None else identity
@@ -138,6 +135,8 @@ def mix_counts(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: each document as often as it is drawn, in whole copies
     and with the columns of ``docs`` only."""
-    drawn = draw(docs, **options).where(F.col("copies") > 0)
-    return (drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    # the row travels as one value, so no column of it can clash with those of the draw
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    drawn = draw(docs.select(row), source=F.col("_doc.source"), size=word_count(F.col("_doc.text")),
+                 identity=F.col("_doc.doc_id"), **options).where(F.col("copies") > 0)
+    return drawn.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_doc.*")

@@ -217,22 +217,27 @@ def _stretches(text: str, stay: list[int]) -> str:
 def deduplicate(docs: DataFrame, *, window: int, gram: int = GRAM) -> DataFrame:
     """``docs`` with duplicate passages cut from ``text`` (``n_chars`` follows) and
     without the documents of which nothing is left."""
-    out = remove(docs, window=window, gram=gram, with_text=True)
+    # the row travels as one value, so no column of it can clash with those of the result
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("_doc"))
+    out = remove(packed, window=window, gram=gram, with_text=True)
     out = out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    changed = F.col("n_removed") > 0
-    values = {"text": F.col("kept_text")}
-    if "n_chars" in docs.columns:
-        values["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.withColumns(values).select(*[F.col(f"`{c}`") for c in docs.columns])
+    values = {c: F.col("_doc").getField(c) for c in others} | {"text": F.col("kept_text")}
+    if "n_chars" in others:
+        kind = docs.schema["n_chars"].dataType
+        values["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(kind)).otherwise(values["n_chars"])
+    return out.select(*[values[c].alias(c) for c in docs.columns])
 
 
 def remove(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, with_text: bool = False) -> DataFrame:
     """``docs`` without its text, plus ``n_words, n_removed, kept_sha256`` (and, if
     asked for, ``kept_text``: the text itself, or its kept stretches on lines of
-    their own if words were removed)."""
+    their own if words were removed).  Columns of these names, or ``_id, _t, _tag,
+    _ats``, are not returned; ``deduplicate`` keeps all."""
+    own = {"n_words", "n_removed", "kept_sha256", "kept_text", "_id", "_t", "_tag", "_ats"}
     found = factors(docs, window=window, gram=gram)
     per_doc = found.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_t")).agg(F.collect_list("at").alias("_ats"))
-    others = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept_sha256", "kept_text")]
+    others = [c for c in docs.columns if c != "text" and c not in own]
     src = _with_tag(docs.select(*[F.col(f"`{c}`") for c in others], "text"))
     joined = (src.join(per_doc.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_t")), "left")
               .select(*[F.col(f"`{c}`") for c in others], "text", "_ats"))
