@@ -348,3 +348,59 @@ def test_pipeline_decisions(spark):
     few = spark.createDataFrame(rows[:300], "doc_id long, text string")
     assert {r["doc_id"] for r in JJ.keep_one(few).collect()} == {d for d, (_, c) in want.items() if c == d}
     assert len(one) < len(rows)
+
+
+CLASHING = ("target source_size _h copies _rank _size _copy n_words n_removed kept_sha256 kept_text _tag _id _t _ats _row "
+            "_doc _skey _cls g th row size n cls keep kept label").split()
+
+
+def test_user_columns_keep_their_values(spark):
+    """Columns with the operators' own names come through all stages but the last, row by row."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join(f"w{i}x{j}" for j in range(80)) for i in range(12)]
+    texts += [texts[0], passage + " " + texts[1][:90], passage + " end of it " + texts[2][:90]]
+    rows = [(i, t, "en", "ab"[i % 2], len(t), *[f"{c}:{i}" for c in CLASHING]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"`{c}` string" for c in CLASHING))
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(r[c] == f"{c}:{r['doc_id']}" for r in got for c in CLASHING), name
+        assert len({r["doc_id"] for r in got}) >= 12, name
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001")
+    assert pieces.select("doc_id").distinct().count() == len(rows)
+
+
+def test_keep_one_of_shared_and_missing_ids(spark):
+    """Unlinked texts of one id both stay; copies without id are reduced; the smallest id of a group stays."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a + " more"
+    rows = [(1, a), (1, b), (1, a), (2, near), (None, a), (None, c), (None, c), (3, c + " tail"), (5, ""), (5, ""), (6, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, JJ.keep_one(docs, k=5, percent=80).collect()), key=repr)
+    assert got == sorted([(1, a), (1, b), (3, c + " tail"), (5, ""), (6, ""), (None, None)], key=repr)
+    only = spark.createDataFrame([(None, c), (None, c), (None, c + " x"), (None, a)], "doc_id long, text string")
+    kept = [r["text"] for r in JJ.keep_one(only).collect()]
+    assert len(kept) == 2 and a in kept
+    assert {(r["doc_id"], r["component_id"]) for r in JJ.components(only).collect()} == {(None, None)}
+
+
+def test_every_code_point_in_packing(vocabulary):
+    """Ids by ranks are the library's for every character, alone, in words and after blanks."""
+    import numpy as np
+    from textmill.llm.packing import Encoder
+    enc = Encoder(vocabulary)
+    assert enc.table is not None
+    points = [c for c in range(0x30000) if not 0xD800 <= c <= 0xDFFF]
+    for s in range(0, len(points), 8192):
+        batch = [f"a{c}b {c} 1{c}{c}2 {c}" for c in map(chr, points[s:s + 8192])]
+        want = enc.library.encode_batch_fast(batch, add_special_tokens=False)
+        assert enc.encode(batch) == [np.asarray(w.ids, dtype=enc.dtype).tobytes() for w in want]
+    odd = ["<|endoftext|>x <|endoftext|> <|endoftext", "", None, " \n\n x\t ", "I'LL don'T 've", "a" * 4000]
+    want = [enc.library.encode(t or "", add_special_tokens=False).ids for t in odd]
+    assert enc.encode(odd) == [np.asarray(w, dtype=enc.dtype).tobytes() for w in want]
+    import public_tokenizers
+    other = Encoder(public_tokenizers.path("word_bpe_49k.json"))  # not byte-level: the library's own way
+    assert other.table is None and other.encode(["Two words"]) == [
+        np.asarray(other.library.encode("Two words", add_special_tokens=False).ids, dtype=other.dtype).tobytes()]

@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.operators.graph import connected_components
+from textmill.operators.skew import join_groups
 
 from .common import RangeHashes, WordHashes, drop_table, mix64, release, stage, stage_at, words
 from .substring_dedup import _slices
@@ -365,30 +366,56 @@ def _join_cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(run, "src long, dst long").distinct()
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """A row is named by its id and its text's hash, so that texts that share an id (or
+    have none) stay apart."""
+    return docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th")).alias("doc_id"), "text")
+
+
+def _members(docs: DataFrame, k: int, percent: int, by_id: bool) -> DataFrame:
+    """``doc_id`` (id, th), ``n``, ``g`` (the component of its class; null without
+    words), written.  ``by_id``: the texts of one id are one node."""
+    members, edges = links(_named(docs), k=k, percent=percent)
+    edges = edges.select("src", "dst")
+    if by_id:
+        # several sets under one id are one node: their classes unite
+        shared = members.where("doc_id.id is not null and n > 0").groupBy("doc_id.id").agg(
+            F.min("cls").alias("src"), F.max("cls").alias("dst")).where("src != dst")
+        edges = edges.unionByName(shared.select("src", "dst"))
+    # a row a class that has links
+    comp = stage(connected_components(edges), "jaccard-labels").select(F.col("node").alias("cls"), "comp")
+    sizes = members.where("n > 0").groupBy("cls").agg(F.count(F.lit(1)).alias("size"))
+    comp = stage(comp.join(sizes, "cls"), "jaccard-linked")
+    total = members.count()
+    linked = join_groups(members.where("n > 0"), comp, "cls", "size", total).select("doc_id", "n", F.col("comp").alias("g"))
+    alone = members.where("n > 0").join(comp.select("cls"), "cls", "left_anti").select("doc_id", "n", F.col("cls").alias("g"))
+    none = members.where("n = 0").select("doc_id", "n", F.lit(None).cast("long").alias("g"))
+    return stage(linked.unionByName(alone).unionByName(none), "jaccard-members")
+
+
 def components(docs: DataFrame, *, k: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
-    members, edges = links(docs, k=k, percent=percent)
-    named = members.where("doc_id is not null and n > 0")
-    # several sets under one id are one node: their classes unite
-    shared = named.groupBy("doc_id").agg(F.min("cls").alias("src"), F.max("cls").alias("dst")).where("src != dst")
-    labels = stage(connected_components(edges.unionByName(shared.select("src", "dst"))), "jaccard-labels")
-    group = F.coalesce("comp", "cls")
-    member = (members.join(labels.select(F.col("node").alias("cls"), "comp"), "cls", "left")
-              .withColumn("_g", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), group)))
+    members = _members(docs, k, percent, by_id=True)
+    named = members.where("doc_id.id is not null and g is not null")
     # the smallest id of a group; copies are added up in each task first
-    smallest = member.where("_g is not null").groupBy("_g").agg(F.min("doc_id").alias("component_id"))
-    return (member.join(smallest, "_g", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+    smallest = stage(named.groupBy("g").agg(F.min("doc_id.id").alias("component_id"), F.count(F.lit(1)).alias("size")), "jaccard-smallest")
+    found = join_groups(named, smallest, "g", "size", members.count()).select("doc_id", "n", "component_id")
+    rest = members.where("doc_id.id is null or g is null").select("doc_id", "n", F.col("doc_id.id").alias("component_id"))
+    return found.unionByName(rest).select(F.col("doc_id.id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one document of each component (the smallest id);
-    rows without id stay."""
-    first = (components(docs, k=k, percent=percent).where(F.col("doc_id") == F.col("component_id"))
-             .select("doc_id").distinct())
-    named = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi")
-    # repeated rows of the document that stays: one of them
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = named.withColumn("_row", F.row_number().over(one)).where("_row = 1")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return named.select(*columns).unionByName(docs.where(F.col("doc_id").isNull()).select(*columns))
+    """One row of ``docs`` of each component of texts, all columns kept: that of the
+    smallest id (a missing id comes last), of texts that share it the one of the smallest
+    hash, of rows that repeat both any one.  Unlinked texts of one id all stay; rows
+    without words stay, once for each id and text."""
+    members = _members(docs, k, percent, by_id=False)
+    best = members.where("g is not null").groupBy("g").agg(
+        F.min(F.struct(F.col("doc_id.id").isNull().alias("none"), F.col("doc_id.id").alias("id"), F.col("doc_id.th").alias("th"))).alias("b"))
+    stay = best.select("b.id", "b.th").unionByName(members.where("g is null").select("doc_id.id", "doc_id.th").distinct())
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), row.alias("row"))
+    stay = stay.select(F.col("id").alias("keep"), F.col("th").alias("kept"))
+    rows = rows.join(stay, F.col("id").eqNullSafe(F.col("keep")) & (F.col("th") == F.col("kept")), "left_semi")
+    # repeated rows are reduced in each task first
+    return rows.groupBy("id", "th").agg(F.first("row").alias("row")).select("row.*")
