@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,27 +50,29 @@ def _small_star(e: DataFrame, g: list[str]) -> DataFrame:
     return out.select(*g, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _stars(pdf: pd.DataFrame, g: list[str]) -> pd.DataFrame:
-    """Edges of one task -> a star around the smallest node of each of their components."""
-    ends = pd.concat([pdf[[*g, "a"]].rename(columns={"a": "n"}), pdf[[*g, "b"]].rename(columns={"b": "n"})], ignore_index=True)
-    code = ends.groupby([*g, "n"], sort=False, dropna=False).ngroup().to_numpy()
-    m = len(pdf)
-    root = list(range(int(code.max()) + 1)) if m else []
-    for a, b in zip(code[:m].tolist(), code[m:].tolist()):
-        while root[a] != a:
-            root[a] = root[root[a]]
-            a = root[a]
-        while root[b] != b:
-            root[b] = root[root[b]]
-            b = root[b]
-        if a != b:
-            root[max(a, b)] = min(a, b)
-    for i in range(len(root)):  # a root is never larger than its nodes
-        root[i] = root[root[i]]
-    ends["root"] = np.asarray(root, dtype=np.int64)[code] if m else np.zeros(0, np.int64)
-    nodes = ends.assign(code=code).drop_duplicates("code")
-    nodes["b"] = nodes.groupby("root")["n"].transform("min")
-    return nodes[nodes["n"] != nodes["b"]].rename(columns={"n": "a"})[[*g, "a", "b"]]
+def _stars(edges: list[tuple]) -> list[tuple]:
+    """Edges (group, a, b) of one task -> a star around the smallest node of each of
+    their components: (group, node, smallest)."""
+    code: dict[tuple, int] = {}
+    root: list[int] = []
+    for g, a, b in edges:
+        ends = []
+        for n in (a, b):
+            i = code.setdefault((g, n), len(root))
+            if i == len(root):
+                root.append(i)
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            ends.append(i)
+        if ends[0] != ends[1]:
+            root[max(ends)] = min(ends)
+    least: dict[int, object] = {}
+    for (_, n), i in code.items():  # a root is never larger than its nodes
+        r = root[i] = root[root[i]]
+        if r not in least or n < least[r]:
+            least[r] = n
+    return [(g, n, least[root[i]]) for (g, n), i in code.items() if n != least[root[i]]]
 
 
 def contract(edges: DataFrame, g: list[str], size: int, base: int = BASE_EDGES) -> DataFrame:
@@ -82,11 +83,17 @@ def contract(edges: DataFrame, g: list[str], size: int, base: int = BASE_EDGES)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in edges.schema.fields)
 
     def run(batches):
-        got = [b for b in batches if len(b)]
-        if got:
-            yield _stars(pd.concat(got, ignore_index=True), g)
-
-    return dealt.mapInPandas(run, schema)
+        rows, like = [], None
+        for batch in batches:
+            like = batch.schema
+            cols = [c.to_pylist() for c in batch.columns]
+            rows += zip(zip(*cols[:-2]) if g else [()] * batch.num_rows, cols[-2], cols[-1])
+        if rows:
+            out = [(*group, a, b) for group, a, b in _stars(rows)]
+            cols = list(zip(*out)) if out else [[] for _ in like]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, like)], schema=like)
+
+    return dealt.select(*g, "a", "b").mapInArrow(run, schema)
 
 
 def connected_components(edges: DataFrame, group: list[str] | None = None,
