@@ -61,6 +61,28 @@ def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.parquet(path), path
 
 
+def free_memory() -> None:
+    """Give a worker's free pages back: allocators keep them for the next task, and a
+    reused worker would hold the largest of all its tasks."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def trimmed(run):
+    """An Arrow batch function that frees its worker's memory when its task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            free_memory()
+    return wrapped
+
+
 def source_key(source: Column) -> Column:
     """Non-null text key of a source that sorts by code point, null last."""
     return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source.cast("string")))

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from textmill.operators.graph import connected_components
 from textmill.operators.skew import join_groups
 
-from .common import RangeHashes, WordHashes, drop_table, mix64, release, stage, stage_at, words
+from .common import RangeHashes, WordHashes, drop_table, mix64, release, stage, stage_at, trimmed, words
 from .substring_dedup import _slices
 
 CLASSES = 64  # hash classes of the L1 map
@@ -98,7 +98,7 @@ def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
                     h, n = np.unique(np.concatenate(sets), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
-    counts = sample.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = sample.select("text").mapInArrow(trimmed(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = counts.where("n >= 3").orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
     return np.sort(np.array([r["h"] for r in top], dtype=np.int64).view(np.uint64))
 
@@ -147,7 +147,7 @@ def signatures(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> D
                      pa.array(sig, pa.binary()), pa.array(fine, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                     names=["doc_id", "n", "cls", "sig", "fine", "keys"])
 
-    return src.mapInArrow(run, f"doc_id {id_type}, n long, cls long, sig binary, fine binary, keys array<long>")
+    return src.mapInArrow(trimmed(run), f"doc_id {id_type}, n long, cls long, sig binary, fine binary, keys array<long>")
 
 
 CELL = ["p", "bi", "bj"]
@@ -330,7 +330,7 @@ def _active(cells: DataFrame, percent: int) -> DataFrame:
             if near.any():
                 yield from cell.select([*CELL, "x"]).filter(pa.array(near)).to_batches()
 
-    return cells.mapInArrow(run, "p long, bi int, bj int, x long")
+    return cells.mapInArrow(trimmed(run), "p long, bi int, bj int, x long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -346,7 +346,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("x"), pa.array([_pack48(s) for s in sets], pa.binary())],
                                                  names=["x", "s"])
 
-    return texts.mapInArrow(run, "x long, s binary")
+    return texts.mapInArrow(trimmed(run), "x long, s binary")
 
 
 def _join_cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -363,7 +363,7 @@ def _join_cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 a, b = (pa.array(x[[f[i] for f in found]]) for i in (0, 1))
                 yield pa.RecordBatch.from_arrays([a, b], names=["src", "dst"])
 
-    return met.mapInArrow(run, "src long, dst long").distinct()
+    return met.mapInArrow(trimmed(run), "src long, dst long").distinct()
 
 
 def _named(docs: DataFrame) -> DataFrame:

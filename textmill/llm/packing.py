@@ -30,13 +30,14 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import running_offsets, source_key, stage
+from .common import running_offsets, source_key, stage, trimmed
 
 WINDOW = 2048
 PACKET = 512
@@ -57,13 +58,12 @@ class Encoder:
     by the library itself.  Strings of special tokens are those tokens in both."""
 
     def __init__(self, vocabulary: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(vocabulary)
-        self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.file = vocabulary
         with open(vocabulary, encoding="utf-8") as f:
             file = json.load(f)
         self.special = {t["content"]: t["id"] for t in file.get("added_tokens") or []}
+        largest = max([*(file.get("model") or {}).get("vocab", {"": 0}).values(), *self.special.values()])
+        self.dtype = "<u2" if largest < 1 << 16 else "<u4"
         self.table = self._table(file)
 
     def _table(self, file: dict):
@@ -89,6 +89,13 @@ class Encoder:
         return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_SPLIT, special_tokens=self.special,
                                  mergeable_ranks={bytes(byte[c] for c in t): i for t, i in tokens.items()})
 
+    @cached_property
+    def library(self):
+        """The library's tokenizer; a worker loads it only where the ranks won't do."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.file)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as packed integers."""
         if self.table is None:
@@ -129,7 +136,7 @@ def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
                      pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["uid", "doc_id", "_skey", "n", "ids"])
 
-    return src.mapInArrow(run, f"uid long, doc_id {id_type}, _skey string, n long, ids binary")
+    return src.mapInArrow(trimmed(run), f"uid long, doc_id {id_type}, _skey string, n long, ids binary")
 
 
 def schedule(rows: DataFrame, *, length: int = WINDOW, packet: int = PACKET,
@@ -229,7 +236,7 @@ def pack(docs: DataFrame, vocabulary: str, *, length: int = WINDOW, packet: int
                        part.column("n").take(take), pa.array(sequences), pa.array(offsets)]
                 yield pa.RecordBatch.from_arrays(out + [pa.array(ids, pa.list_(pa.int32()))] * with_ids, names=columns)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(trimmed(run), schema)
 
 
 def sequences(docs: DataFrame, vocabulary: str, *, length: int = WINDOW, **options) -> DataFrame:

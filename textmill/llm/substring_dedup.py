@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_RE, RangeHashes, WordHashes, release, stage, words
+from .common import RangeHashes, WORD_RE, WordHashes, release, stage, trimmed, words
 
 WINDOW = 20
 GRAM = 5
@@ -140,7 +140,7 @@ def phrases(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataF
                      pa.array(tags[p.row]), pa.array(_pack(p.place(), p.count)), pa.array(known)],
                     names=["anchor", "phrase", "doc_id", "tag", "at", "known"])
 
-    return src.mapInArrow(run, f"anchor long, phrase long, doc_id {id_type}, tag long, at long, known boolean")
+    return src.mapInArrow(trimmed(run), f"anchor long, phrase long, doc_id {id_type}, tag long, at long, known boolean")
 
 
 def _boundary_windows(docs: DataFrame, open_phrases: DataFrame, window: int) -> DataFrame:
@@ -171,7 +171,7 @@ def _boundary_windows(docs: DataFrame, open_phrases: DataFrame, window: int) ->
                      part.column("_tag").take(pa.array(row)), pa.array(_pack(place, np.ones_like(place)))],
                     names=["hash", "doc_id", "tag", "at"])
 
-    return joined.mapInArrow(run, f"hash long, doc_id {id_type}, tag long, at long")
+    return joined.mapInArrow(trimmed(run), f"hash long, doc_id {id_type}, tag long, at long")
 
 
 def factors(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -272,4 +272,4 @@ def remove(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, with_text
                                                         pa.array(digest, pa.string())] + [pa.array(kept, pa.string())] * with_text,
                     names=[f.name for f in schema.fields])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(trimmed(run), schema)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, trimmed
 
 BANK_TOXIC, BANK_OTHER = 2500, 3500
 FULL_G = 15.0
@@ -100,7 +100,7 @@ def bank_terms(bank_texts: DataFrame) -> tuple[list[str], np.ndarray]:
 
     sizes = {r["toxic"]: r["n"] for r in bank_texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    df = (bank_texts.select("text", "toxic").mapInArrow(run, "term string, toxic int, n long").groupBy("term")
+    df = (bank_texts.select("text", "toxic").mapInArrow(trimmed(run), "term string, toxic int, n long").groupBy("term")
           .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")))
     got = df.orderBy(F.desc(F.col("a") + F.col("b")), "term").toArrow()
@@ -165,7 +165,7 @@ def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
                     [part.column("doc_id"), pa.array([fingerprint(t) for t in texts], pa.int64()), *flat],
                     names=["doc_id", "fp", "terms", "counts"])
 
-    return src.mapInArrow(run, f"doc_id {id_type}, fp long, terms array<int>, counts array<int>")
+    return src.mapInArrow(trimmed(run), f"doc_id {id_type}, fp long, terms array<int>, counts array<int>")
 
 
 def lists(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
@@ -318,7 +318,7 @@ def document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, np.nda
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(df[at], rows), pa.int64())],
                                          names=["t", "n"])
 
-    got = docs.select("text").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row a term
+    got = docs.select("text").mapInArrow(trimmed(run), "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row a term
     df, t, n = np.zeros(len(terms) + 1), got.column("t").to_numpy(), got.column("n").to_numpy()
     df[t] = n  # the rows come last
     return int(df[-1]), df[:-1]
@@ -388,7 +388,7 @@ def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 names=["doc_id", "score", "predicted", "evidence"])
 
     return vectors.select("doc_id", "fp", "terms", "counts").mapInArrow(
-        run, f"doc_id {id_type}, score double, predicted int, evidence array<struct<doc_id:{id_type},cosine:double,toxic:int>>")
+        trimmed(run), f"doc_id {id_type}, score double, predicted int, evidence array<struct<doc_id:{id_type},cosine:double,toxic:int>>")
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -406,4 +406,4 @@ def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFr
                 keep = [scorer(*vector(t), fingerprint(t))[0] < threshold for t in part.column("text").to_pylist()]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
