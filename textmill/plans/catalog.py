@@ -695,6 +695,26 @@ def q_pending_chunks(spark, sf):
                     _long("chunk_index").alias("chunk_index"))
 
 
+@register("reembed_chunks", f"""
+WITH {S.pages_cte(VOCAB_SQL, 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)}
+SELECT CAST(document_id AS BIGINT) AS document_id, CAST(page_number AS BIGINT) AS page_number, chunk_index,
+       md5(content) AS md5, CAST(64 AS BIGINT) AS dims FROM chunks WHERE document_id % 5 <> 0""")
+def q_reembed_chunks(spark, sf):
+    """A table of embedded chunks after two runs: the first without a third of the
+    documents, the second with changed texts and without every fifth document.  It
+    holds the second run's chunks only, also after a compaction."""
+    from textmill.operators.versions import compact, current, sync_embeddings
+    path = scratch_path(spark, "embedded-versions")
+    first = scan_pages(_docs(spark, sf).filter("doc_id % 3 <> 1"), "doc_id", "text", delimiter=FF)
+    sync_embeddings(chunk_pages(first, tag=False), path, model=_MODEL)
+    second = scan_pages(FX.vocab_documents(spark, sf).filter("doc_id % 5 <> 0"), "doc_id", "text", delimiter=FF)
+    sync_embeddings(chunk_pages(second, tag=False), path, model=_MODEL)
+    compact(spark, path)
+    return current(spark, path).select(_long("document_id").alias("document_id"), _long("page_number").alias("page_number"),
+                                       _long("chunk_index").alias("chunk_index"), F.md5("content").alias("md5"),
+                                       _long(F.size("embedding")).alias("dims"))
+
+
 @register("batch_report", f"""
 WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)},
 n AS (SELECT *, (row_number() OVER (ORDER BY document_id, page_number, chunk_index) - 1) // 50 AS batch FROM chunks),

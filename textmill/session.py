@@ -15,6 +15,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows of whole texts: the default of 10,000 a batch is held by JVM and worker at once
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }
 
 
