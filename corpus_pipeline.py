@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textmill.llm import jaccard_join, mixing, packing, substring_dedup, toxicity
 from textmill.llm.common import stage
 from textmill.llm.queries import vocabulary_path
-from textmill.session import read_table
+from textmill.session import apply_conf, read_table
 
 SHINGLE_WORDS, SIMILARITY = 5, 80  # near copies: five words, 80 percent
 PASSAGE_WORDS = 40  # shortest repeated passage that is cut
@@ -22,6 +22,7 @@ PASSAGE_WORDS = 40  # shortest repeated passage that is cut
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go; all labels are learned from."""
+    apply_conf(spark)
     return toxicity.reject(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
