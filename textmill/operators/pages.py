@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 PART_SIZE = 100
@@ -42,3 +42,18 @@ def page_parts(pages: DataFrame, size: int = PART_SIZE, name_col: str | None = N
             .select("document_id", "part", start.alias("start_page"), end.alias("end_page"),
                     F.format_string("%s_pages_%d-%d", F.col("_stem"), start, end).alias("part_name"),
                     F.col("pages").cast("long").alias("pages")))
+
+
+def observed_chunks(pages: DataFrame, chunk, name: str = "chunks") -> tuple[DataFrame, Observation, Observation]:
+    """``chunk(pages)`` with counters that fill while the chunks are written: one pass
+    gives the chunks and their totals.
+
+    Returns (chunks, of pages, of chunks); after an action on the chunks the first
+    holds ``pages, longest_page`` and the second ``chunks, tokens``.
+    Nothing is computed a second time, and what reaches the driver is a few numbers.
+    Take the action once: another one isn't counted."""
+    seen, made = Observation(f"{name}-pages"), Observation(f"{name}-made")
+    pages = pages.observe(seen, F.count(F.lit(1)).alias("pages"), F.max(F.length("text")).alias("longest_page"))
+    out = chunk(pages)
+    return out.observe(made, F.count(F.lit(1)).alias("chunks"),
+                       F.coalesce(F.sum("token_count").cast("long"), F.lit(0)).alias("tokens")), seen, made

@@ -887,3 +887,103 @@ def q_density_noise(spark, sf):
     """Far outliers come out as noise, the rest as their label's cluster; small
     blocks and rank intervals, so that the work is spread at every size."""
     return partition_report(cluster_density(FX.separable(spark, sf, outliers=True), block_rows=200, base_edges=256))
+
+# ---------------------------------------------------------------- whole runs and writes that can be repeated
+from textmill.operators.issues import refresh_issues  # noqa: E402
+from textmill.operators.keyed import merge_keyed, read_keyed  # noqa: E402
+from textmill.operators.loads import insert_resumable  # noqa: E402
+from textmill.operators.pages import observed_chunks  # noqa: E402
+from textmill.operators.sinks import write_json  # noqa: E402
+
+
+@register("keyed_merge", """
+WITH t AS (SELECT concat('d', doc_id) AS item, lang, source, n_chars AS size FROM documents),
+u AS (SELECT concat('d', doc_id) AS item, CAST(-1 AS BIGINT) AS size FROM documents WHERE n_chars >= 2000
+      UNION ALL SELECT concat('p', page_id), CAST(length(html) AS BIGINT) FROM pages)
+SELECT coalesce(t.item, u.item) AS item, t.lang AS lang, t.source AS source,
+       CAST(CASE WHEN u.item IS NULL THEN t.size ELSE u.size END AS BIGINT) AS size
+FROM t FULL JOIN u ON t.item = u.item""")
+def q_keyed_merge(spark, sf):
+    """A keyed table of all documents, then a merge that changes one column of the long
+    ones and adds the pages: columns that it doesn't send stay."""
+    path = scratch_path(spark, "keyed-table")
+    d = FX.read_table(spark, sf, "documents")
+    item = F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item")
+    merge_keyed(d.select(item, "lang", "source", _long("n_chars").alias("size")), path, "item")
+    pages = FX.read_table(spark, sf, "pages").select(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("item"), _long(F.length("html")).alias("size"))
+    changed = d.filter("n_chars >= 2000").select(item, F.lit(-1).cast("long").alias("size"))
+    merge_keyed(changed.unionByName(pages), path, "item")
+    return read_keyed(spark, path)
+
+
+@register("insert_resumed", f"""
+WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(12)')}, {S.chunks_cte(tagged=False)},
+n AS (SELECT *, (row_number() OVER (ORDER BY document_id, page_number, chunk_index) - 1) // 50 AS batch FROM chunks),
+g AS (SELECT batch, count(*) AS rows, CAST(sum(token_count) AS BIGINT) AS tokens,
+             max(CASE WHEN token_count < 20 THEN 1 ELSE 0 END) AS bad FROM n GROUP BY batch)
+SELECT CAST(batch AS BIGINT) AS batch, rows AS stored, tokens,
+       CASE WHEN bad = 0 THEN rows ELSE 0 END AS first_run, CASE WHEN bad = 1 THEN rows ELSE 0 END AS second_run,
+       rows AS present_in_third FROM g""")
+def q_insert_resumed(spark, sf):
+    """A load that fails for some batches, run again without the failure and once more:
+    every batch is stored once, by the run that could."""
+    c = chunk_pages(scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=FF), tag=False)
+    order, out = ["document_id", "page_number", "chunk_index"], scratch_path(spark, "resumed-table")
+    first = insert_resumable(c, order, out, "chunks", failed=F.col("token_count") < 20)
+    second = insert_resumable(c, order, out, "chunks")
+    third = insert_resumable(c, order, out, "chunks")
+    stored = spark.read.parquet(out).groupBy("batch").agg(F.count(F.lit(1)).alias("stored"),
+                                                          F.sum("token_count").cast("long").alias("tokens"))
+    return (stored.join(first.select("batch", F.col("ok").alias("first_run")), "batch")
+            .join(second.select("batch", F.col("ok").alias("second_run")), "batch")
+            .join(third.select("batch", F.col("present").alias("present_in_third")), "batch"))
+
+
+@register("ingest_totals", f"""
+WITH {S.pages_cte('documents', 'doc_id', 'text', 'chr(10)')}, {S.chunks_cte(tagged=False)}
+SELECT (SELECT count(*) FROM pages) AS pages, (SELECT CAST(max(length(text)) AS BIGINT) FROM pages) AS longest_page,
+       (SELECT count(*) FROM chunks) AS chunks, (SELECT CAST(sum(token_count) AS BIGINT) FROM chunks) AS tokens""")
+def q_ingest_totals(spark, sf):
+    """Totals of an ingest from counters in the pass that writes the chunks."""
+    pages = scan_pages(_docs(spark, sf), "doc_id", "text", delimiter=NL)
+    chunks, seen, made = observed_chunks(pages, lambda p: chunk_pages(p, tag=False))
+    write_json(chunks, scratch_path(spark, "observed-chunks"))
+    totals = {**seen.get, **made.get}
+    names = ("pages", "longest_page", "chunks", "tokens")
+    return spark.createDataFrame([tuple(totals[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+_RUN_ROWS = (f"(SELECT e.vec_id AS pos, CASE WHEN {FX.SEP_OUTLIER} THEN -1 ELSE label END AS cluster_label, "
+             "coalesce(d.text, concat('Fault ', e.vec_id)) AS text "
+             "FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id "
+             "WHERE coalesce(d.text, concat('Fault ', e.vec_id)) <> '')")
+
+
+@register("issue_run", f"""
+WITH {_RANKED_SQL.replace(FC, _RUN_ROWS)}, {_canon_sql()},
+pt AS (SELECT DISTINCT canonical, unnest({_TERMS.format(x='canonical')}) AS term FROM (SELECT DISTINCT canonical FROM canon)),
+h AS ({_CTX_UNION}),
+m AS (SELECT canonical, string_agg(concat(corpus, ':', id), ' ' ORDER BY corpus, rank) AS found FROM h GROUP BY canonical),
+x AS (SELECT cluster_label, string_agg(md5(text), ' ' ORDER BY k) AS texts FROM
+      (SELECT cluster_label, text, row_number() OVER (PARTITION BY cluster_label ORDER BY pos) AS k FROM c) WHERE k <= 5 GROUP BY 1),
+b AS (SELECT canon.canonical, r.frequency, r.rank, x.texts, row_number() OVER (PARTITION BY canon.canonical ORDER BY r.rank) AS d
+      FROM r JOIN canon ON r.cluster_label = canon.cluster_label JOIN x ON r.cluster_label = x.cluster_label)
+SELECT b.canonical AS canonical, b.frequency AS frequency, CAST(b.rank AS BIGINT) AS rank, md5(b.texts) AS examples,
+       md5(coalesce(m.found, '')) AS found
+FROM b LEFT JOIN m ON b.canonical = m.canonical WHERE b.d = 1""")
+def q_issue_run(spark, sf):
+    """Vectors to the table of common issues, twice: a first run keeps three issues, a
+    second all of them; the context comes from the documents, benchmark and conversations."""
+    e = FX.separable(spark, sf, outliers=True).select(F.col("id").alias("pos"), "embedding")
+    d = FX.read_table(spark, sf, "documents").select(F.col("doc_id").alias("pos"), F.col("text").alias("_t"))
+    rows = e.join(d, "pos", "left").select(
+        F.col("pos").alias("id"), "pos", "embedding",
+        F.coalesce("_t", F.concat(F.lit("Fault "), F.col("pos").cast("string"))).alias("text"))
+    path, corpora = scratch_path(spark, "issues"), _context_corpora(spark, sf)
+    refresh_issues(rows, path, corpora=corpora, top=3)
+    t = refresh_issues(rows, path, corpora=corpora)
+    ids = F.concat(*[F.expr(f"transform(sources.{k}, x -> concat('{k}:', x))") for k in sorted(SM.CONTEXT_LIMITS)])
+    return t.select(F.col("canonical_squawk").alias("canonical"), "frequency", _long("rank").alias("rank"),
+                    F.md5(F.array_join(F.transform("sample_examples", lambda x: F.md5(x)), " ")).alias("examples"),
+                    F.md5(F.array_join(ids, " ")).alias("found"))
