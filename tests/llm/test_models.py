@@ -209,6 +209,14 @@ def test_reputation(spark):
     assert got[1]["rate"] > got[3]["rate"] > got[2]["rate"] and got[4]["verdict"] == "allow"
 
 
+def test_host_levels(spark):
+    want = {"a.b.co.kr": ("b.co.kr", "co.kr"), "x.com.mx": ("x.com.mx", "com.mx"), "www.dept.gov.uk": ("dept.gov.uk", "gov.uk"),
+            "u.github.io": ("u.github.io", "github.io"), "a.b.io": ("b.io", "io"), "co.uk": ("co.uk", "co.uk"),
+            "go.com": ("go.com", "com"), "a.notco.uk": ("notco.uk", "uk"), "localhost": ("localhost", "localhost"), "": ("", "")}
+    df = spark.createDataFrame([(h,) for h in want], "host string").select("host", *UF.host_levels(F.col("host")))
+    assert {r[0]: (r[1], r[2]) for r in df.collect()} == want
+
+
 def test_url_query(spark):
     got = op8_url_filter(spark, SF).collect()
     urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
@@ -263,6 +271,11 @@ def test_ties_and_odd_vectors(spark, monkeypatch):
     for q in (0, 20, 40):
         assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
     assert all(len(got[q]) == 20 for q in got)
+    # an id with two vectors is one row: the smaller vector counts, for queries and for candidates
+    twice = spark.createDataFrame([(0, [2.0, 0.0]), (0, [1.0, 0.0]), (1, [3.0, 1.0]), (1, [5.0, 1.0]), (2, [1.0, 1.0])],
+                                  "vec_id long, embedding array<double>")
+    found = NN.search(twice, F.col("vec_id") % 20 == 0, k=20).orderBy("rank").collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found] == [(0, 1, 1, 3.0), (0, 2, 2, 1.0)]
     few = NN.search(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") % 20 == 0, k=20)
     assert [(r["vec_id"], r["rank"]) for r in few.orderBy("rank").collect()] == [(1, 1), (2, 2)]
     assert NN.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0

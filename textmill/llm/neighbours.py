@@ -22,7 +22,8 @@ vector that a third of the rows share is indexed and searched once.
 
 Defined cases: vectors that are null, of another dimension than most, zero, or
 with null or non-finite components take no part; ties go to the smaller id;
-repeated ids count as one row; an empty table gives an empty result.
+of an id's usable rows the one with the smallest vector (compared number by number)
+counts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -142,7 +143,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     if not first:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     d = first[0]["d"]
-    rows = rows.where(F.size("embedding") == d)
+    rows = rows.where(F.size("embedding") == d).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     # classes of equal vectors; the smallest k + 1 ids of a class serve any result
     smallest = Window.partitionBy("embedding").orderBy("vec_id")
     members = (rows.withColumn("n", F.dense_rank().over(smallest)).where(F.col("n") <= k + 1)

@@ -73,7 +73,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("bad"))
     outcomes = (pages.select("url", page_document(F.col("url")).alias("doc_id"))
                 .join(labels, "doc_id").select("url", "bad"))
-    return url_filter.judge_urls(pages, outcomes, URL_RULES)
+    judged = url_filter.judge_urls(pages, outcomes, URL_RULES)
+    return judged.withColumns({c: F.round(c, 9) for c in ("rate", "lower")})
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +114,46 @@ _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 
 ORACLE: dict[str, str] = {}
 
+_LONG = (r"regexp_matches(l2, '^(" + "|".join(url_filter.REGISTRY_LABELS) + r")\.[a-z]{2}$') OR l2 IN ("
+         + ", ".join(f"'{x}'" for x in url_filter.SUFFIXES) + ")")
+_RULE = " ".join(f"WHEN (p.host = '{h}' OR ends_with(p.host, '.{h}')) AND starts_with(p.path, '{p}') THEN ['{h}{p}', '{v}']"
+                 for h, p, v in sorted(URL_RULES, key=lambda r: -len(r[0] + r[1])))
+
+
+def _strength_sql(rate: str) -> str:
+    return f"""coalesce(least(greatest(avg({rate} * (1 - {rate})) / greatest(
+        (sum(n * pow(bad / n - {rate}, 2)) - sum({rate} * (1 - {rate})))
+        / CASE WHEN sum(n) - sum(n * n) / sum(n) > 0 THEN sum(n) - sum(n * n) / sum(n) END, 1e-6) - 1, 2.0), 1e4), 1e4) AS k"""
+
+
+ORACLE["op8_url_filter"] = rf"""
+WITH p AS (SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+o AS (SELECT host, (toxic = 1 OR quality = 0)::INT AS bad FROM labels JOIN
+      (SELECT host, TRY_CAST(regexp_extract(path, '/(\d{{1,18}})(?:\.\w+)?/?$', 1) AS BIGINT) AS id FROM p) ON id = doc_id),
+hosts AS (SELECT host, CASE WHEN {_LONG} THEN l3 ELSE l2 END AS domain, CASE WHEN {_LONG} THEN l2 ELSE l1 END AS suffix
+    FROM (SELECT host, regexp_extract(host, '[^.]*$') AS l1, regexp_extract(host, '([^.]*\.)?[^.]*$') AS l2,
+                 regexp_extract(host, '([^.]*\.)?([^.]*\.)?[^.]*$') AS l3 FROM (SELECT DISTINCT host FROM p WHERE host <> ''))),
+seen AS (SELECT h.host, h.domain, h.suffix, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
+         FROM o JOIN hosts h ON o.host = h.host WHERE bad IS NOT NULL GROUP BY ALL),
+t AS (SELECT coalesce(sum(bad) / sum(n), 0.0) AS rate0 FROM seen),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(rate0) AS rate0 FROM seen, t GROUP BY suffix),
+s AS (SELECT suffix, (k * rate0 + bad) / (k + n) AS rate_s FROM s0, (SELECT {_strength_sql("rate0")} FROM s0)),
+d0 AS (SELECT domain, sum(n) AS n, sum(bad) AS bad, any_value(rate_s) AS rate_s FROM seen JOIN s USING (suffix) GROUP BY domain),
+d AS (SELECT domain, (k * rate_s + bad) / (k + n) AS rate_d FROM d0, (SELECT {_strength_sql("rate_s")} FROM d0)),
+h0 AS (SELECT seen.*, rate_d FROM seen JOIN d USING (domain)),
+ab AS (SELECT hosts.host, k * coalesce(rate_d, rate_s, rate0) + coalesce(seen.bad, 0) AS a,
+              k * (1 - coalesce(rate_d, rate_s, rate0)) + coalesce(seen.n, 0) - coalesce(seen.bad, 0) AS b
+       FROM hosts LEFT JOIN seen USING (host) LEFT JOIN d ON d.domain = hosts.domain LEFT JOIN s ON s.suffix = hosts.suffix,
+            t, (SELECT {_strength_sql("rate_d")} FROM h0)),
+r AS (SELECT host, a / (a + b) AS rate,
+             greatest(a / (a + b) - 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)), 0.0) AS lower FROM ab),
+j AS (SELECT p.page_id, p.host, p.path, CASE {_RULE} END AS rule, rate, lower FROM p LEFT JOIN r ON p.host = r.host)
+SELECT page_id, host, path, rule[1] AS rule,
+       coalesce(rule[2], CASE WHEN lower > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       round(rate, 9) AS rate, round(lower, 9) AS lower FROM j"""
+
 # crc32 byte by byte over the usual 256-entry table, which a subquery computes
 ORACLE["op11_importance_resampling"] = f"""
 WITH crc AS (SELECT list(v ORDER BY i) AS tab FROM (

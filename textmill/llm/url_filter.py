@@ -22,10 +22,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Suffixes of more than one label under which independent owners register names.
-SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz",
-            "example.com", "example.net", "example.org")
+# Labels under which country registries let independent owners register: with a
+# two-letter last label they make a suffix of two labels (co.uk, com.mx, or.jp, gov.cn).
+REGISTRY_LABELS = ("ac", "co", "com", "edu", "go", "gob", "gouv", "gov", "gv", "id", "ltd", "me", "mil", "ne", "net",
+                   "nhs", "nom", "or", "org", "plc", "sch")
+# Further suffixes: hosts that give their users names of their own.
+HOSTING = ("blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev", "vercel.app",
+           "web.app", "wordpress.com", "tumblr.com")
+# Names reserved for examples: their subdomains stand for independent sites.
+RESERVED = ("example.com", "example.net", "example.org")
+SUFFIXES = (*HOSTING, *RESERVED)
 
 
 def url_host(url: Column) -> Column:
@@ -37,13 +46,12 @@ def url_path(url: Column) -> Column:
 
 
 def host_levels(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host."""
-    long = F.lit(False)
-    for s in suffixes:
-        long = long | (host == s) | host.endswith("." + s)
-    n = F.when(long, F.lit(2)).otherwise(F.lit(1))
-    return (F.when(long, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2)),
-            F.when(n == 2, F.substring_index(host, ".", -2)).otherwise(F.substring_index(host, ".", -1)))
+    """Registered domain and suffix of a host: a suffix is a registry label before a
+    two-letter country, one of ``suffixes`` (two labels each), or else the last label."""
+    last = F.substring_index(host, ".", -2)
+    long = F.coalesce(last.rlike("^(" + "|".join(REGISTRY_LABELS) + r")\.[a-z]{2}$") | last.isin(*suffixes), F.lit(False))
+    return (F.when(long, F.substring_index(host, ".", -3)).otherwise(last),
+            F.when(long, last).otherwise(F.substring_index(host, ".", -1)))
 
 
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -82,6 +90,7 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, *, z: float = 1.645,
     seen = (outcomes.where(F.col("bad").isNotNull() & (F.col("host") != ""))
             .groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("double")).alias("bad"))
             .withColumn("domain", domain).withColumn("suffix", suffix))
+    seen = stage(seen, "hosts-seen")  # read by every level below
     # an empty outcome table still has one row here: rate 0
     top = seen.agg(F.coalesce(F.sum("bad") / F.sum("n"), F.lit(0.0)).alias("rate0"))
 
@@ -95,8 +104,10 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, *, z: float = 1.645,
     # one-row tables joined without a key: each side of one row
     s = sums(["suffix"]).join(F.broadcast(top))
     s = s.join(F.broadcast(_strength(s, "rate0", "k"))).select("suffix", posterior("rate0", "k").alias("rate_s"))
+    s = stage(s, "hosts-suffixes")
     d = sums(["domain", "suffix"]).join(s, "suffix")
     d = d.join(F.broadcast(_strength(d, "rate_s", "k"))).select("domain", posterior("rate_s", "k").alias("rate_d"))
+    d = stage(d, "hosts-domains")
     h = seen.join(d, "domain")
     kh = _strength(h, "rate_d", "k")
     every = (hosts.select("host").where(F.col("host") != "").distinct()
@@ -115,7 +126,7 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, *, z: float = 1.645,
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]], *,
-               threshold: float = 0.5, z: float = 1.645) -> DataFrame:
+               threshold: float = 0.5, z: float = 1.645, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """Each page's id, host, path, rule, verdict, and the host's ``rate`` and ``lower``.
 
     ``pages``: page_id, url.  ``outcomes``: url, bad (0/1).
@@ -124,7 +135,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
     p = p.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     text, verdict = rule_for(F.col("host"), F.col("path"), rules)
     rep = host_reputation(outcomes.select(url_host(F.col("url")).alias("host"), "bad"),
-                          p.select("host"), z=z).select("host", "rate", "lower")
+                          p.select("host"), z=z, suffixes=suffixes).select("host", "rate", "lower")
     own = F.when(F.col("lower") > threshold, F.lit("block")).otherwise(F.lit("allow"))
     return (p.join(rep, "host", "left")
             .select("page_id", "host", "path", text.alias("rule"), F.coalesce(verdict, own).alias("verdict"),
