@@ -9,7 +9,8 @@ domain's, suffix's or the global posterior.  Rules come first: of the rules
 whose host equals the page's or one of its parents and whose path starts the
 page's path, the longest decides.
 
-Counts are partial aggregates, so a hot host adds one row a task.  The rule list
+Counts are partial aggregates, so a hot host adds one row a task; the few hosts of
+many pages are joined with their pages by broadcast.  The rule list
 is a parameter of a few entries and becomes one CASE expression.
 
 Defined cases: a null url, or one without ``://``, has empty host and path; no
@@ -22,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.operators.skew import join_groups
+
 from .common import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -134,9 +137,12 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
     p = pages.select("page_id", "url")
     p = p.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     text, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    rep = host_reputation(outcomes.select(url_host(F.col("url")).alias("host"), "bad"),
-                          p.select("host"), z=z, suffixes=suffixes).select("host", "rate", "lower")
+    sizes = stage(p.groupBy("host").agg(F.count(F.lit(1)).alias("size")), "hosts-pages")
+    rep = host_reputation(outcomes.select(url_host(F.col("url")).alias("host"), "bad"), sizes.select("host"),
+                          z=z, suffixes=suffixes).select("host", "rate", "lower")
+    rep = stage(sizes.join(rep, "host", "left"), "hosts-reputation")
+    total = rep.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     own = F.when(F.col("lower") > threshold, F.lit("block")).otherwise(F.lit("allow"))
-    return (p.join(rep, "host", "left")
+    return (join_groups(p, rep, "host", "size", total)
             .select("page_id", "host", "path", text.alias("rule"), F.coalesce(verdict, own).alias("verdict"),
                     "rate", "lower"))
