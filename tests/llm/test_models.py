@@ -26,7 +26,10 @@ def bank(n=400, terms=30, seed=0):
                     np.log(rng.uniform(2, 50, terms)), {0: 5 * n, 1: n}), vectors, rng
 
 
-def test_block_max_equals_full_scan():
+@pytest.mark.parametrize(("head", "block"), [(0, 16), (6, 16), (6, 512), (512, 64)])
+def test_block_max_equals_full_scan(monkeypatch, head, block):
+    monkeypatch.setattr(TX, "HEAD", head)
+    monkeypatch.setattr(TX, "BLOCK", block)
     ix, vectors, rng = bank()
     for at, counts in vectors[:150]:
         if not at:
@@ -41,10 +44,10 @@ def test_block_max_equals_full_scan():
 
 def test_scores_are_probabilities_and_rise():
     ix, vectors, _ = bank()
-    scores = [ix.score(*v, 0)[0] for v in vectors]
+    scores = [p for p, _ in ix.scores(vectors, [0] * len(vectors))]
     assert all(0 <= s <= 1 for s in scores)
     assert np.all(np.diff(ix.ys) >= -1e-12)
-    assert ix.score([], [], 0)[0] == ix.empty
+    assert ix.scores([([], [])], [0])[0][0] == ix.empty
 
 
 def test_no_labels(spark, edge, nothing):

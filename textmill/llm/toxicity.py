@@ -7,11 +7,14 @@ Every word of their texts is a term, weighed by inverse document frequency
 (counted over all documents) and by its evidence: the G-test of its document
 counts between the two labels, as a share of ``FULL_G`` and 1 at most.  The bank's vectors go into an
 inverted index: postings by term and block of ``BLOCK`` examples, with the
-largest weight of every term in every block.
-
-Score.  For a document, the blocks of highest upper bound (sum of query weight
-times block maximum) are scored from their postings first, then every block whose
-bound reaches the ``K``-th cosine found: the result equals the full scan.  A word
+largest weight of every term in every block.  The lists of the ``HEAD`` most frequent
+words name most examples; they are kept as full rows.
+
+Score.  The share of the frequent words in all cosines is one matrix product for some
+documents at once.  It and the sum of query weight times block maximum over the
+other words bound each block: the blocks of highest bound are completed from their
+postings first, then every block whose bound reaches the ``K``-th cosine found; the
+result equals the full scan.  A word
 of no example has no weight, so it counts neither for the cosine nor for the norm.  Neighbours vote with weight
 1 / (1 - cosine + 0.1), times the inverse sampling rate of their label.  An
 isotonic map, fitted on the bank with each example's own text left out, turns
@@ -44,8 +47,10 @@ from .common import stage, trimmed
 
 BANK_TOXIC, BANK_OTHER = 2500, 3500
 FULL_G = 15.0
-BLOCK = 64
-FIRST_BLOCKS, FIRST_SHARE = 8, 0.4  # blocks scored before any is left out
+BLOCK = 512
+HEAD = 512  # words whose lists are full rows
+FIRST_BLOCKS, FIRST_SHARE = 2, 0.2  # blocks completed before any is left out
+AT_ONCE = 128  # documents in one matrix product
 K = 25
 ROWS = 512
 
@@ -132,8 +137,8 @@ class Vectors:
         self.index = {t: i for i, t in enumerate(terms)}
         self.known: dict[str, int] = {}
 
-    def __call__(self, text: str | None) -> tuple[list[int], list[int]]:
-        hits: Counter = Counter()
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        hits: dict[int, int] = {}
         known = self.known
         for w, n in Counter((text or "").split()).items():
             i = known.get(w)
@@ -142,9 +147,10 @@ class Vectors:
                     known.clear()
                 i = known[w] = self.index.get(_term(w), -1)
             if i >= 0:
-                hits[i] += n
-        at = sorted(hits)
-        return at, [hits[i] for i in at]
+                hits[i] = hits.get(i, 0) + n
+        at = np.fromiter(hits, np.int32, len(hits))
+        order = at.argsort()
+        return at[order], np.fromiter(hits.values(), np.int32, len(hits))[order]
 
 
 def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
@@ -160,7 +166,7 @@ def term_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
                 texts = part.column("text").to_pylist()
                 vs = [vector(t) for t in texts]
                 ends = pa.array(np.cumsum([0] + [len(v[0]) for v in vs]), pa.int32())
-                flat = [pa.ListArray.from_arrays(ends, pa.array([x for v in vs for x in v[i]], pa.int32())) for i in (0, 1)]
+                flat = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([v[i] for v in vs]))) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([fingerprint(t) for t in texts], pa.int64()), *flat],
                     names=["doc_id", "fp", "terms", "counts"])
@@ -213,10 +219,29 @@ class Index:
     @property
     def dense(self) -> np.ndarray:
         """The bank's vectors as a full matrix (small banks only)."""
-        out = np.zeros((len(self.y), len(self.idf)))
-        out[self.row, np.repeat(np.repeat(np.arange(len(self.idf)), np.diff(self.first)), np.diff(self.start))] = self.w
+        return self._rows(len(self.idf)).T
+
+    def _rows(self, n: int) -> np.ndarray:
+        """The lists of the first ``n`` terms as full rows."""
+        last = self.first[n]
+        end = self.start[last]
+        out = np.zeros((n, len(self.y)))
+        out[np.repeat(np.repeat(np.arange(n), np.diff(self.first[:n + 1])), self.size[:last]), self.row[:end]] = self.w[:end]
         return out
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "head"}  # made again by each worker
+
+    def frequent(self, units: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the frequent words add to the cosines: a row a document."""
+        if "head" not in self.__dict__:
+            self.head = self._rows(min(HEAD, len(self.idf)))
+        q = np.zeros((len(units), len(self.head)))
+        for i, (at, w) in enumerate(units):
+            some = at < q.shape[1]
+            q[i, at[some]] = w[some]
+        return q @ self.head
+
     def _rate(self, rows: np.ndarray) -> float:
         """Share of toxic among ``rows``; 0 without any toxic label."""
         if not (self.y == 1).any():
@@ -231,24 +256,30 @@ class Index:
         norm = math.sqrt(float(w @ w))
         return at, (w / norm if norm else w)
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, fp: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the exact ``k`` nearest; ties by row; cosine 0 never counts."""
+    def nearest(self, at: np.ndarray, w: np.ndarray, fp: int,
+                sims: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines of the exact ``k`` nearest; ties by row; cosine 0 never counts.
+        ``sims``: the document's row of ``frequent``, completed in place."""
         at, w = np.asarray(at, dtype=np.int64), np.asarray(w)
+        if sims is None:
+            sims = self.frequent([(at, w)])[0]
+        mine = np.flatnonzero(self.fp == fp)
+        sims[mine] = 0.0
+        rare = at >= HEAD
+        at, w = at[rare], w[rare]
         first = self.first.take(at)
         n = self.first.take(at + 1) - first
         entry, q = spread(first, n), np.repeat(w, n)
         block = self.block.take(entry)
         bound = np.bincount(block, q * self.bmax.take(entry), self.n_blocks) + 1e-9
+        bound += np.maximum.reduceat(sims, np.arange(0, len(sims), BLOCK))
         lead = np.zeros(self.n_blocks, dtype=bool)
         lead[np.argsort(-bound, kind="stable")[:max(FIRST_BLOCKS, int(FIRST_SHARE * self.n_blocks))]] = True
-        mine = np.flatnonzero(self.fp == fp)
-        sims = self._cosines(entry, q, lead.take(block))
-        sims[mine] = 0.0
+        self._complete(sims, entry, q, lead.take(block), mine)
         least = self._least(sims)
         rest = (bound >= least) & (bound > 2e-9) & ~lead
         if rest.any():
-            sims += self._cosines(entry, q, rest.take(block))
-            sims[mine] = 0.0
+            self._complete(sims, entry, q, rest.take(block), mine)
             least = self._least(sims)
         rows = np.flatnonzero(sims >= max(least - 1e-11, 1e-9))
         return self._top(rows, sims[rows])
@@ -257,16 +288,18 @@ class Index:
         """The ``k``-th cosine found so far."""
         return float(np.partition(sims, -self.k)[-self.k]) if len(sims) > self.k else 0.0
 
-    def _cosines(self, entry: np.ndarray, q: np.ndarray, pick: np.ndarray) -> np.ndarray:
-        """Cosines of all examples as far as the picked entries' postings give them."""
+    def _complete(self, sims: np.ndarray, entry: np.ndarray, q: np.ndarray, pick: np.ndarray, mine: np.ndarray) -> None:
+        """Add what the picked entries' postings give; ``mine`` stay 0."""
         at = np.flatnonzero(pick)
         entry = entry.take(at)
         n = self.size.take(entry)
         post = spread(self.start.take(entry), n)
-        return np.bincount(self.row.take(post), np.repeat(q.take(at), n) * self.w.take(post), len(self.y))
+        sims += np.bincount(self.row.take(post), np.repeat(q.take(at), n) * self.w.take(post), len(sims))
+        sims[mine] = 0.0
 
     def _top(self, rows: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keep = np.lexsort((rows, -np.round(sims, 12)))[:self.k]
+        sims = np.round(sims, 12)  # sums of other orders agree
+        keep = np.lexsort((rows, -sims))[:self.k]
         return rows[keep], sims[keep]
 
     def vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
@@ -277,11 +310,11 @@ class Index:
         """Isotonic regression (pool adjacent violators) of label on vote, each
         example without its own text."""
         votes, own = [], []
-        for i in range(len(self.y)):
-            rows, sims = self.nearest(*units[i], int(self.fp[i])) if len(units[i][0]) else (np.empty(0, int), None)
-            if len(rows):
-                votes.append(self.vote(rows, sims))
-                own.append(i)
+        for s in range(0, len(self.y), AT_ONCE):
+            for i, found in enumerate(self.search(units[s:s + AT_ONCE], self.fp[s:s + AT_ONCE]), s):
+                if len(found[0]):
+                    votes.append(self.vote(*found))
+                    own.append(i)
         if not own:
             return
         order = np.argsort(votes, kind="stable")
@@ -295,11 +328,19 @@ class Index:
         self.xs = np.array([p[0] / p[2] for p in pools])
         self.ys = np.array([(p[1] + 0.01) / (p[2] + 0.02) for p in pools])
 
-    def score(self, terms: list[int], counts: list[int], fp: int) -> tuple[float, list[tuple]]:
-        """(probability, [(id, cosine, label)] of the three nearest)."""
-        if not len(terms) or not len(self.y):
-            return self.empty, []
-        rows, sims = self.nearest(*self.unit(terms, counts), fp)
+    def search(self, units: list[tuple[np.ndarray, np.ndarray]], fps) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of some documents; none for those without terms."""
+        none = np.empty(0, np.int64), np.empty(0)
+        return [self.nearest(*u, int(fp), sims) if len(u[0]) else none
+                for u, fp, sims in zip(units, fps, self.frequent(units), strict=True)]
+
+    def scores(self, vectors: list[tuple[list[int], list[int]]], fps: list[int]) -> list[tuple[float, list[tuple]]]:
+        """(probability, [(id, cosine, label)] of the three nearest) of some documents."""
+        if not len(self.y):
+            return [(self.empty, [])] * len(vectors)
+        return [self._score(*found) for found in self.search([self.unit(*v) for v in vectors], fps)]
+
+    def _score(self, rows: np.ndarray, sims: np.ndarray) -> tuple[float, list[tuple]]:
         if not len(rows):
             return self.empty, []
         p = float(np.interp(self.vote(rows, sims), self.xs, self.ys)) if (self.y == 1).any() else 0.0
@@ -355,16 +396,22 @@ class Scorer:
     def __init__(self, index: Index):
         self.index, self.known, self.bank = index, {}, set(index.fp.tolist())
 
-    def __call__(self, terms: list[int], counts: list[int], fp: int) -> tuple[float, list[tuple]]:
-        # equal vectors have equal neighbours unless an example is the text itself
+    def __call__(self, vectors: list[tuple[list[int], list[int]]], fps: list[int]) -> list[tuple[float, list[tuple]]]:
+        if len(self.known) > 20_000:
+            self.known.clear()
+        keys = [self._key(*v, fp) for v, fp in zip(vectors, fps, strict=True)]
+        new = list({key: i for i, key in enumerate(keys) if key not in self.known}.items())
+        for s in range(0, len(new), AT_ONCE):
+            part = new[s:s + AT_ONCE]
+            found = self.index.scores([vectors[i] for _, i in part], [fps[i] for _, i in part])
+            self.known.update(zip((key for key, _ in part), found, strict=True))
+        return [self.known[key] for key in keys]
+
+    def _key(self, terms: list[int], counts: list[int], fp: int) -> tuple:
+        """Equal vectors have equal neighbours unless an example is the text itself."""
         import xxhash
         both = np.concatenate([np.asarray(terms, dtype=np.int32), np.asarray(counts, dtype=np.int32)])
-        key = (xxhash.xxh3_128_digest(both.tobytes()), fp if fp in self.bank else None)
-        if key not in self.known:
-            if len(self.known) > 20_000:
-                self.known.clear()
-            self.known[key] = self.index.score(terms, counts, fp)
-        return self.known[key]
+        return xxhash.xxh3_128_digest(both.tobytes()), fp if fp in self.bank else None
 
 
 def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -379,8 +426,8 @@ def fit_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
         for b in batches:
-            out = [scorer(*x) for x in zip(lists(b.column("terms")), lists(b.column("counts")),
-                                           b.column("fp").to_pylist(), strict=True)]
+            out = scorer(list(zip(lists(b.column("terms")), lists(b.column("counts")), strict=True)),
+                         b.column("fp").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([s for s, _ in out], pa.float64()),
                  pa.array([int(s >= 0.5) for s, _ in out], pa.int32()),
@@ -403,7 +450,8 @@ def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFr
         for b in batches:
             for s in range(0, b.num_rows, ROWS):
                 part = b.slice(s, ROWS)
-                keep = [scorer(*vector(t), fingerprint(t))[0] < threshold for t in part.column("text").to_pylist()]
-                yield part.filter(pa.array(keep, pa.bool_()))
+                texts = part.column("text").to_pylist()
+                out = scorer([vector(t) for t in texts], [fingerprint(t) for t in texts])
+                yield part.filter(pa.array([p < threshold for p, _ in out], pa.bool_()))
 
     return docs.mapInArrow(trimmed(run), docs.schema)
