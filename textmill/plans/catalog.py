@@ -494,6 +494,7 @@ def q_cluster_adapter(spark, sf):
 
 # ---------------------------------------------------------------- M7 cluster summaries
 from textmill.operators import summary as SM  # noqa: E402
+from textmill.operators.postings import postings_hits, sync_postings  # noqa: E402
 
 FC = FX.cluster_rows_sql()
 _RANKED_SQL = f"""c AS {FC},
@@ -626,17 +627,37 @@ WHERE rank <= {lim}""")
 _CTX_UNION, _TERMS = _ctx_sql()
 
 
-@register("research_context", f"""
+_CTX_SQL = f"""
 WITH {_RANKED_SQL}, {_canon_sql()},
 pt AS (SELECT DISTINCT canonical, unnest({_TERMS.format(x='canonical')}) AS term FROM (SELECT DISTINCT canonical FROM canon)),
 h AS ({_CTX_UNION})
-SELECT canonical, corpus, CAST(rank AS BIGINT) AS rank, id, CAST(hits AS BIGINT) AS hits FROM h""")
+SELECT canonical, corpus, CAST(rank AS BIGINT) AS rank, id, CAST(hits AS BIGINT) AS hits FROM h"""
+
+
+@register("research_context", _CTX_SQL)
 def q_research_context(spark, sf):
     df = _cluster_df(spark, sf)
     phrases = SM.canonical_text(df, SM.rank_clusters(df)).select("canonical").distinct()
     h = SM.context_hits(phrases, _context_corpora(spark, sf), SM.CONTEXT_LIMITS)
     return h.select("canonical", "corpus", _long("rank").alias("rank"), "id", _long("hits").alias("hits"))
 
+
+@register("research_postings", _CTX_SQL)
+def q_research_postings(spark, sf):
+    """The same context from a postings table: an earlier edition of the corpora is held
+    first (longer documents as drafts, each document also as a withdrawn one), then brought up to date."""
+    df = _cluster_df(spark, sf)
+    phrases = SM.canonical_text(df, SM.rank_clusters(df)).select("canonical").distinct()
+    corpora, path = _context_corpora(spark, sf), scratch_path(spark, "postings")
+    draft = F.when(F.length("text") > 500, F.concat("text", F.lit(" draft"))).otherwise(F.col("text"))
+    old = corpora["manuals"].withColumn("text", draft)
+    gone = old.withColumn("id", F.concat(F.lit("withdrawn "), F.col("id")))
+    sync_postings({"manuals": old.withColumn("id", F.col("id").cast("string")).unionByName(gone),
+                   "overviews": corpora["overviews"]}, path)
+    sync_postings(corpora, path, complete=True)
+    h = postings_hits(phrases, path, SM.CONTEXT_LIMITS)
+    return h.select("canonical", "corpus", _long("rank").alias("rank"), "id", "hits")
+
 # ---------------------------------------------------------------- M9 sinks, batches, incremental
 from textmill.operators.chunking import chunk_hash  # noqa: E402
 from textmill.operators.pages import page_parts as _page_parts  # noqa: E402
