@@ -9,9 +9,10 @@ the table is whole at every moment; a dead sync leaves a ``building-`` folder th
 nobody reads.  One writer at a time; a second one that took the same number fails and
 may be run again.
 
-A lookup reads the term folders of its phrases only.  What moves is a row for each
+A lookup reads the term folders of its phrases only.  What moves is a number for each
 document and phrase term it holds, keyed by the document, so frequent words make no
 document-phrase pairs and no hot key; each task keeps its top rows of a phrase.
+A text is known by its id and 64-bit hash: an edit that kept the hash would be missed.
 
 Defined cases: rows without id or text have no postings; of several texts of one id
 the one of the largest hash counts; a text without terms is held without postings; the
@@ -31,7 +32,7 @@ from textmill.operators.summary import _terms
 from textmill.session import cut_lineage
 
 PLACE = ["corpus", "id", "batch"]
-HELD, CLOSED = "corpus string, id string, hash string", "corpus string, id string, batch long"
+HELD, CLOSED = "corpus string, id string, hash long", "corpus string, id string, batch long"
 
 
 def _batches(spark: SparkSession, path: str) -> list[tuple[int, int, str]]:
@@ -65,7 +66,7 @@ def sync_postings(corpora: dict[str, DataFrame], path: str, complete: bool = Fal
     no longer holds are closed too.  ``buckets`` is fixed by the first sync."""
     path = path.rstrip("/")
     rows = _union([c.select(F.lit(name).alias("corpus"), F.col("id").cast("string").alias("id"), "text",
-                            F.sha2("text", 256).alias("hash")) for name, c in corpora.items()])
+                            F.xxhash64("text").alias("hash")) for name, c in corpora.items()])
     if rows is None:
         return 0, 0
     spark = rows.sparkSession
@@ -90,7 +91,7 @@ def sync_postings(corpora: dict[str, DataFrame], path: str, complete: bool = Fal
     added.write.parquet(f"{building}/held")
     gone.write.parquet(f"{building}/closed")
     new = rows.join(added, ["corpus", "id", "hash"], "left_semi")
-    (new.select("corpus", "id", F.explode(_terms(F.col("text"))).alias("term")).distinct()
+    (new.select("corpus", "id", F.explode(_terms(F.col("text"))).alias("term"))
      .withColumn(BUCKET, F.pmod(F.xxhash64("term"), F.lit(n)).cast("int"))
      .hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, "term")
      .write.partitionBy(BUCKET).parquet(f"{building}/postings"))
@@ -105,9 +106,12 @@ def postings_hits(phrases: DataFrame, path: str, limits: dict[str, int], key: st
     postings at ``path``; ``phrases`` are bounded (top clusters x phrase width)."""
     spark, path = phrases.sparkSession, path.rstrip("/")
     batches = _batches(spark, path)
-    names = phrases.select(key).distinct()
-    terms = names.select(key, F.explode(_terms(F.col(key))).alias("term"))
-    lists = terms.groupBy("term").agg(F.array_sort(F.collect_list(key)).alias("_keys"))
+    # phrases and their terms by number: a few thousand rows at most
+    names = phrases.select(key).distinct().withColumn("_p", F.row_number().over(Window.orderBy(key)))
+    lists = (names.select("_p", F.explode(_terms(F.col(key))).alias("term"))
+             .groupBy("term").agg(F.array_sort(F.collect_list("_p")).alias("_ps"))
+             .withColumn("_t", F.row_number().over(Window.orderBy("term"))))
+    lookup = lists.agg(F.map_from_entries(F.collect_list(F.struct("_t", "_ps"))).alias("_m")).scalar()
     schema = "corpus string, id string, term string"
     if batches:
         n = batches[0][1]
@@ -126,12 +130,14 @@ def postings_hits(phrases: DataFrame, path: str, limits: dict[str, int], key: st
     else:
         found = found.join(_closed(spark, batches), PLACE, "left_anti")
     found = found.where(F.col("corpus").isin(*limits))
-    per_text = (found.join(F.broadcast(lists), "term").groupBy(*PLACE)  # the lists are bounded as the phrases are
-                .agg(F.flatten(F.collect_list("_keys")).alias("_h")))
+    per_text = (found.join(F.broadcast(lists.select("term", "_t")), "term").groupBy(*PLACE)
+                .agg(F.collect_set("_t").alias("_ts")).withColumn("_m", lookup))
+    hit = F.flatten(F.transform("_ts", lambda t: F.try_element_at("_m", t)))
     per = F.transform(F.array_distinct("_h"), lambda p: F.struct(
-        p.alias(key), F.size(F.filter("_h", lambda q: q == p)).cast("long").alias("hits")))
-    rows = per_text.select("corpus", "id", F.explode(per).alias("_x")).select("corpus", "id", f"_x.{key}", "_x.hits")
-    w = Window.partitionBy("corpus", key).orderBy(F.desc("hits"), F.asc("id"))
+        p.alias("_p"), F.size(F.filter("_h", lambda q: q == p)).cast("long").alias("hits")))
+    rows = (per_text.select("corpus", "id", hit.alias("_h")).select("corpus", "id", F.explode(per).alias("_x"))
+            .select("corpus", "id", "_x._p", "_x.hits"))
+    w = Window.partitionBy("corpus", "_p").orderBy(F.desc("hits"), F.asc("id"))
     most = F.create_map(*[F.lit(x) for item in limits.items() for x in item])[F.col("corpus")]
     return (rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max(limits.values()))
-            .where(F.col("rank") <= most).select(key, "corpus", "rank", "id", "hits"))
+            .where(F.col("rank") <= most).join(F.broadcast(names), "_p").select(key, "corpus", "rank", "id", "hits"))
