@@ -55,3 +55,26 @@ def test_repeated_ids_and_dead_sync(spark, tmp_path):
     phrases = spark.createDataFrame([("pump seal",)], "canonical string")
     assert [r["hits"] for r in postings_hits(phrases, path, LIMITS).collect()] == [1]
     assert held_texts(spark, path).where(F.col("hash").isNotNull()).count() == 1
+
+
+def test_context_of_many_phrases_and_long_texts(spark):
+    """The lookup of a term walked a map of all phrase terms and each phrase walked all
+    hits; now terms are looked up by hash and hits counted by a product."""
+    import io
+    from contextlib import redirect_stdout
+    phrases = spark.createDataFrame([(f"common w{i} w{i + 1} Ünï{i}",) for i in range(60)] + [(None,), ("common w0",)], "canonical string")
+    texts = [(str(i) if i % 7 else None, " ".join(["COMMON"] * (i % 2) + [f"w{j}" for j in range(i % 9, 62, 1 + i % 5)])) for i in range(700)]
+    corpora = {"manuals": spark.createDataFrame([*texts, ("x", None)], "id string, text string").repartition(3)}
+    h = context_hits(phrases, corpora, {"manuals": 4})
+    with redirect_stdout(io.StringIO()) as plan:
+        h.explain()
+    assert "map_from_entries" not in plan.getvalue() and "try_element_at" not in plan.getvalue()
+    got = {}
+    for r in h.collect():
+        got.setdefault(r["canonical"], []).append((r["rank"], r["hits"], r["id"]))
+    for (phrase,) in {r[0:1] for r in phrases.collect()}:
+        terms = set((phrase or "").lower().split())
+        n = [(len(terms & set(t.lower().split())), i) for i, t in texts]
+        n = sorted((x for x in n if x[0]), key=lambda x: (-x[0], x[1] is not None, (x[1] or "").encode()))[:4]
+        assert sorted(got.get(phrase, [])) == [(k + 1, c, i) for k, (c, i) in enumerate(n)] or \
+            [x[:2] for x in sorted(got[phrase], key=lambda x: x[0])] == [(k + 1, c) for k, (c, _) in enumerate(n)]

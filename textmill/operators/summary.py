@@ -11,6 +11,9 @@ joining it back is a broadcast of a known small size.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ EXAMPLES = 5
 CANON_POOL = 10
 CANON_WIDTH = 120
 PLACEHOLDER = "Noisy placeholder"
+HIT_ROWS = 512  # texts whose hits one matrix product counts
 CONTEXT_LIMITS = {"manuals": 5, "overviews": 3, "past_squawks": 5}
 
 # Fixed value: the instruction text of the canonical-phrase prompt.
@@ -165,38 +169,68 @@ def context_hits(phrases: DataFrame, corpora: dict[str, DataFrame], limits: dict
     """Flat ranked hits ``key, corpus, rank, id, hits`` (corpora hold
     ``id, text``).
 
-    The phrase side is bounded (top clusters x phrase width): it becomes one
-    map ``term -> phrase indices``, a scalar subquery evaluated once and
-    shipped with the corpus scan.  Each corpus row counts its hits per phrase in place (no join
-    rows, no shuffle of document-phrase pairs, so frequent words cost
-    nothing extra), and ``row_number() <= k`` trims to each phrase's top k
-    inside every task before the only shuffle.
+    The phrase side is bounded (top clusters x phrase width): its terms are collected
+    and go out with the corpus scan.  Each Arrow batch looks its terms up by hash,
+    counts the hits of all phrases by one matrix product for many rows, and keeps each
+    phrase's top rows (no join rows, no shuffle of document-phrase pairs, so frequent
+    words cost nothing extra); ``row_number() <= k`` ranks what the batches kept.
     """
-    pidx = (phrases.select(key).distinct()
-            .withColumn("_pi", (F.row_number().over(Window.orderBy(key)) - 1).cast("int")))
-    pt = pidx.select("_pi", F.explode(_terms(F.col(key))).alias("term"))
-    # one value, evaluated once as a scalar subquery and shipped with the plan
-    lookup = (pt.groupBy("term").agg(F.array_sort(F.collect_list("_pi")).alias("_pis"))
-              .agg(F.map_from_entries(F.collect_list(F.struct("term", "_pis"))).alias("_m"))
-              .scalar())
+    held = [(r[0], r[1]) for r in phrases.select(F.col(key)).distinct().select(key, _terms(F.col(key))).collect()]
+    held.sort(key=lambda r: (r[0] is not None, r[0] or ""))
+    spark = phrases.sparkSession
+    names = spark.createDataFrame([(i, name) for i, (name, _) in enumerate(held)], f"_pi int, `{key}` string")
+    vocabulary = pa.array(sorted({t for _, ts in held for t in ts or []}), pa.string())
+    at = {t: i for i, t in enumerate(vocabulary.to_pylist())}
+    has = np.zeros((len(at), len(held)), np.float32)
+    for i, (_, ts) in enumerate(held):
+        has[[at[t] for t in ts or []], i] = 1.0
     out = None
     for name, corpus in corpora.items():
-        c = corpus.select(F.col("id").cast("string").alias("id"), _terms(F.col("text")).alias("_t"),
-                          lookup.alias("_m"))
-        hit = F.flatten(F.transform("_t", lambda t: F.coalesce(F.try_element_at("_m", t),
-                                                               F.array().cast("array<int>"))))
-        per = F.transform(F.array_distinct("_h"), lambda p: F.struct(
-            p.alias("_pi"), F.size(F.filter("_h", lambda q: q == p)).alias("hits")))
-        rows = (c.select("id", hit.alias("_h")).select("id", F.explode(per).alias("_x"))
-                .select("id", "_x._pi", "_x.hits"))
+        rows = corpus.select(F.col("id").cast("string").alias("id"), _terms(F.col("text")).alias("_t"))
+        r = rows.mapInArrow(_phrase_hits(vocabulary, has, limits[name]), "id string, _pi int, hits int")
         w = Window.partitionBy("_pi").orderBy(F.desc("hits"), F.asc("id"))
-        r = (rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limits[name])
+        r = (r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limits[name])
              .withColumn("corpus", F.lit(name)))
         out = r if out is None else out.unionByName(r)
-    return (out.join(F.broadcast(pidx), "_pi")
+    return (out.join(F.broadcast(names), "_pi")
             .select(key, "corpus", "rank", "id", F.col("hits").cast("long").alias("hits")))
 
 
+def _phrase_hits(vocabulary: pa.Array, has: np.ndarray, limit: int):
+    """Arrow batches of ``id, _t`` -> ``id, _pi, hits``: of each batch the ``limit`` rows
+    with most hits of every phrase (ties to the smaller id, null first).  ``has``: which
+    term of ``vocabulary`` is in which phrase."""
+    def run(batches):
+        for batch in batches:
+            lists, ids = batch.column(1), batch.column(0)
+            rows, found = pc.list_parent_indices(lists).to_numpy(), pc.index_in(pc.list_flatten(lists), vocabulary)
+            known = found.is_valid().to_numpy(zero_copy_only=False)
+            rows, term = rows[known], found.drop_null().to_numpy()
+            if not len(rows):
+                continue
+            # place of each id in the order of Spark's strings (bytes), equal ids by row
+            place = np.empty(len(ids), np.int64)
+            place[pc.sort_indices(ids.cast(pa.binary()), null_placement="at_start").to_numpy()] = np.arange(len(ids))
+            hits = np.empty((len(ids), has.shape[1]), np.int64)
+            for s in range(0, len(ids), HIT_ROWS):
+                lo, hi = np.searchsorted(rows, (s, s + HIT_ROWS))
+                one = np.zeros((min(HIT_ROWS, len(ids) - s), len(has)), np.float32)
+                one[rows[lo:hi] - s, term[lo:hi]] = 1.0
+                hits[s:s + HIT_ROWS] = one @ has
+            order = hits * len(ids) - place[:, None]  # all different within a phrase
+            if limit < len(ids):
+                top = np.argpartition(order, len(ids) - limit, axis=0)[len(ids) - limit:]
+            else:
+                top = np.tile(np.arange(len(ids))[:, None], (1, has.shape[1]))
+            n = np.take_along_axis(hits, top, 0)
+            keep = n > 0
+            phrase = np.broadcast_to(np.arange(has.shape[1]), top.shape)[keep]
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(top[keep])), pa.array(phrase, pa.int32()), pa.array(n[keep], pa.int32())],
+                names=["id", "_pi", "hits"])
+    return run
+
+
 def common_issues(df: DataFrame, top: int = TOP_N, n_examples: int = EXAMPLES,
                   pool: int = CANON_POOL, width: int = CANON_WIDTH, label: str = "cluster_label",
                   pos: str = "pos", text: str = "text", context: str = "empty",
