@@ -1,6 +1,7 @@
 """Literal edge cases of the string, title, window and category operators."""
 
 import math
+import re
 
 from pyspark.sql import functions as F
 
@@ -114,3 +115,22 @@ def test_split_tokens_equal_extracted_tokens(spark):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     rows = df.select(word_tokens("s").alias("a"), word_tokens_stripped("s").alias("b")).collect()
     assert all(r.a == r.b for r in rows)
+
+
+def test_word_windows_are_cut_without_a_regex_a_character(spark):
+    """The JVM's split by look-around took most of a load's time; windows are cut in Arrow
+    batches, with the blanks of Python and pieces that join back to the text."""
+    import io
+    from contextlib import redirect_stdout
+    text = " a\x1cb c \n d\x85e\x00fé \U0001F600g　h " * 3
+    pages = spark.createDataFrame([(1, 1, text), (2, 1, None), (3, 1, " \n ")], "document_id long, page_number int, text string")
+    chunks = chunk_pages(pages, size=5, overlap=2, tag=False, cleanup=False)
+    with redirect_stdout(io.StringIO()) as plan:
+        chunks.explain()
+    assert "split(" not in plan.getvalue() and "MapInArrow" in plan.getvalue()
+    words = re.findall(r"\S+\s*", re.sub(r"\s{2,}", " ", text).strip())
+    want = [(1, i, "".join(words[s:s + 5]), len(words[s:s + 5])) for i, s in enumerate(range(0, len(words), 3))]
+    got = [tuple(r) for r in chunks.orderBy("chunk_index").select("document_id", "chunk_index", "content", "token_count").collect()]
+    assert got == want
+    clean = chunk_pages(pages, size=5, overlap=2, tag=False).orderBy("chunk_index")
+    assert [r["content"] for r in clean.collect()] == [w[2].replace("\x00", "") for w in want]

@@ -1,19 +1,24 @@
-"""Sliding token windows over pages (P4-P7, P11), all narrow and codegen-friendly.
+"""Sliding token windows over pages (P4-P7, P11), all narrow.
 
-A page's token array is built once and every window is a ``slice`` of it:
-``explode(sequence(0, n-1, step))`` gives the window starts.  No shuffle: a
-page and its chunks stay in the task that read the document.
+Word windows are cut in Arrow batches: one pass notes where a page's words start, and
+a window is the text between two starts.  Of other tokenisers the token array is built
+once and every window is a ``slice`` of it: ``explode(sequence(0, n-1, step))`` gives
+the window starts.  No shuffle: a page and its chunks stay in the task that read the document.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmill.functions.tagging import with_categories
-from textmill.functions.text import (collapse_runs, drop_nul, section_title, tokens,
+from textmill.functions.text import (WS_CHARS, collapse_runs, drop_nul, section_title, tokens,
                                      word_tokens_stripped)
 from textmill.operators.bpe import bpe_windows
 
@@ -44,6 +49,49 @@ def n_windows(n: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -
     return F.when(n > 0, F.floor((n + step - 1) / step)).otherwise(F.lit(0)).cast("int")
 
 
+_RUNS = re.compile(r"\s{2,}")  # Python's blanks are those of functions.text.WS
+_BLANK = np.zeros(0x3002, bool)  # by code point; larger ones are no blanks
+_BLANK[[ord(c) for c in WS_CHARS]] = True
+WINDOW_ROWS = 256  # pages a worker holds as Python strings at a time
+
+
+def word_windows(pages: DataFrame, size: int, overlap: int, drop_contained_tail: bool) -> DataFrame:
+    """``pages`` with its ``text`` (blank runs collapsed, stripped) cut into windows of
+    ``size`` words, each word with the blank after it: ``chunk_index, _raw, token_count``
+    instead of ``text``."""
+    kept = [f for f in pages.schema.fields if f.name != "text"]
+    schema = T.StructType([*kept, T.StructField("chunk_index", T.IntegerType()), T.StructField("_raw", T.StringType()),
+                           T.StructField("token_count", T.IntegerType())])
+    step = size - overlap
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, WINDOW_ROWS):
+                batch = whole.slice(at, WINDOW_ROWS)
+                row, index, raw, count = [], [], [], []
+                for i, text in enumerate(batch.column(len(kept)).cast(pa.binary()).to_pylist()):
+                    if text is None:
+                        continue
+                    text = _RUNS.sub(" ", text.decode("utf-8", "replace")).strip()
+                    blank = _BLANK[np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), len(_BLANK) - 1)]
+                    # stripped and collapsed: a word follows each blank
+                    starts = np.concatenate([[0], np.flatnonzero(blank) + 1]) if text else np.zeros(0, int)
+                    n = len(starts)
+                    for k, s in enumerate(range(0, n, step)):
+                        if drop_contained_tail and s and s + overlap >= n:
+                            continue
+                        row.append(i)
+                        index.append(k)
+                        raw.append(text[starts[s]:starts[s + size] if s + size < n else None])
+                        count.append(min(size, n - s))
+                take = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.take(take) for c in batch.columns[:len(kept)]), pa.array(index, pa.int32()), pa.array(raw, pa.string()),
+                     pa.array(count, pa.int32())], names=schema.names)
+
+    return pages.select(*[F.col(f"`{f.name}`") for f in kept], "text").mapInArrow(run, schema)
+
+
 def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                 mode: str = "word", cleanup: bool = True, drop_contained_tail: bool = False,
                 constants: dict | None = None, tag: bool = True, vocabulary=None) -> DataFrame:
@@ -67,6 +115,8 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
         stripped = pages.select("document_id", "page_number", *extra, collapse_runs("text").alias("text"))
         out = bpe_windows(stripped, vocabulary, size, overlap, drop_contained_tail=drop_contained_tail)
         out = out.withColumnRenamed("content", "_raw").drop("byte_start", "byte_end")
+    elif mode == "word" and mode not in _TOKENIZERS:
+        out = word_windows(pages.select("document_id", "page_number", *extra, "text"), size, overlap, drop_contained_tail)
     else:
         tok = pages.select("document_id", "page_number", *extra,
                            tokenize(collapse_runs("text"), mode, stripped=True).alias("_toks"))
@@ -84,7 +134,7 @@ def chunk_pages(pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
         out = tok.select("document_id", "page_number", *extra, F.explode(wins).alias("_w")).select(
             "document_id", "page_number", *extra, F.col("_w.i").alias("chunk_index"),
             F.col("_w.t").alias("_raw"), F.col("_w.c").alias("token_count"))
-    content = drop_nul("_raw") if cleanup else F.col("_raw")
+    content = F.when(F.col("_raw").contains("\0"), drop_nul("_raw")).otherwise(F.col("_raw")) if cleanup else F.col("_raw")
     out = out.select("document_id", "page_number", *extra, "chunk_index",
                      content.alias("content"), "token_count")
     if tag:
