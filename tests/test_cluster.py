@@ -79,6 +79,28 @@ def test_kmeans_invariants(spark):
     assert (r.n, r.k, r.size_sum, r.nearest_ok) == (75, 3, 75, True)
 
 
+def test_kmeans_sends_no_task_a_centre(spark):
+    """With many centres the row solver ran a job of ``k`` tasks in every round, each
+    bringing its row of the distances between centres to the driver."""
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(0, 1, (400, 64)))],
+                               "id long, embedding array<float>")
+    sc, most = spark.sparkContext, 0
+    sc.setJobGroup("kmeans-tasks", "")
+    try:
+        labelled, model = cluster_kmeans(df, k=140)
+        tracker = sc.statusTracker()
+        for job in tracker.getJobIdsForGroup("kmeans-tasks"):
+            for stage in tracker.getJobInfo(job).stageIds:
+                info = tracker.getStageInfo(stage)
+                most = max(most, info.numTasks if info else 0)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < most < 140
+    r = kmeans_invariants(labelled, model).first()
+    assert (r.n, r.k, r.size_sum, r.nearest_ok) == (400, 140, 400, True)
+
+
 def test_hierarchy_matches_bruteforce(spark):
     """Random points with uneven density: the distributed condensed tree and
     selection give the same partition as a sequential implementation."""
