@@ -103,3 +103,32 @@ def test_rank_all_clusters_distributed(spark):
     a = [(r.cluster_label, r.rank) for r in SM.rank_clusters(df, top=None).orderBy("rank").collect()]
     b = [(r.cluster_label, r.rank) for r in SM.rank_clusters(df, top=200).orderBy("rank").collect()]
     assert a == b and len(a) == 30
+
+
+def test_embed_records_reads_its_input_once(spark, tmp_path):
+    """Each text's rejects were split off and joined again: four reads of the records."""
+    import io
+    from contextlib import redirect_stdout
+    from textmill.operators.records import embed_records
+    from textmill.schemas import RECORD
+    names = [f for f in RECORD.fields if not f.name.endswith("_vector")]
+    rows = [("1", "Pump leak", "seal"), ("2", None, "seal"), ("3", "", None), ("3", "", None)]
+    df = spark.createDataFrame(rows, "discrepancy_id string, issue string, corrective_action string")
+    df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in names]).write.parquet(str(tmp_path / "r"))
+    out = embed_records(spark.read.parquet(str(tmp_path / "r")))
+    with redirect_stdout(io.StringIO()) as plan:
+        out.explain()
+    assert plan.getvalue().count("FileScan") == 1
+    got = sorted((r["discrepancy_id"], r["issue_embedding_vector"] and sum(x > 0 for x in r["issue_embedding_vector"]),
+                  r["corrective_embedding_vector"] and len(r["corrective_embedding_vector"])) for r in out.collect())
+    assert [g[0] for g in got] == ["1", "2", "3", "3"] and got[0][1:] == (2, 64) and got[1][1:] == (None, 64)
+    assert got[2][1:] == got[3][1:] == (0, None) and [f.name for f in out.schema.fields] == [f.name for f in RECORD.fields]
+
+
+def test_norm_is_taken_once_a_vector(spark):
+    """The norm stood inside the loop over components: once for each of them."""
+    df = spark.createDataFrame([([float(i % 7) for i in range(64)],), ([0.0] * 64,), (None,)], "v array<float>")
+    plan = df.select(l2_normalize("v").alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
+    got = [r[0] for r in df.select(l2_normalize("v")).collect()]
+    assert abs(sum(x * x for x in got[0]) - 1) < 1e-6 and got[1] == [0.0] * 64 and got[2] is None

@@ -21,9 +21,9 @@ def l2_norm(v) -> Column:
 def l2_normalize(v) -> Column:
     """Unit-length copy, computed in double and stored as float; a zero vector
     passes unchanged."""
-    n = l2_norm(v)
-    return F.when(n > 0, F.transform(_c(v), lambda x: (x.cast("double") / n).cast("float"))) \
-            .otherwise(_c(v))
+    def scaled(n):
+        return F.when(n > 0, F.transform(_c(v), lambda x: (x.cast("double") / n).cast("float"))).otherwise(_c(v))
+    return F.transform(F.array(l2_norm(v)), scaled)[0]  # the norm once a vector, not once a component
 
 
 def inner_product(a, b) -> Column:

@@ -99,6 +99,19 @@ def embed(df: DataFrame, text_col: str = "content", provider: str = "hashing",
     return ok, rejects.withColumn("embedding_model", F.lit(model))
 
 
+def embed_rows(df: DataFrame, text_col: str = "content", provider: str = "hashing",
+               model: str = "hashing-tf-64", prefix: str = "", normalize: bool = True,
+               dim: int = DEFAULT_DIM) -> DataFrame:
+    """:func:`embed` with rejects left in place: every row once, its vector null where
+    there is none.  ``df`` is read once, not once for each side."""
+    if provider != "hashing":
+        ok, rejects = embed(df, text_col, provider, model, prefix, normalize, dim)
+        return ok.unionByName(rejects.withColumn("embedding", F.lit(None).cast("array<float>")))
+    text = F.coalesce(F.col(text_col), F.lit(""))  # the JVM hasher fails on null text
+    ok, _ = embed(df.withColumn("_tm_text", text), "_tm_text", provider, model, prefix, normalize, dim)
+    return ok.withColumn("embedding", F.when(F.col(text_col).isNotNull(), F.col("embedding"))).drop("_tm_text")
+
+
 def vector_rows(chunks: DataFrame, document_type: str) -> DataFrame:
     """Embedded chunks -> vector-store rows: constant ``document_type`` and
     ``metadata.token_count`` (0 when absent); the model column is dropped."""

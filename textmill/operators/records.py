@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.records import iso_or_null
 from textmill.functions.text import py_strip
-from textmill.operators.embed import embed
+from textmill.operators.embed import embed_rows
 from textmill.schemas import RECORD
 
 ORG = "squawk"
@@ -48,10 +48,7 @@ def embed_records(records: DataFrame, provider: str = "hashing") -> DataFrame:
     null vector)."""
     out = records
     for text, vector in (("issue", "issue_embedding_vector"), ("corrective_action", "corrective_embedding_vector")):
-        ok, rejects = embed(out, text, provider=provider)
-        ok = ok.withColumnRenamed("embedding", vector).drop("embedding_model")
-        rejects = rejects.withColumn(vector, F.lit(None).cast("array<float>")).drop("embedding_model")
-        out = ok.unionByName(rejects)
+        out = embed_rows(out, text, provider=provider).withColumnRenamed("embedding", vector).drop("embedding_model")
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD.fields])
 
 
