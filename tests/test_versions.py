@@ -99,3 +99,31 @@ def test_models_repeats_and_empty_inputs(spark, tmp_path):
     assert counts(report)["embedded"] == 1 and [r["embedding_model"] for r in rows.collect()] == ["another"]
     rows, report = sync_embeddings(chunks(spark, []), path, model="another")
     assert rows.count() == 0 and counts(report)["closed"] == 1
+
+
+def exchanges(df):
+    import io
+    from contextlib import redirect_stdout
+    with redirect_stdout(io.StringIO()) as plan:
+        df.explain()
+    return plan.getvalue().count("Exchange")
+
+
+def test_texts_stay_where_they_are(spark, tmp_path):
+    """Texts and vectors were shuffled to find each position's last event, also where
+    every position had one row; now only positions and versions move."""
+    path = str(tmp_path / "t")
+    sync_embeddings(chunks(spark, FIRST), path)
+    sync_embeddings(chunks(spark, SECOND), path)
+    assert held(current(spark, path)) == sorted(SECOND)
+    folder = compact(spark, path)
+    assert exchanges(current(spark, path)) == 0 and held(current(spark, path)) == sorted(SECOND)
+    sync_embeddings(chunks(spark, FIRST), path)  # appends: the compacted mark goes
+    assert generation(spark, path) == folder and held(current(spark, path)) == sorted(FIRST)
+    # two runs that wrote the same version: one row a position is left
+    twice = events(spark, path).filter("alive and version = 3").withColumn("event", F.concat(F.lit("~"), "event"))
+    assert twice.count() > 0
+    twice.write.mode("append").parquet(folder)
+    assert held(current(spark, path)) == sorted(FIRST)
+    sync_embeddings(chunks(spark, []), path)
+    assert current(spark, path).count() == 0
