@@ -78,3 +78,19 @@ def test_context_of_many_phrases_and_long_texts(spark):
         n = sorted((x for x in n if x[0]), key=lambda x: (-x[0], x[1] is not None, (x[1] or "").encode()))[:4]
         assert sorted(got.get(phrase, [])) == [(k + 1, c, i) for k, (c, i) in enumerate(n)] or \
             [x[:2] for x in sorted(got[phrase], key=lambda x: x[0])] == [(k + 1, c) for k, (c, _) in enumerate(n)]
+
+
+def test_postings_are_lists(spark, tmp_path):
+    """A posting was a row with the text's id and the term; now a row holds the postings
+    of many texts in a folder, in pieces of at most ``TEXTS`` texts."""
+    from textmill.operators import postings as P
+    path = str(tmp_path / "t")
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 50, i % 50 + 30)) + " ünï") for i in range(P.TEXTS + 300)]
+    corpora = {"manuals": texts(spark, rows).coalesce(1), "overviews": texts(spark, rows[:40] + [(-1, "")])}
+    sync_postings(corpora, path, buckets=4)
+    (batch,) = os.listdir(path)
+    stored = spark.read.parquet(f"{path}/{batch}/postings")
+    assert stored.count() <= 4 * (2 + corpora["overviews"].rdd.getNumPartitions())
+    assert sum(sum(r["counts"]) for r in stored.select("counts").collect()) == 31 * (len(rows) + 40)
+    phrases = spark.createDataFrame([("w3 w40 w79",), ("ÜNÏ w5",)], "canonical string")
+    assert held(postings_hits(phrases, path, LIMITS)) == held(context_hits(phrases, corpora, LIMITS))
