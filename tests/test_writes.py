@@ -118,6 +118,24 @@ def test_observed_totals_need_no_second_pass(spark, tmp_path):
     assert seen.get == {"pages": 0, "longest_page": None} and made.get == {"chunks": 0, "tokens": 0}
 
 
+def test_issue_texts_stay_out_of_the_clustering(spark, tmp_path, monkeypatch):
+    """Texts went through every sort and join of the clustering.  Blank first rows are
+    examples, but no phrase; a cluster of blanks has the placeholder."""
+    from textmill.operators import issues as I
+    seen, real = [], I.cluster
+
+    def spy(df, *a, **kw):
+        seen.extend(df.columns)
+        return real(df, *a, **kw)
+    monkeypatch.setattr(I, "cluster", spy)
+    texts = [" "] * 12 + [f"Leak at valve number {i:02d}" for i in range(11)] + ["Leak"] + [" \t"] * 20
+    rows = [(i % 3, i, t, [float(i >= 24) * 9, i * 0.001]) for i, t in enumerate(texts)]  # ids repeat
+    df = spark.createDataFrame(rows, "id long, pos long, text string, embedding array<float>")
+    got = refresh_issues(df, str(tmp_path / "t"), method="density").select("canonical_squawk", "frequency", "rank", "sample_examples")
+    assert held(got) == [("leak at valve number 00", 24, 1, [" "] * 5), ("noisy placeholder", 20, 2, [" \t"] * 5)]
+    assert "text" not in seen and "embedding" in seen
+
+
 def test_issue_run_keeps_earlier_issues(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = [(i, i, f"Leak  at valve {i % 2}" if i < 30 else f"Cracked lens {i}", [float(i >= 30) * 9, i * 0.001]) for i in range(60)]

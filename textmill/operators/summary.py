@@ -89,6 +89,23 @@ def _pool(df: DataFrame, ranked: DataFrame | None, pool: int, label: str, pos: s
     return nb.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= pool)
 
 
+def nonblank(text: str = "text"):
+    """Whether a text holds more than blanks (those that a canonical phrase may come from)."""
+    s = py_strip(F.col(text))
+    return s.isNotNull() & (s != "")
+
+
+def first_members(df: DataFrame, ranked: DataFrame, filled: str, n_examples: int = EXAMPLES, pool: int = CANON_POOL,
+                  label: str = "cluster_label", pos: str = "pos") -> DataFrame:
+    """The rows of ``df`` that describe the clusters of ``ranked``: the first ``n_examples``
+    of each in row order, and the first ``pool`` of those ``filled`` (a boolean column
+    such as :func:`nonblank`); a row that is both comes twice."""
+    src, w = _top_members(df, ranked, label), Window.partitionBy(label).orderBy(pos)
+    parts = [rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+             for rows, k in ((src, n_examples), (src.filter(filled), pool))]
+    return parts[0].unionByName(parts[1])
+
+
 def _with_placeholder(per_cluster: DataFrame, ranked: DataFrame | None, df: DataFrame,
                       label: str, value_col: str, placeholder) -> DataFrame:
     base = (ranked.select("cluster_label") if ranked is not None else
@@ -234,10 +251,13 @@ def _phrase_hits(vocabulary: pa.Array, has: np.ndarray, limit: int):
 def common_issues(df: DataFrame, top: int = TOP_N, n_examples: int = EXAMPLES,
                   pool: int = CANON_POOL, width: int = CANON_WIDTH, label: str = "cluster_label",
                   pos: str = "pos", text: str = "text", context: str = "empty",
-                  corpora: dict[str, DataFrame] | None = None) -> DataFrame:
+                  corpora: dict[str, DataFrame] | None = None, ranked: DataFrame | None = None) -> DataFrame:
     """The common-issue table: ``canonical_squawk, cluster_label, frequency,
-    sample_examples, sources, rank`` for the ``top`` largest clusters."""
-    ranked = rank_clusters(df, label, pos, top)
+    sample_examples, sources, rank`` for the ``top`` largest clusters.
+
+    Where the clusters come ``ranked`` (:func:`rank_clusters` of all rows), ``df`` need
+    hold no more than their :func:`first_members`."""
+    ranked = rank_clusters(df, label, pos, top) if ranked is None else ranked
     canon = canonical_text(df, ranked, pool, width, label, pos, text)
     ex = (examples(df, ranked, n_examples, label, pos, text)
           .groupBy("cluster_label")
